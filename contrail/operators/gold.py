@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.flight import feet, flight_phase, knots
@@ -54,13 +54,25 @@ def sector_aggregates(base: DataFrame) -> DataFrame:
     )
 
 
-def rank_sectors(agg: DataFrame) -> DataFrame:
+def rank_sectors(agg: DataFrame, materialized: bool = False) -> DataFrame:
     """Dense rank of each group within its hour by airborne aircraft, most
-    first (ties share a rank)."""
-    ranked = dense_rank_within(agg, ["snapshot_hour"], "airborne_aircraft_count",
-                               "hourly_sector_density_rank", descending=True)
-    return ranked.withColumn("hourly_sector_density_rank",
-                             F.col("hourly_sector_density_rank").cast("int"))
+    first (ties share a rank).
+
+    On a lazy aggregate the rank is a window over the hour: it re-shuffles
+    only the (small) aggregate, and the rows of one hour are bounded by the
+    country x sector x phase domain, not by the input volume.  On a
+    materialized aggregate (a written table) the distinct-level join is used
+    instead: no re-shuffle of Gold at all, and no task sees a whole hour.
+    """
+    name = "hourly_sector_density_rank"
+    if materialized:
+        ranked = dense_rank_within(agg, ["snapshot_hour"], "airborne_aircraft_count",
+                                   name, descending=True)
+    else:
+        w = Window.partitionBy("snapshot_hour").orderBy(
+            F.col("airborne_aircraft_count").desc_nulls_last())
+        ranked = agg.withColumn(name, F.dense_rank().over(w))
+    return ranked.withColumn(name, F.col(name).cast("int"))
 
 
 def gold(silver: DataFrame, precision: int = SECTOR_PRECISION) -> DataFrame:

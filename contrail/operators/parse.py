@@ -77,11 +77,12 @@ def parse_records(vectors: DataFrame, min_slots: int = MIN_VECTOR_SLOTS) -> Data
     )
 
 
-def flatten_states(vectors: DataFrame) -> DataFrame:
+def flatten_states(vectors: DataFrame, drop_null_keys: bool = True) -> DataFrame:
     """Silver path: typed, standardized rows with a non-null aircraft and
-    position time (duplicates still present)."""
+    position time (duplicates still present).  ``drop_null_keys=False``
+    keeps every row (for flagging instead of dropping)."""
     tpos = typed_slot("time_position")
-    return vectors.select(
+    rows = vectors.select(
         slot("icao24").alias("icao24"),
         F.trim(slot("callsign")).alias("callsign"),
         F.upper(F.trim(slot("origin_country"))).alias("origin_country"),
@@ -92,7 +93,10 @@ def flatten_states(vectors: DataFrame) -> DataFrame:
         typed_slot("velocity").alias("velocity"),
         typed_slot("on_ground").alias("on_ground"),
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
-    ).filter(F.col("icao24").isNotNull() & F.col("time_position").isNotNull())
+    )
+    if not drop_null_keys:
+        return rows
+    return rows.filter(F.col("icao24").isNotNull() & F.col("time_position").isNotNull())
 
 
 def records_to_silver(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:

@@ -106,6 +106,152 @@ def q_gold_row_count(spark, d):
     return G.gold_row_count(gold(spark, d))
 
 
+# --- dashboard panels ----------------------------------------------------------
+
+from contrail.operators import distributions as D  # noqa: E402
+from contrail.operators import insights as I  # noqa: E402
+from contrail.operators import quality as Q  # noqa: E402
+from contrail.schemas import GOLD_KEY, SILVER_KEY, SILVER_LENGTH_LIMITS  # noqa: E402
+
+
+def q_top_gold_5000(spark, d):
+    return I.top_gold(gold(spark, d), I.GOLD_PAGE)
+
+
+def q_top_silver_5000(spark, d):
+    return I.top_silver(silver(spark, d), I.SILVER_PAGE)
+
+
+def q_kpi_cards(spark, d):
+    return I.kpi_cards(gold(spark, d))
+
+
+def q_country_top10(spark, d):
+    return I.country_volume(gold(spark, d), I.TOP_COUNTRIES)
+
+
+def q_hourly_trend(spark, d):
+    return I.hourly_traffic(gold(spark, d))
+
+
+def q_country_top5_sectors(spark, d):
+    return I.top_country_rows(gold(spark, d), I.TOP_SCATTER_COUNTRIES)
+
+
+def q_country_frequency(spark, d):
+    return I.country_frequency(I.geo_rows(gold(spark, d)))
+
+
+def q_speed_histogram(spark, d):
+    rows = I.top_country_rows(gold(spark, d))
+    return D.density_histogram(rows, "avg_ground_speed_knots", "origin_country")
+
+
+def q_speed_kde(spark, d):
+    rows = I.top_country_rows(gold(spark, d))
+    return D.kde_curves(rows, "avg_ground_speed_knots", "origin_country")
+
+
+def q_phase_box_stats(spark, d):
+    return D.box_stats(gold(spark, d), "avg_airborne_altitude_ft", "flight_phase")
+
+
+def q_phase_outliers(spark, d):
+    return D.box_outliers(gold(spark, d), "avg_airborne_altitude_ft", "flight_phase")
+
+
+def q_null_profile(spark, d):
+    return I.null_profile(gold(spark, d))
+
+
+def q_null_mask(spark, d):
+    return I.null_mask(gold(spark, d))
+
+
+# --- data quality -----------------------------------------------------------
+
+def q_dq_nulls(spark, d):
+    return Q.combine(
+        Q.null_checks(silver(spark, d), "silver", SILVER_KEY),
+        Q.null_checks(gold(spark, d), "gold", ("snapshot_hour", "origin_country", "flight_phase")))
+
+
+def q_dq_duplicates(spark, d):
+    return Q.combine(
+        Q.duplicate_checks(silver_rows(spark, d), "silver_input", SILVER_KEY),
+        Q.duplicate_checks(silver(spark, d), "silver", SILVER_KEY),
+        Q.duplicate_checks(gold(spark, d), "gold", GOLD_KEY))
+
+
+def q_dq_lengths(spark, d):
+    return Q.length_checks(silver(spark, d), "silver", SILVER_LENGTH_LIMITS)
+
+
+def q_dq_rowcounts(spark, d):
+    return Q.combine(
+        Q.row_count_check(vectors(spark, d).filter(F.size("state") > 0), "payload_states"),
+        Q.row_count_check(P.parse_records(vectors(spark, d)), "parsed_records"),
+        Q.row_count_check(gold(spark, d), "gold"))
+
+
+def q_dq_quarantine(spark, d):
+    return Q.quarantine(vectors(spark, d))
+
+
+def q_dq_type_drift(spark, d):
+    return Q.type_drift_checks(vectors(spark, d))
+
+
+def q_dq_freshness(spark, d):
+    """Newest Gold hour against the newest ingest time, 2-hour limit."""
+    s = silver(spark, d)
+    now = s.agg(F.max("ingested_at")).scalar()
+    return Q.freshness_check(gold(spark, d), "gold", "snapshot_hour", now, 7200)
+
+
+def q_silver_flagged(spark, d):
+    return Q.flag_nulls(P.flatten_states(vectors(spark, d), drop_null_keys=False))
+
+
+def q_json_roundtrip(spark, d):
+    """Feed rows serialized as payload JSON text, parsed back with the
+    payload schema, exploded and flattened: must equal the direct path."""
+    from contrail.schemas import PAYLOAD
+    v = vectors(spark, d)
+    text = v.select(F.to_json(F.struct("time", "fetched_at",
+                                       F.array("state").alias("states"))).alias("raw"),
+                    "ingested_at")
+    parsed = text.select(F.from_json("raw", PAYLOAD).alias("p"), "ingested_at").select(
+        "p.time", "p.fetched_at", "p.states", "ingested_at")
+    return P.flatten_states(P.explode_payloads(parsed))
+
+
+_PANELS = {
+    "top_gold_5000": q_top_gold_5000,
+    "top_silver_5000": q_top_silver_5000,
+    "kpi_cards": q_kpi_cards,
+    "country_top10": q_country_top10,
+    "hourly_trend": q_hourly_trend,
+    "country_frequency": q_country_frequency,
+    "country_top5_sectors": q_country_top5_sectors,
+    "speed_histogram": q_speed_histogram,
+    "speed_kde": q_speed_kde,
+    "phase_box_stats": q_phase_box_stats,
+    "phase_outliers": q_phase_outliers,
+    "null_profile": q_null_profile,
+    "null_mask": q_null_mask,
+    "dq_nulls": q_dq_nulls,
+    "dq_duplicates": q_dq_duplicates,
+    "dq_lengths": q_dq_lengths,
+    "dq_rowcounts": q_dq_rowcounts,
+    "dq_quarantine": q_dq_quarantine,
+    "dq_type_drift": q_dq_type_drift,
+    "dq_freshness": q_dq_freshness,
+    "silver_flagged": q_silver_flagged,
+    "json_roundtrip": q_json_roundtrip,
+}
+
+
 def queries() -> dict[str, Query]:
     return {
         "state_parse": q_state_parse,
@@ -121,4 +267,5 @@ def queries() -> dict[str, Query]:
         "gold_country_hourly": q_gold_country_hourly,
         "gold_approx_aircraft": q_gold_approx_aircraft,
         "gold_row_count": q_gold_row_count,
+        **_PANELS,
     }

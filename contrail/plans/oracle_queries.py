@@ -12,6 +12,10 @@ PHASE_SQL = """CASE WHEN on_ground THEN 'Ground / Taxi'
 
 
 def oracle_sql() -> dict[str, str]:
+    return {**core_sql(), **panel_sql()}
+
+
+def core_sql() -> dict[str, str]:
     return {
         "state_parse": q("""
 SELECT icao24,
@@ -61,3 +65,220 @@ SELECT snapshot_hour, origin_country, spatial_sector, flight_phase,
 FROM base GROUP BY 1, 2, 3, 4"""),
         "gold_row_count": q("SELECT count(1) AS total_gold_records FROM gold"),
     }
+
+
+GOLD_COLS = ("snapshot_hour", "origin_country", "spatial_sector", "sector_center_lat",
+             "sector_center_lon", "flight_phase", "unique_aircraft_count",
+             "active_callsigns_count", "airborne_aircraft_count", "ground_aircraft_count",
+             "avg_airborne_altitude_ft", "max_airborne_altitude_ft",
+             "min_airborne_altitude_ft", "avg_ground_speed_knots",
+             "hourly_sector_density_rank")
+SILVER_COLS = ("icao24", "callsign", "origin_country", "time_position", "longitude",
+               "latitude", "baro_altitude", "velocity", "on_ground", "ingested_at")
+
+
+def _check(layer, name, observed, failed, source):
+    return (f"SELECT '{layer}' AS layer, '{name}' AS \"check\", "
+            f"CAST(coalesce({observed}, 0) AS BIGINT) AS observed, "
+            f"CAST(coalesce({failed}, 0) AS BIGINT) AS failed_rows, "
+            f"coalesce({failed}, 0) = 0 AS passed FROM {source}")
+
+
+def _nulls(layer, cols, required, source):
+    parts = []
+    for c in cols:
+        nulls = f"(count(*) - count({c}))"
+        parts.append(_check(layer, f"nulls:{c}", nulls, nulls if c in required else "0", source))
+    return "\nUNION ALL ".join(parts)
+
+
+def _dups(layer, key, source):
+    k = ", ".join(key)
+    sub = f"(SELECT {k}, count(*) AS n FROM {source} GROUP BY {k}) t"
+    return _check(layer, "duplicate_keys:" + ",".join(key),
+                  "count(CASE WHEN n > 1 THEN 1 END)",
+                  "sum(CASE WHEN n > 1 THEN n - 1 ELSE 0 END)", sub)
+
+
+def _rowcount(layer, source):
+    return _check(layer, "row_count>0", "count(*)", "CASE WHEN count(*) = 0 THEN 1 ELSE 0 END",
+                  source)
+
+
+DRIFT = {  # slot -> (rows with text present, rows whose text does not parse)
+    "time_position": ("count(time_position)", "0"),
+    "last_contact": ("count(last_contact)", "0"),
+    "longitude": ("count(longitude)", "0"),
+    "latitude": ("count(latitude)", "0"),
+    "baro_altitude": ("count(CASE WHEN bad_altitude OR baro_altitude IS NOT NULL THEN 1 END)",
+                      "count(CASE WHEN bad_altitude THEN 1 END)"),
+    "on_ground": ("count(on_ground)", "0"),
+    "velocity": ("count(velocity)", "0"),
+    "true_track": ("count(true_track)", "0"),
+    "vertical_rate": ("count(vertical_rate)", "0"),
+    "geo_altitude": ("count(geo_altitude)", "0"),
+}
+
+HIST_CTES = (
+    """hx AS (SELECT origin_country, avg_ground_speed_knots AS x FROM fg
+              WHERE avg_ground_speed_knots IS NOT NULL)""",
+    """hs AS (SELECT count(x) AS n, min(x) AS lo, max(x) AS hi,
+                     quantile_cont(x, 0.75) AS q75, quantile_cont(x, 0.25) AS q25 FROM hx)""",
+    """hw AS (SELECT lo, hi, (hi - lo) / (log2(n) + 1.0) AS sturges,
+                     2.0 * (q75 - q25) * pow(n, -1.0 / 3.0) AS fd FROM hs)""",
+    """hp AS (SELECT fe, le,
+                     CAST(CASE WHEN width > 0 THEN ceil((le - fe) / width) ELSE 1 END AS BIGINT) AS nb
+              FROM (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS fe,
+                           CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS le,
+                           CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END AS width
+                    FROM hw) t)""",
+    """hr AS (SELECT origin_country, x, fe, le, nb,
+                     CAST(trunc((x - fe) * (nb / (le - fe))) AS BIGINT) AS raw FROM hx, hp)""",
+    """h0 AS (SELECT *, CASE WHEN raw >= nb THEN nb - 1 ELSE raw END AS i0 FROM hr)""",
+    """h1 AS (SELECT *, CASE WHEN x < (CASE WHEN i0 >= nb THEN le ELSE i0 * ((le - fe) / nb) + fe END)
+                            THEN i0 - 1 ELSE i0 END AS i1 FROM h0)""",
+    """h2 AS (SELECT origin_country, fe, le, nb,
+                     CASE WHEN x >= (CASE WHEN i1 + 1 >= nb THEN le ELSE (i1 + 1) * ((le - fe) / nb) + fe END)
+                               AND i1 <> nb - 1 THEN i1 + 1 ELSE i1 END AS bin FROM h1)""",
+    """hc AS (SELECT origin_country, bin, fe, le, nb, count(*) AS cnt FROM h2
+              GROUP BY origin_country, bin, fe, le, nb)""",
+    """he AS (SELECT origin_country, bin, cnt,
+                     CASE WHEN bin >= nb THEN le ELSE bin * ((le - fe) / nb) + fe END AS bin_left,
+                     CASE WHEN bin + 1 >= nb THEN le ELSE (bin + 1) * ((le - fe) / nb) + fe END AS bin_right,
+                     sum(cnt) OVER (PARTITION BY origin_country) AS total
+              FROM hc)""",
+)
+
+KDE_CTES = (
+    """kx AS (SELECT origin_country, avg_ground_speed_knots AS x FROM fg
+              WHERE avg_ground_speed_knots IS NOT NULL)""",
+    """ks AS (SELECT min(x) AS lo, max(x) AS hi FROM kx)""",
+    """kp AS (SELECT origin_country, count(x) AS n, stddev_samp(x) * pow(count(x), -0.2) AS h
+              FROM kx GROUP BY 1 HAVING count(x) >= 2 AND stddev_samp(x) > 0)""",
+    """kg AS (SELECT i AS grid_index,
+                     CASE WHEN i = 199 THEN hi ELSE i * ((hi - lo) / 199.0) + lo END AS grid_value
+              FROM ks, range(200) t(i))""",
+)
+
+BOX_CTES = (
+    """bx AS (SELECT flight_phase, avg_airborne_altitude_ft AS x FROM gold
+              WHERE avg_airborne_altitude_ft IS NOT NULL)""",
+    """bq AS (SELECT flight_phase, count(x) AS n, avg(x) AS mean,
+                     quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+                     quantile_cont(x, 0.75) AS q3 FROM bx GROUP BY 1)""",
+    """bf AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence,
+                     q3 + 1.5 * (q3 - q1) AS hi_fence FROM bq)""",
+    """be AS (SELECT bx.flight_phase,
+                     min(CASE WHEN x >= lo_fence THEN x END) AS lo_reach,
+                     max(CASE WHEN x <= hi_fence THEN x END) AS hi_reach,
+                     count(CASE WHEN x < lo_fence OR x > hi_fence THEN x END) AS n_fliers
+              FROM bx JOIN bf USING (flight_phase) GROUP BY 1)""",
+)
+
+
+def panel_sql() -> dict[str, str]:
+    gold_cols = ", ".join(GOLD_COLS)
+    return {
+        "top_gold_5000": q("""
+SELECT * FROM gold
+ORDER BY snapshot_hour DESC NULLS LAST, hourly_sector_density_rank ASC NULLS LAST,
+         origin_country ASC NULLS LAST, spatial_sector ASC NULLS LAST,
+         flight_phase ASC NULLS LAST
+LIMIT 5000"""),
+        "top_silver_5000": q("""
+SELECT * FROM silver ORDER BY time_position DESC NULLS FIRST, icao24 ASC NULLS LAST LIMIT 5000"""),
+        "kpi_cards": q("""
+SELECT CAST(coalesce(sum(su), 0) AS BIGINT) AS total_tracked_aircraft,
+       CAST(coalesce(sum(sa), 0) AS BIGINT) AS airborne_aircraft_volume,
+       coalesce((SELECT origin_country FROM pc ORDER BY n DESC, origin_country LIMIT 1), 'N/A')
+         AS busiest_country,
+       CASE WHEN coalesce(sum(n), 0) = 0 THEN 0.0 ELSE round(sum(ss) / sum(cs), 4) END
+         AS avg_ground_speed_knots,
+       CAST(coalesce(sum(n), 0) AS BIGINT) AS gold_rows
+FROM pc""", """pc AS (
+  SELECT origin_country, count(*) AS n, sum(unique_aircraft_count) AS su,
+         sum(airborne_aircraft_count) AS sa, sum(avg_ground_speed_knots) AS ss,
+         count(avg_ground_speed_knots) AS cs
+  FROM gold GROUP BY 1)"""),
+        "country_top10": q("""
+SELECT origin_country, CAST(sum(unique_aircraft_count) AS BIGINT) AS unique_aircraft_count
+FROM gold GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10"""),
+        "hourly_trend": q("""
+SELECT snapshot_hour, CAST(sum(airborne_aircraft_count) AS BIGINT) AS airborne_aircraft_count,
+       CAST(sum(ground_aircraft_count) AS BIGINT) AS ground_aircraft_count
+FROM gold GROUP BY 1"""),
+        "country_frequency": q("SELECT origin_country, count(*) AS count FROM clean GROUP BY 1"),
+        "country_top5_sectors": q(f"SELECT {gold_cols} FROM fg"),
+        "speed_histogram": q("""
+SELECT origin_country, bin, bin_left, bin_right, cnt AS count,
+       round(cnt / total / (bin_right - bin_left), 10) AS density
+FROM he""", *HIST_CTES),
+        "speed_kde": q("""
+SELECT kx.origin_country, grid_index, grid_value,
+       round(sum(exp(-0.5 * pow((grid_value - x) / h, 2))) / (n * h * sqrt(2 * pi())), 10)
+         AS density
+FROM kx JOIN kp USING (origin_country) CROSS JOIN kg
+GROUP BY kx.origin_country, grid_index, grid_value, n, h""", *KDE_CTES),
+        "phase_box_stats": q("""
+SELECT bf.flight_phase, n, round(mean, 6) AS mean, round(q1, 6) AS q1,
+       round(median, 6) AS median, round(q3, 6) AS q3, round(iqr, 6) AS iqr,
+       round(CASE WHEN lo_reach IS NULL OR lo_reach > q1 THEN q1 ELSE lo_reach END, 6) AS whislo,
+       round(CASE WHEN hi_reach IS NULL OR hi_reach < q3 THEN q3 ELSE hi_reach END, 6) AS whishi,
+       n_fliers
+FROM bf JOIN be USING (flight_phase)""", *BOX_CTES),
+        "phase_outliers": q(f"""
+SELECT {gold_cols} FROM gold g JOIN bf USING (flight_phase)
+WHERE g.avg_airborne_altitude_ft < lo_fence OR g.avg_airborne_altitude_ft > hi_fence""",
+                            *BOX_CTES),
+        "null_profile": q("\nUNION ALL ".join(
+            f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS null_count FROM gold"
+            for c in GOLD_COLS)),
+        "null_mask": q("SELECT " + ", ".join(f"{c} IS NULL AS {c}" for c in GOLD_COLS)
+                       + " FROM gold"),
+        "dq_nulls": q(_nulls("silver", SILVER_COLS, ("icao24", "time_position"), "silver")
+                      + "\nUNION ALL " +
+                      _nulls("gold", GOLD_COLS, ("snapshot_hour", "origin_country", "flight_phase"),
+                             "gold")),
+        "dq_duplicates": q("\nUNION ALL ".join([
+            _dups("silver_input", ("icao24", "time_position"), "silver_rows"),
+            _dups("silver", ("icao24", "time_position"), "silver"),
+            _dups("gold", ("snapshot_hour", "origin_country", "spatial_sector", "flight_phase"),
+                  "gold")])),
+        "dq_lengths": q("\nUNION ALL ".join(
+            _check("silver", f"max_length:{c}<={n}", f"max(length({c}))",
+                   f"count(CASE WHEN length({c}) > {n} THEN 1 END)", "silver")
+            for c, n in (("icao24", 50), ("callsign", 50), ("origin_country", 100)))),
+        "dq_rowcounts": q("\nUNION ALL ".join([
+            _rowcount("payload_states", "typed"),
+            _rowcount("parsed_records", "typed WHERE NOT short_vector"),
+            _rowcount("gold", "gold")])),
+        "dq_quarantine": q("""
+SELECT icao24, CAST(time_position AS VARCHAR) AS time_position_raw, ingested_at,
+       CASE WHEN short_vector THEN 16 ELSE 17 END AS slots, 'short_vector' AS reason
+FROM typed WHERE short_vector
+UNION ALL
+SELECT icao24, CAST(time_position AS VARCHAR) AS time_position_raw, ingested_at,
+       CASE WHEN short_vector THEN 16 ELSE 17 END AS slots,
+       'unparsable:baro_altitude' AS reason
+FROM typed WHERE bad_altitude"""),
+        "dq_type_drift": q("\nUNION ALL ".join(
+            _check("bronze", f"parsable:{k}", o, f, "typed") for k, (o, f) in DRIFT.items())),
+        "dq_freshness": q(_check(
+            "gold", "freshness:snapshot_hour<=7200s",
+            "((SELECT epoch_us(max(ingested_at)) // 1000000 FROM silver)"
+            " - epoch_us(max(snapshot_hour)) // 1000000)",
+            "CASE WHEN ((SELECT epoch_us(max(ingested_at)) // 1000000 FROM silver)"
+            " - epoch_us(max(snapshot_hour)) // 1000000) > 7200 THEN 1 ELSE 0 END",
+            "gold")),
+        "silver_flagged": q("""
+SELECT icao24, trim(callsign) AS callsign, upper(trim(origin_country)) AS origin_country,
+       make_timestamp(time_position * 1000000) AS time_position, longitude, latitude,
+       baro_altitude, velocity, on_ground, ingested_at,
+       icao24 IS NULL AS missing_icao24, time_position IS NULL AS missing_time_position,
+       (longitude IS NULL OR latitude IS NULL) AS missing_position,
+       baro_altitude IS NULL AS missing_altitude, on_ground IS NULL AS missing_on_ground,
+       trim(callsign) IS NULL AS missing_callsign,
+       origin_country IS NULL AS missing_country
+FROM typed"""),
+        "json_roundtrip": q("SELECT * FROM silver_rows"),
+    }

@@ -20,11 +20,15 @@ DEFAULT_CONF = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "contrail", extra: dict | None = None) -> SparkSession:
+                app_name: str = "contrail", extra: dict | None = None,
+                driver_memory: str = "8g") -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    conf = dict(DEFAULT_CONF)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+        if master.startswith("local"):
+            # Local mode: the driver JVM is the only executor.
+            conf["spark.driver.memory"] = driver_memory
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
