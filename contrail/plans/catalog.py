@@ -269,3 +269,45 @@ def queries() -> dict[str, Query]:
         "gold_row_count": q_gold_row_count,
         **_PANELS,
     }
+
+
+# --- streaming ----------------------------------------------------------------
+
+def _stream_tables(spark, d):
+    """Stream the ``events`` table (file source, checkpointed) through the
+    feed projection into the versioned Silver table and the day-partitioned
+    Gold table, under a fresh folder of the shared directory."""
+    import uuid
+
+    from contrail.session import shared_dir
+    from contrail.sources.feed import typed_from, vectors_from_typed
+    from contrail.sources.tables import table
+    from contrail.streaming import incremental as STR
+
+    root = f"{shared_dir(spark)}/contrail-stream/{uuid.uuid4().hex}"
+    events_schema = table(spark, d, "events").schema
+    nation = table(spark, d, "nation")
+    stream = (spark.readStream.schema(events_schema)
+              .option("pathGlobFilter", "events.parquet").parquet(d))
+
+    def to_rows(batch):
+        return P.flatten_states(vectors_from_typed(typed_from(batch, nation)))
+
+    q = STR.upsert_stream(spark, stream, f"{root}/silver", f"{root}/gold",
+                          f"{root}/_checkpoint", to_rows=to_rows)
+    STR.run_available(q)
+    return root
+
+
+def q_stream_silver(spark, d):
+    from contrail.plans import tables
+    return tables.read_latest(spark, f"{_stream_tables(spark, d)}/silver")
+
+
+def q_stream_gold(spark, d):
+    from contrail.schemas import GOLD_COLUMNS
+    return spark.read.parquet(f"{_stream_tables(spark, d)}/gold").select(*GOLD_COLUMNS)
+
+
+_PANELS["stream_silver"] = q_stream_silver
+_PANELS["stream_gold"] = q_stream_gold

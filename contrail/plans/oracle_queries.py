@@ -281,4 +281,6 @@ SELECT icao24, trim(callsign) AS callsign, upper(trim(origin_country)) AS origin
        origin_country IS NULL AS missing_country
 FROM typed"""),
         "json_roundtrip": q("SELECT * FROM silver_rows"),
+        "stream_silver": q("SELECT * FROM silver"),
+        "stream_gold": q("SELECT * FROM gold"),
     }

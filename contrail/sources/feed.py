@@ -33,9 +33,12 @@ def _null_if(eid: Column, modulus: int, value: Column) -> Column:
 
 def typed_events(spark: SparkSession, data_dir: str) -> DataFrame:
     """One typed flight observation per event (before text encoding)."""
-    events = table(spark, data_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value")
-    nation = table(spark, data_dir, "nation").select("n_nationkey", "n_name")
+    return typed_from(table(spark, data_dir, "events"), table(spark, data_dir, "nation"))
+
+
+def typed_from(events: DataFrame, nation: DataFrame) -> DataFrame:
+    events = events.select("event_id", "ts", "user_id", "event_type", "value")
+    nation = nation.select("n_nationkey", "n_name")
     # nation is a fixed 25-row dimension; the planner's size check decides on
     # a broadcast (and AQE re-checks at run time).
     e = events.join(nation, events.user_id % 5 == nation.n_nationkey, "left")
@@ -71,7 +74,10 @@ def typed_events(spark: SparkSession, data_dir: str) -> DataFrame:
 def state_vectors(spark: SparkSession, data_dir: str) -> DataFrame:
     """Raw feed rows: ``time``, ``fetched_at``, ``state`` (ARRAY<STRING>, the
     positional vector) and ``ingested_at``."""
-    t = typed_events(spark, data_dir)
+    return vectors_from_typed(typed_events(spark, data_dir))
+
+
+def vectors_from_typed(t: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     s = lambda c: F.col(c).cast("string")
     # Unparsable altitude text on some rows (kept; parsing must not fail).
