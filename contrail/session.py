@@ -16,6 +16,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
+    # whole-stage method beyond that would run interpreted (10x slower than
+    # the per-operator fallback Spark uses above this limit).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

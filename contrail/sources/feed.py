@@ -89,7 +89,7 @@ def vectors_from_typed(t: DataFrame) -> DataFrame:
         s("geo_altitude"), s("squawk"), F.lit(None).cast("string"),
         F.lit("0"),
     ]
-    vec = F.array(*slots)
-    # Some vectors arrive one slot short of the 17 the feed promises.
-    vec = F.when(eid % 37 == 0, F.slice(vec, 1, 16)).otherwise(vec)
+    # Some vectors arrive one slot short of the 17 the feed promises.  The
+    # array is referenced once so the generated code stays small.
+    vec = F.slice(F.array(*slots), 1, F.when(eid % 37 == 0, 16).otherwise(17))
     return t.select("time", "fetched_at", vec.alias("state"), "ingested_at")
