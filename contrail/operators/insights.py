@@ -91,14 +91,18 @@ def country_frequency(rows: DataFrame) -> DataFrame:
     return rows.groupBy("origin_country").count()
 
 
+def top_countries(rows: DataFrame, k: int = TOP_SCATTER_COUNTRIES) -> DataFrame:
+    """The ``k`` most frequent countries (ties: alphabetical)."""
+    return (country_frequency(rows)
+            .orderBy(F.col("count").desc(), F.col("origin_country")).limit(k))
+
+
 def top_country_rows(gold: DataFrame, k: int = TOP_SCATTER_COUNTRIES) -> DataFrame:
     """Rows of the ``k`` countries with the most located Gold rows (ties:
     alphabetical).  The country list is at most ``k`` rows, so it is
     broadcast into a left-semi join."""
     clean = geo_rows(gold)
-    top = (country_frequency(clean)
-           .orderBy(F.col("count").desc(), F.col("origin_country"))
-           .limit(k).select("origin_country"))
+    top = top_countries(clean, k).select("origin_country")
     return clean.join(F.broadcast(top), "origin_country", "left_semi").select(*GOLD_COLUMNS)
 
 

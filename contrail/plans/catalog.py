@@ -134,6 +134,10 @@ def q_hourly_trend(spark, d):
     return I.hourly_traffic(gold(spark, d))
 
 
+def q_country_top5(spark, d):
+    return I.top_countries(I.geo_rows(gold(spark, d)), I.TOP_SCATTER_COUNTRIES)
+
+
 def q_country_top5_sectors(spark, d):
     return I.top_country_rows(gold(spark, d), I.TOP_SCATTER_COUNTRIES)
 
@@ -233,6 +237,7 @@ _PANELS = {
     "country_top10": q_country_top10,
     "hourly_trend": q_hourly_trend,
     "country_frequency": q_country_frequency,
+    "country_top5": q_country_top5,
     "country_top5_sectors": q_country_top5_sectors,
     "speed_histogram": q_speed_histogram,
     "speed_kde": q_speed_kde,

@@ -208,6 +208,9 @@ SELECT snapshot_hour, CAST(sum(airborne_aircraft_count) AS BIGINT) AS airborne_a
        CAST(sum(ground_aircraft_count) AS BIGINT) AS ground_aircraft_count
 FROM gold GROUP BY 1"""),
         "country_frequency": q("SELECT origin_country, count(*) AS count FROM clean GROUP BY 1"),
+        "country_top5": q("""
+SELECT origin_country, count(*) AS count FROM clean GROUP BY 1
+ORDER BY count(*) DESC, origin_country LIMIT 5"""),
         "country_top5_sectors": q(f"SELECT {gold_cols} FROM fg"),
         "speed_histogram": q("""
 SELECT origin_country, bin, bin_left, bin_right, cnt AS count,

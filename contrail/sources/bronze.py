@@ -123,8 +123,13 @@ def read_bronze_variant(spark: SparkSession, path: str, multi_line: bool = True)
 
 
 def variant_rows(bronze_variant: DataFrame) -> DataFrame:
-    """Strip an outer JSON array: one row per element (objects pass through)."""
-    elems = F.try_variant_get("raw_data", "$", "array<variant>")
+    """Strip an outer JSON array: one row per element (objects pass through).
+    A wrapper object whose only field is an array (``{"states": [...]}``
+    handed to the lander as a dict) is replaced by that array's elements."""
+    as_map = F.try_variant_get("raw_data", "$", "map<string,variant>")
+    only = F.when(F.size(as_map) == 1, F.try_variant_get(
+        F.element_at(F.map_values(as_map), 1), "$", "array<variant>"))
+    elems = F.coalesce(F.try_variant_get("raw_data", "$", "array<variant>"), only)
     return bronze_variant.select(
         "*", F.explode(F.when(elems.isNotNull(), elems)
                        .otherwise(F.array(F.col("raw_data")))).alias("_v")

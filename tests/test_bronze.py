@@ -99,3 +99,13 @@ def test_medallion_run(spark, scratch):
     app2 = run(spark, land, wh + "_a", mode="append")
     assert app.gold_rows == app2.gold_rows
     assert spark.read.parquet(os.path.join(wh + "_a", "silver_append")).count() == 12
+
+
+def test_dict_wrapper_unwrapped(spark, scratch):
+    land = os.path.join(scratch, "wrapped")
+    recs = [{"icao24": "w1", "time_position": T0}, {"icao24": "w2", "time_position": T0}]
+    _write(land, "f.json", json.dumps({"records": recs}))
+    rows = B.variant_rows(B.read_bronze_variant(spark, land))
+    got = sorted(r.i for r in rows.select(F.try_variant_get("raw_data", "$.icao24", "string")
+                                          .alias("i")).collect())
+    assert got == ["w1", "w2"]
