@@ -1,11 +1,14 @@
 """Table sinks.
 
 * Bronze / Silver append (parity mode): ``mode("append")``.
-* Silver upsert (default): a *versioned* table.  Version ``n`` is written to
-  ``<path>/data/v=<n>`` from version ``n-1`` plus the new rows, and only then
-  committed by appending one row to ``<path>/_commits``.  A reader takes the
-  highest committed version, so a crashed or retried writer never exposes a
-  partial version, and a job never overwrites the files it is reading.
+* Silver upsert (default): a *versioned, day-partitioned* table.  Version
+  ``n`` writes ``<path>/data/v=<n>/day=<d>`` for the days its new rows touch
+  (latest-wins over those days of version ``n-1`` plus the new rows), and
+  only then commits one ``(version, day)`` row per day to ``<path>/_commits``.
+  The snapshot of version ``n`` takes, for every day, the newest committed
+  version ``<= n`` that wrote it.  A batch costs the days it touches, a
+  crashed or retried writer never exposes a partial version, and no job
+  overwrites files it is reading.
 * Gold refresh: full overwrite, or dynamic partition overwrite of the
   touched days only.
 * Create-if-absent catalog tables with the fixed schemas.
@@ -30,20 +33,41 @@ def version_path(path: str, version: int) -> str:
     return f"{path.rstrip('/')}/data/v={version}"
 
 
-def committed_version(spark: SparkSession, path: str) -> int | None:
-    """Highest committed version, or None for a table never written."""
+def _commit_log(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        row = spark.read.parquet(_commits(path)).agg(F.max("version").alias("v")).first()
+        return spark.read.parquet(_commits(path))
     except AnalysisException:
         return None
+
+
+def committed_version(spark: SparkSession, path: str) -> int | None:
+    """Highest committed version, or None for a table never written."""
+    log = _commit_log(spark, path)
+    row = None if log is None else log.agg(F.max("version").alias("v")).first()
     return None if row is None or row.v is None else int(row.v)
 
 
+def _snapshot_paths(spark: SparkSession, path: str, version: int | None,
+                    days: list | None = None) -> list[str]:
+    """Data folders making up ``version``: for every day, the newest
+    version <= ``version`` that wrote it.  One row per (version, day) is
+    collected -- table metadata, not data."""
+    log = _commit_log(spark, path)
+    if log is None or version is None:
+        return []
+    log = log.filter(F.col("version") <= version)
+    if days is not None:
+        log = log.filter(F.col("day").isin(days))
+    heads = log.groupBy("day").agg(F.max("version").alias("v")).collect()
+    return [f"{version_path(path, r.v)}/day={r.day.isoformat()}" for r in heads]
+
+
 def read_version(spark: SparkSession, path: str, version: int | None,
-                 schema: T.StructType = SILVER) -> DataFrame:
-    if version is None:
+                 schema: T.StructType = SILVER, days: list | None = None) -> DataFrame:
+    paths = _snapshot_paths(spark, path, version, days)
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(version_path(path, version))
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def read_latest(spark: SparkSession, path: str, schema: T.StructType = SILVER) -> DataFrame:
@@ -51,9 +75,10 @@ def read_latest(spark: SparkSession, path: str, schema: T.StructType = SILVER) -
 
 
 def commit(spark: SparkSession, path: str, version: int) -> None:
+    """Record the days version ``version`` wrote (after the data is complete)."""
     written = spark.read.parquet(version_path(path, version))
-    (written.agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(version).cast("bigint").alias("version"), "rows",
+    (written.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
+            .select(F.lit(version).cast("bigint").alias("version"), "day", "rows",
                     F.current_timestamp().cast("timestamp_ntz").alias("committed_at"))
             .coalesce(1).write.mode("append").parquet(_commits(path)))
 
@@ -61,18 +86,28 @@ def commit(spark: SparkSession, path: str, version: int) -> None:
 def upsert_silver(spark: SparkSession, path: str, incoming_rows: DataFrame,
                   base_version: int | None = None, new_version: int | None = None) -> int:
     """Write Silver version ``new_version`` = latest-wins over version
-    ``base_version`` and ``incoming_rows`` (both default to the committed
-    head and head + 1).  Rewriting the same version with the same inputs is
-    idempotent, so a replayed streaming batch is harmless."""
+    ``base_version`` and ``incoming_rows`` (defaults: the committed head and
+    head + 1).
+
+    Only the days present in ``incoming_rows`` are read and rewritten (the
+    touched-day list is collected: one date per day); untouched days keep
+    pointing at older versions, so a batch costs its days, not the table.
+    Rewriting the same version from the same inputs is idempotent, so a
+    replayed streaming batch is harmless."""
     if base_version is None:
         base_version = committed_version(spark, path)
     if new_version is None:
         new_version = (base_version or 0) + 1
     if base_version is not None and new_version <= base_version:
         raise ValueError("new version must be above the base version")
-    base = read_version(spark, path, base_version)
-    merged = S.upsert(base, incoming_rows)
-    merged.write.mode("overwrite").parquet(version_path(path, new_version))
+    incoming = incoming_rows.select(*SILVER.fieldNames())
+    days = [r.day for r in incoming.select(F.to_date("time_position").alias("day"))
+            .distinct().collect()]
+    if not days:
+        return new_version  # nothing to write: version n is version n-1
+    base = read_version(spark, path, base_version, days=days)
+    merged = S.upsert(base, incoming).withColumn("day", F.to_date("time_position"))
+    merged.write.mode("overwrite").partitionBy("day").parquet(version_path(path, new_version))
     commit(spark, path, new_version)
     return new_version
 

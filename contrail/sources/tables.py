@@ -8,8 +8,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+# Analyzed scans, per Spark application and path: schema discovery runs once
+# per table instead of once per query.  Spark still lists and reads the files
+# at every execution.
+_SCANS: dict[tuple[str, str], DataFrame] = {}
+
 
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    path = f"{data_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]

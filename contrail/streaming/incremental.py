@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.functions.timefn import hour_floor
 from contrail.operators import gold as G
 from contrail.operators.bronze_silver import bronze_silver_rows
 from contrail.plans import tables
@@ -67,12 +66,13 @@ def hourly_traffic_stream(rows: DataFrame, delay: str = "2 hours") -> DataFrame:
                      "origin_country", "approx_aircraft", "reports"))
 
 
-def refresh_gold_days(spark: SparkSession, silver: DataFrame, touched: DataFrame,
-                      gold_path: str) -> None:
-    """Recompute Gold for every hour of the touched days.  The touched-day
-    list is one row per day; the planner/AQE broadcast it when small."""
-    days = touched.select(F.to_date("time_position").alias("_day")).distinct()
-    scope = silver.join(days, F.to_date(silver.time_position) == days._day, "left_semi")
+def refresh_gold_days(spark: SparkSession, silver_path: str, version: int,
+                      days: list, gold_path: str) -> None:
+    """Recompute Gold for every hour of the touched days from the Silver
+    snapshot of those days only, and replace those Gold day partitions."""
+    if not days:
+        return
+    scope = tables.read_version(spark, silver_path, version, days=days)
     tables.overwrite_days(G.gold(scope).select(*GOLD_COLUMNS), gold_path)
 
 
@@ -90,8 +90,9 @@ def upsert_batch(spark: SparkSession, silver_path: str, gold_path: str | None,
                                            base_version=batch_id if batch_id > 0 else None,
                                            new_version=batch_id + 1)
             if gold_path:
-                silver = tables.read_version(spark, silver_path, version)
-                refresh_gold_days(spark, silver, rows, gold_path)
+                days = [r.d for r in rows.select(F.to_date("time_position").alias("d"))
+                        .distinct().collect()]
+                refresh_gold_days(spark, silver_path, version, days, gold_path)
         finally:
             batch.unpersist()
     return handle
