@@ -10,9 +10,14 @@ from pyspark.sql import functions as F
 
 from contrail.functions.flight import feet, flight_phase, knots
 from contrail.functions.geo import geohash
+from contrail.operators import distributions as D
 from contrail.operators import gold as G
+from contrail.operators import insights as I
 from contrail.operators import parse as P
+from contrail.operators import quality as Q
 from contrail.operators import silver as S
+from contrail.plans.tables import materialize
+from contrail.schemas import GOLD_KEY, SILVER_KEY, SILVER_LENGTH_LIMITS
 from contrail.sources.feed import state_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +41,19 @@ def gold(spark, d):
     return G.gold(silver(spark, d))
 
 
+# Queries that read a layer in more than one branch read it from a table
+# written once (as a deployment reads its Gold / Silver tables) instead of
+# recomputing the pipeline per branch.
+
+def silver_table(spark, d):
+    return materialize(spark, silver(spark, d), "silver")
+
+
+def gold_table(spark, d, silver_df=None):
+    s = silver_df if silver_df is not None else silver(spark, d)
+    return materialize(spark, G.gold(s), "gold")
+
+
 # --- parsing / Silver -------------------------------------------------------
 
 def q_state_parse(spark, d):
@@ -108,10 +126,6 @@ def q_gold_row_count(spark, d):
 
 # --- dashboard panels ----------------------------------------------------------
 
-from contrail.operators import distributions as D  # noqa: E402
-from contrail.operators import insights as I  # noqa: E402
-from contrail.operators import quality as Q  # noqa: E402
-from contrail.schemas import GOLD_KEY, SILVER_KEY, SILVER_LENGTH_LIMITS  # noqa: E402
 
 
 def q_top_gold_5000(spark, d):
@@ -139,7 +153,7 @@ def q_country_top5(spark, d):
 
 
 def q_country_top5_sectors(spark, d):
-    return I.top_country_rows(gold(spark, d), I.TOP_SCATTER_COUNTRIES)
+    return I.top_country_rows(gold_table(spark, d), I.TOP_SCATTER_COUNTRIES)
 
 
 def q_country_frequency(spark, d):
@@ -147,21 +161,21 @@ def q_country_frequency(spark, d):
 
 
 def q_speed_histogram(spark, d):
-    rows = I.top_country_rows(gold(spark, d))
+    rows = I.top_country_rows(gold_table(spark, d))
     return D.density_histogram(rows, "avg_ground_speed_knots", "origin_country")
 
 
 def q_speed_kde(spark, d):
-    rows = I.top_country_rows(gold(spark, d))
+    rows = I.top_country_rows(gold_table(spark, d))
     return D.kde_curves(rows, "avg_ground_speed_knots", "origin_country")
 
 
 def q_phase_box_stats(spark, d):
-    return D.box_stats(gold(spark, d), "avg_airborne_altitude_ft", "flight_phase")
+    return D.box_stats(gold_table(spark, d), "avg_airborne_altitude_ft", "flight_phase")
 
 
 def q_phase_outliers(spark, d):
-    return D.box_outliers(gold(spark, d), "avg_airborne_altitude_ft", "flight_phase")
+    return D.box_outliers(gold_table(spark, d), "avg_airborne_altitude_ft", "flight_phase")
 
 
 def q_null_profile(spark, d):
@@ -175,16 +189,20 @@ def q_null_mask(spark, d):
 # --- data quality -----------------------------------------------------------
 
 def q_dq_nulls(spark, d):
+    s = silver_table(spark, d)
     return Q.combine(
-        Q.null_checks(silver(spark, d), "silver", SILVER_KEY),
-        Q.null_checks(gold(spark, d), "gold", ("snapshot_hour", "origin_country", "flight_phase")))
+        Q.null_checks(s, "silver", SILVER_KEY),
+        Q.null_checks(gold_table(spark, d, s), "gold",
+                      ("snapshot_hour", "origin_country", "flight_phase")))
 
 
 def q_dq_duplicates(spark, d):
+    rows = materialize(spark, silver_rows(spark, d), "silver_rows")
+    s = materialize(spark, S.latest(rows), "silver")
     return Q.combine(
-        Q.duplicate_checks(silver_rows(spark, d), "silver_input", SILVER_KEY),
-        Q.duplicate_checks(silver(spark, d), "silver", SILVER_KEY),
-        Q.duplicate_checks(gold(spark, d), "gold", GOLD_KEY))
+        Q.duplicate_checks(rows, "silver_input", SILVER_KEY),
+        Q.duplicate_checks(s, "silver", SILVER_KEY),
+        Q.duplicate_checks(gold_table(spark, d, s), "gold", GOLD_KEY))
 
 
 def q_dq_lengths(spark, d):
@@ -192,6 +210,8 @@ def q_dq_lengths(spark, d):
 
 
 def q_dq_rowcounts(spark, d):
+    # Each check has its own plan; Gold is computed once (the feed is a
+    # cheap projection of the scan).
     return Q.combine(
         Q.row_count_check(vectors(spark, d).filter(F.size("state") > 0), "payload_states"),
         Q.row_count_check(P.parse_records(vectors(spark, d)), "parsed_records"),
@@ -208,8 +228,9 @@ def q_dq_type_drift(spark, d):
 
 def q_dq_freshness(spark, d):
     """Newest Gold hour against the newest ingest time, 2-hour limit."""
-    s = silver(spark, d)
-    now = s.agg(F.max("ingested_at")).scalar()
+    # The newest ingested row always wins its key, so the Silver clock is
+    # the maximum over the undeduplicated rows (a cheap scalar subquery).
+    now = silver_rows(spark, d).agg(F.max("ingested_at")).scalar()
     return Q.freshness_check(gold(spark, d), "gold", "snapshot_hour", now, 7200)
 
 
@@ -278,7 +299,7 @@ def queries() -> dict[str, Query]:
 
 # --- streaming ----------------------------------------------------------------
 
-def _stream_tables(spark, d):
+def _stream_tables(spark, d, with_gold=True):
     """Stream the ``events`` table (file source, checkpointed) through the
     feed projection into the versioned Silver table and the day-partitioned
     Gold table, under a fresh folder of the shared directory."""
@@ -298,7 +319,8 @@ def _stream_tables(spark, d):
     def to_rows(batch):
         return P.flatten_states(vectors_from_typed(typed_from(batch, nation)))
 
-    q = STR.upsert_stream(spark, stream, f"{root}/silver", f"{root}/gold",
+    q = STR.upsert_stream(spark, stream, f"{root}/silver",
+                          f"{root}/gold" if with_gold else None,
                           f"{root}/_checkpoint", to_rows=to_rows)
     STR.run_available(q)
     return root
@@ -306,7 +328,7 @@ def _stream_tables(spark, d):
 
 def q_stream_silver(spark, d):
     from contrail.plans import tables
-    return tables.read_latest(spark, f"{_stream_tables(spark, d)}/silver")
+    return tables.read_latest(spark, f"{_stream_tables(spark, d, with_gold=False)}/silver")
 
 
 def q_stream_gold(spark, d):

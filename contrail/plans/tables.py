@@ -112,6 +112,18 @@ def upsert_silver(spark: SparkSession, path: str, incoming_rows: DataFrame,
     return new_version
 
 
+def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to a fresh folder of the shared directory and read
+    it back: every later branch reads the written table instead of
+    recomputing the plan, and the lineage is cut there."""
+    import uuid
+
+    from contrail.session import shared_dir
+    path = f"{shared_dir(spark)}/contrail-work/{uuid.uuid4().hex}/{label}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
