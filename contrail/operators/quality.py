@@ -89,6 +89,21 @@ def type_drift_checks(vectors: DataFrame, layer: str = "bronze") -> DataFrame:
     return _rows(layer, named, vectors)
 
 
+def schema_drift(df: DataFrame, expected, layer: str) -> list[tuple]:
+    """Schema-level drift (metadata only, no job): columns missing, extra,
+    or of another type than the fixed schema.  Returns check tuples in the
+    column order of ``CHECK_COLUMNS``; the data-level face of drift is
+    ``type_drift_checks``."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    want = {f.name: f.dataType.simpleString() for f in expected.fields}
+    out = []
+    for name in sorted(set(have) | set(want)):
+        ok = have.get(name) == want.get(name)
+        out.append((layer, f"schema:{name}:{want.get(name, '-')}",
+                    0 if name in have else 1, 0 if ok else 1, ok))
+    return out
+
+
 def combine(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 

@@ -49,10 +49,17 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this is ``spark.checkpoint.dir``.  Only when the session has
     none (local runs, tests) a fresh local folder is created and registered.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect: the server owns checkpoints
+        if configured:
+            return configured.rstrip("/")
+        return tempfile.mkdtemp(prefix="contrail-ckpt-")
+    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:

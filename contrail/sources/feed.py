@@ -41,10 +41,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     by a hash repartition on ``key`` (deterministic on retry) so the row-wise
     parsing that follows uses every core.  A large input already has
     thousands of splits and is left alone."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots, key)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session)
+        return df
+    return df.repartition(slots, key) if splits < slots else df
 
 
 def typed_from(events: DataFrame, nation: DataFrame) -> DataFrame:

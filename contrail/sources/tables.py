@@ -18,7 +18,11 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     path = f"{data_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect sessions expose no context
+        app = str(id(spark))
+    key = (app, path)
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]

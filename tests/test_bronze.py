@@ -109,3 +109,18 @@ def test_dict_wrapper_unwrapped(spark, scratch):
     got = sorted(r.i for r in rows.select(F.try_variant_get("raw_data", "$.icao24", "string")
                                           .alias("i")).collect())
     assert got == ["w1", "w2"]
+
+
+def test_ensure_table_and_schema_drift(spark, scratch):
+    from contrail.operators import quality as Q
+    from contrail.schemas import SILVER
+    path = os.path.join(scratch, "silver_tbl")
+    tables.ensure_table(spark, "contrail_silver_t", SILVER, path)
+    tables.ensure_table(spark, "contrail_silver_t", SILVER, path)  # idempotent
+    assert spark.table("contrail_silver_t").schema == SILVER
+    ok = Q.schema_drift(spark.table("contrail_silver_t"), SILVER, "silver")
+    assert all(r[-1] for r in ok)
+    drifted = spark.table("contrail_silver_t").drop("velocity").withColumn(
+        "on_ground", F.lit("yes"))
+    bad = {r[1]: r for r in Q.schema_drift(drifted, SILVER, "silver") if not r[-1]}
+    assert set(bad) == {"schema:velocity:double", "schema:on_ground:boolean"}

@@ -48,3 +48,37 @@ def test_time_is_zone_independent(spark):
             assert r.e == 1704067200 + 5 * 3600 + 1234
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+_BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
+
+
+def _bisect_geohash(lon, lat, precision):
+    """The classic interval-halving encoder, as an independent reference."""
+    lo_lon, hi_lon, lo_lat, hi_lat = -180.0, 180.0, -90.0, 90.0
+    bits, out, even = [], [], True
+    while len(out) < precision:
+        if even:
+            mid = (lo_lon + hi_lon) / 2
+            bits.append(1 if lon >= mid else 0)
+            lo_lon, hi_lon = (mid, hi_lon) if lon >= mid else (lo_lon, mid)
+        else:
+            mid = (lo_lat + hi_lat) / 2
+            bits.append(1 if lat >= mid else 0)
+            lo_lat, hi_lat = (mid, hi_lat) if lat >= mid else (lo_lat, mid)
+        even = not even
+        if len(bits) == 5:
+            out.append(_BASE32[int("".join(map(str, bits)), 2)])
+            bits = []
+    return "".join(out)
+
+
+def test_geohash_matches_bisection(spark):
+    import random
+    rnd = random.Random(11)
+    pts = [(rnd.uniform(-179.999, 179.999), rnd.uniform(-89.999, 89.999)) for _ in range(400)]
+    df = spark.createDataFrame(pts, "lon double, lat double")
+    got = df.select("lon", "lat", *[geohash("lon", "lat", p).alias(f"g{p}") for p in (3, 4, 6, 9)])
+    for r in got.collect():
+        for p in (3, 4, 6, 9):
+            assert r[f"g{p}"] == _bisect_geohash(r.lon, r.lat, p)
