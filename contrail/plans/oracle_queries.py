@@ -155,7 +155,7 @@ KDE_CTES = (
     """ks AS (SELECT min(x) AS lo, max(x) AS hi FROM kx)""",
     """kp AS (SELECT origin_country, count(x) AS n, stddev_samp(x) * pow(count(x), -0.2) AS h
               FROM kx GROUP BY 1 HAVING count(x) >= 2 AND stddev_samp(x) > 0)""",
-    """kg AS (SELECT i AS grid_index,
+    """kg AS (SELECT CAST(i AS INTEGER) AS grid_index,
                      CASE WHEN i = 199 THEN hi ELSE i * ((hi - lo) / 199.0) + lo END AS grid_value
               FROM ks, range(200) t(i))""",
 )

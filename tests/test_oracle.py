@@ -39,11 +39,20 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="driver test data absent")
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
-    got = E.queries()[name](spark, DATA).toPandas()
-    want = duck.execute(E.oracle_sql()[name]).df()
+    sdf = E.queries()[name](spark, DATA)
+    rel = duck.sql(E.oracle_sql()[name])
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in sdf.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    got = sdf.toPandas()
+    want = rel.df()
     gc, gr = _canon(got)
     wc, wr = _canon(want)
     assert gc == wc
