@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from contrail.schemas import GOLD_COLUMNS
 
-# Dashboard sizes.
+# Dashboard page sizes, top-k sizes, and the KPI label shown
+# when there is no Gold row.
 GOLD_PAGE = 5000
 SILVER_PAGE = 5000
 TOP_COUNTRIES = 10

@@ -26,6 +26,10 @@ from contrail.schemas import MIN_VECTOR_SLOTS, SLOT_TYPES, SLOTS
 
 STATE = "state"
 
+# Labels the record path gives a missing callsign / country.
+NO_CALLSIGN = "N/A"
+NO_COUNTRY = "UNKNOWN"
+
 
 def slot(name: str, vec: str = STATE) -> Column:
     """Raw text of a named slot (null when the vector is too short)."""
@@ -58,9 +62,9 @@ def parse_records(vectors: DataFrame, min_slots: int = MIN_VECTOR_SLOTS) -> Data
         else fetched.cast("bigint")
     return vectors.filter(F.size(STATE) >= min_slots).select(
         slot("icao24").alias("icao24"),
-        F.when(raw_call.isNull() | (raw_call == ""), F.lit("N/A"))
+        F.when(raw_call.isNull() | (raw_call == ""), F.lit(NO_CALLSIGN))
          .otherwise(py_strip(raw_call)).alias("callsign"),
-        F.when(raw_country.isNull() | (raw_country == ""), F.lit("UNKNOWN"))
+        F.when(raw_country.isNull() | (raw_country == ""), F.lit(NO_COUNTRY))
          .otherwise(raw_country).alias("origin_country"),
         typed_slot("time_position").alias("time_position"),
         typed_slot("last_contact").alias("last_contact"),
@@ -107,8 +111,8 @@ def records_to_silver(records: DataFrame, ingested_at: Column | None = None) ->
     ing = ingested_at if ingested_at is not None else F.col("ingested_at")
     return records.select(
         F.col("icao24"),
-        F.when(call == "N/A", F.lit(None)).otherwise(call).alias("callsign"),
-        F.when(country == "UNKNOWN", F.lit(None)).otherwise(country).alias("origin_country"),
+        F.when(call == NO_CALLSIGN, F.lit(None)).otherwise(call).alias("callsign"),
+        F.when(country == NO_COUNTRY, F.lit(None)).otherwise(country).alias("origin_country"),
         epoch_to_ntz(F.col("time_position").cast("bigint")).alias("time_position"),
         F.col("longitude").cast("double"),
         F.col("latitude").cast("double"),

@@ -64,7 +64,7 @@ def test_kde_matches_formula(spark):
     assert np.allclose([r.density for r in out], ref, atol=1e-9)
 
 
-def test_box_stats_like_matplotlib(spark):
+def test_box_stats_quartiles_and_whiskers(spark):
     xs = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 100.0, -50.0]
     df = spark.createDataFrame([("p", x) for x in xs], "g string, x double")
     r = D.box_stats(df, "x", "g").first()
