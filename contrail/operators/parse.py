@@ -53,8 +53,10 @@ def explode_payloads(payloads: DataFrame, states: str = "states") -> DataFrame:
     return payloads.select(*others, F.explode(F.col(states)).alias(STATE))
 
 
-def parse_records(vectors: DataFrame, min_slots: int = MIN_VECTOR_SLOTS) -> DataFrame:
-    """Record path: one flight record per vector of at least ``min_slots``."""
+def parse_records(vectors: DataFrame, min_slots: int = MIN_VECTOR_SLOTS,
+                  keep=()) -> DataFrame:
+    """Record path: one flight record per vector of at least ``min_slots``
+    (``keep``: extra columns carried through, e.g. the ingest time)."""
     raw_call, raw_country = slot("callsign"), slot("origin_country")
     fetched = F.col("fetched_at") if "fetched_at" in vectors.columns else F.lit(None)
     fetch_time = F.coalesce(F.nullif(fetched.cast("bigint"), F.lit(0)),
@@ -78,6 +80,7 @@ def parse_records(vectors: DataFrame, min_slots: int = MIN_VECTOR_SLOTS) -> Data
         typed_slot("geo_altitude").alias("geo_altitude"),
         typed_slot("squawk").alias("squawk"),
         fetch_time.alias("time_fetched"),
+        *keep,
     )
 
 

@@ -20,7 +20,7 @@ from contrail.operators.bronze_silver import bronze_silver_rows
 from contrail.plans import tables
 from contrail.schemas import GOLD_COLUMNS
 from contrail.session import shared_dir
-from contrail.sources.bronze import read_bronze
+from contrail.sources.bronze import load_bronze
 
 
 @dataclass
@@ -50,10 +50,10 @@ def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
     """One full pass.  ``mode="upsert"`` keeps one row per key across runs;
     ``mode="append"`` reproduces the append-only Silver."""
     wh = warehouse.rstrip("/")
-    bronze = read_bronze(spark, landing, multi_line=multi_line, ingested_at=ingested_at)
-    bronze_path = f"{wh}/bronze/run={uuid.uuid4().hex}"
-    bronze.write.mode("overwrite").parquet(bronze_path)
-    bronze = spark.read.parquet(bronze_path)
+    # Bronze is appended per run (one folder per load); bad files stay in
+    # it, flagged, and are skipped when read.
+    bronze = load_bronze(spark, landing, f"{wh}/bronze/run={uuid.uuid4().hex}",
+                         multi_line=multi_line, ingested_at=ingested_at)
     rows = bronze_silver_rows(bronze)
     silver_path = f"{wh}/silver"
     if mode == "upsert":

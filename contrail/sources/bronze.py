@@ -89,13 +89,7 @@ def skip_bad_files(raw: DataFrame) -> DataFrame:
     return raw.join(bad, "_file", "left_anti").drop(CORRUPT)
 
 
-def read_bronze(spark: SparkSession, path: str, multi_line: bool = False,
-                ingested_at: Column | str | None = None) -> DataFrame:
-    """Bronze rows of every JSON file below ``path`` (bad files skipped).
-
-    ``ingested_at``: a column/literal, ``"file"`` for the file modification
-    time (stable across re-reads), or None for the load time."""
-    good = skip_bad_files(_parsed_once(spark, path, multi_line))
+def _stamp(good: DataFrame, ingested_at: Column | str | None) -> DataFrame:
     if ingested_at is None:
         ing = F.current_timestamp().cast("timestamp_ntz")
     elif isinstance(ingested_at, str) and ingested_at == "file":
@@ -106,6 +100,23 @@ def read_bronze(spark: SparkSession, path: str, multi_line: bool = False,
     return good.withColumn("ingested_at", ing).drop("_file_time")
 
 
+def read_bronze(spark: SparkSession, path: str, multi_line: bool = False,
+                ingested_at: Column | str | None = None) -> DataFrame:
+    """Bronze rows of every JSON file below ``path`` (bad files skipped).
+
+    ``ingested_at``: a column/literal, ``"file"`` for the file modification
+    time (stable across re-reads), or None for the load time."""
+    return _stamp(skip_bad_files(_parsed_once(spark, path, multi_line)), ingested_at)
+
+
+def load_bronze(spark: SparkSession, path: str, bronze_path: str, multi_line: bool = False,
+                ingested_at: Column | str | None = None) -> DataFrame:
+    """Write the raw parse (corrupt-record flags and file paths included) as
+    the Bronze table, once, and return its good rows read back from it."""
+    _parse(spark, path, multi_line).write.mode("overwrite").parquet(bronze_path)
+    return _stamp(skip_bad_files(spark.read.parquet(bronze_path)), ingested_at)
+
+
 def bad_files(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Files the Bronze load skips, with their first unparsable text."""
     raw = _parsed_once(spark, path, multi_line)

@@ -28,12 +28,17 @@ from contrail.schemas import GOLD_COLUMNS
 from contrail.sources.bronze import BRONZE_SCHEMA, CORRUPT, skip_bad_files
 
 
-def bronze_stream(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
+# Upper bound of landing files per micro-batch (the batch is persisted by the
+# upsert handler, so its size must be bounded).
+MAX_FILES_PER_BATCH = 1000
+
+
+def bronze_stream(spark: SparkSession, landing: str,
+                  max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
     reader = (spark.readStream.schema(BRONZE_SCHEMA)
               .option("columnNameOfCorruptRecord", CORRUPT)
-              .option("pathGlobFilter", "*.json"))
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+              .option("pathGlobFilter", "*.json")
+              .option("maxFilesPerTrigger", max_files))
     return (reader.json(landing)
             .withColumn("_file", F.col("_metadata.file_path"))
             .withColumn("ingested_at", F.col("_metadata.file_modification_time").cast("timestamp_ntz")))
