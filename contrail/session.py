@@ -67,3 +67,30 @@ def shared_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="contrail-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
+
+
+def cluster_conf(input_bytes: int, executor_cores: int = 4, executors: int = 1000) -> dict:
+    """Starting settings for a cluster run over ``input_bytes`` of landing
+    data (pass to ``get_session(extra=...)`` or spark-submit).
+
+    * 256 MiB scan splits: ~400k scan tasks for 100 TB, each well inside
+      executor memory.
+    * Initial shuffle partitions sized for ~512 MiB of the widest shuffle
+      (the Silver dedup, about the input size), never fewer than the task
+      slots; AQE then coalesces small partitions toward the advisory size and
+      splits skewed ones.
+    * Broadcasts stay at the checked 64 MiB threshold (AQE re-checks at run
+      time from real shuffle sizes).
+    """
+    mib = 1 << 20
+    slots = executor_cores * executors
+    partitions = max(slots, int(input_bytes // (512 * mib)) + 1)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 * mib),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * mib),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1024 * mib),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * mib),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mib),
+    }
