@@ -89,7 +89,8 @@ def kde_curves(rows: DataFrame, value: str, group: str,
     Each row is expanded to the grid points by ``explode(sequence)`` and the
     kernel terms are summed per (group, grid point) with map-side partial
     aggregation.  The grid span is a scalar subquery; the per-group
-    bandwidths are one row per group (the hue domain), broadcast."""
+    bandwidths are one row per group, joined back (AQE broadcasts them once
+    measured small)."""
     v = F.col(value)
     clean = rows.filter(v.isNotNull() & F.col(group).isNotNull())
     g_lo = clean.agg(F.min(v)).scalar()
@@ -101,7 +102,7 @@ def kde_curves(rows: DataFrame, value: str, group: str,
     lo, hi = F.col("_lo"), F.col("_hi")
     i = F.col("grid_index")
     terms = (clean.select(group, v.alias("_x"), g_lo.alias("_lo"), g_hi.alias("_hi"))
-                  .join(F.broadcast(per_group), group)
+                  .join(per_group, group)
                   .select(group, "n", "h", "_x", "_lo", "_hi",
                           F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("grid_index"))
                   .withColumn("grid_value", F.when(i == grid_points - 1, hi).otherwise(
@@ -128,8 +129,9 @@ def box_stats(rows: DataFrame, value: str, group: str) -> DataFrame:
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - WHISKER_IQR * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + WHISKER_IQR * F.col("iqr"))
-    # One row per group value (the phase domain): broadcast.
-    joined = clean.select(group, v.alias("_x")).join(F.broadcast(q), group)
+    # One row per group value: AQE broadcasts it after measuring it (a few
+    # bytes for the phase domain) and keeps a shuffle join otherwise.
+    joined = clean.select(group, v.alias("_x")).join(q, group)
     x = F.col("_x")
     ext = joined.groupBy(group).agg(
         F.min(F.when(x >= F.col("lo_fence"), x)).alias("lo_reach"),
@@ -156,6 +158,6 @@ def box_outliers(rows: DataFrame, value: str, group: str) -> DataFrame:
     iqr = F.col("qs")[1] - F.col("qs")[0]
     q = q.select(group, (F.col("qs")[0] - WHISKER_IQR * iqr).alias("lo_fence"),
                  (F.col("qs")[1] + WHISKER_IQR * iqr).alias("hi_fence"))
-    return (clean.join(F.broadcast(q), group)
+    return (clean.join(q, group)
                  .filter((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
                  .drop("lo_fence", "hi_fence"))
