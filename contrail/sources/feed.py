@@ -86,10 +86,24 @@ def typed_from(events: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
+_FEEDS: dict[tuple[str, str], DataFrame] = {}
+
+
 def state_vectors(spark: SparkSession, data_dir: str) -> DataFrame:
     """Raw feed rows: ``time``, ``fetched_at``, ``state`` (ARRAY<STRING>, the
-    positional vector) and ``ingested_at``."""
-    return vectors_from_typed(typed_events(spark, data_dir))
+    positional vector) and ``ingested_at``.
+
+    The analyzed (lazy) DataFrame is kept per application and folder, so
+    queries built on it do not re-analyze the feed; every execution still
+    reads and derives all rows."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect sessions expose no context
+        app = str(id(spark))
+    key = (app, data_dir.rstrip("/"))
+    if key not in _FEEDS:
+        _FEEDS[key] = vectors_from_typed(typed_events(spark, data_dir))
+    return _FEEDS[key]
 
 
 def vectors_from_typed(t: DataFrame) -> DataFrame:
