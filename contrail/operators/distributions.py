@@ -1,11 +1,9 @@
 """Distribution panels: shared-bin density histogram, Gaussian KDE curves
 and box-plot statistics, as Spark aggregates.
 
-Exact quantiles use Spark's ``percentile`` (linear interpolation between
-order statistics).  Its buffer holds one entry per distinct value of a
-group; the Gold measures it is applied to are rounded to two decimals, so
-the number of distinct values is bounded by range / 0.01 whatever the
-input volume.
+Exact quantiles come from ``quantiles.exact_quantiles`` (ranks computed
+per value bucket, linear interpolation between order statistics as numpy
+does), so no task holds a whole group's values.
 """
 
 from __future__ import annotations
@@ -15,6 +13,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contrail.operators.quantiles import exact_quantiles
+
 # Fixed values of the plotting defaults reproduced here: KDE grid size,
 # box whisker reach (in IQRs).
 KDE_GRID_POINTS = 200
@@ -26,13 +26,18 @@ def _bin_params(rows: DataFrame, value: str) -> DataFrame:
     Freedman-Diaconis and Sturges bin widths over all rows (Sturges alone
     when the IQR is zero), bins spanning [min, max]."""
     v = F.col(value)
+    qs = exact_quantiles(rows, value, [0.25, 0.75])
+    q25 = qs.filter(F.col("q") == 0.25).select("quantile").scalar()
+    q75 = qs.filter(F.col("q") == 0.75).select("quantile").scalar()
     s = rows.filter(v.isNotNull()).agg(
-        F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"),
-        F.percentile(v, F.array(F.lit(0.75), F.lit(0.25))).alias("q"))
+        F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+    n = F.col("n")
     ptp = F.col("hi") - F.col("lo")
-    sturges = ptp / (F.log2(F.col("n")) + 1.0)
-    iqr = F.col("q")[0] - F.col("q")[1]
-    fd = 2.0 * iqr * F.pow(F.col("n"), -1.0 / 3.0)
+    # log2 exactly for powers of two: integer part from the bit length
+    k = F.length(F.bin(n)) - 1
+    log2n = k + F.log2(n / F.pow(F.lit(2.0), k))
+    sturges = ptp / (log2n + 1.0)
+    fd = 2.0 * (q75 - q25) * F.pow(n, -1.0 / 3.0)
     width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
     same = F.col("lo") == F.col("hi")
     first = F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo"))
@@ -115,17 +120,23 @@ def kde_curves(rows: DataFrame, value: str, group: str,
         F.round(F.col("s") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi)), 10).alias("density"))
 
 
+def _quartiles(clean: DataFrame, value: str, group: str, probs) -> DataFrame:
+    """One row per group with one column per probability (``p25`` ...)."""
+    qs = exact_quantiles(clean, value, probs, group)
+    return qs.groupBy(group).agg(*[
+        F.max(F.when(F.col("q") == float(p), F.col("quantile"))).alias(f"p{round(p * 100)}")
+        for p in probs])
+
+
 def box_stats(rows: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles (linear interpolation), IQR, whiskers at the furthest
     values within 1.5 IQR of the box, and the number of values beyond."""
     v = F.col(value)
     clean = rows.filter(v.isNotNull())
-    q = clean.groupBy(group).agg(
-        F.count(v).alias("n"), F.avg(v).alias("mean"),
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("qs"))
-    q = q.select(group, "n", "mean",
-                 F.col("qs")[0].alias("q1"), F.col("qs")[1].alias("median"),
-                 F.col("qs")[2].alias("q3"))
+    q = clean.groupBy(group).agg(F.count(v).alias("n"), F.avg(v).alias("mean")).join(
+        _quartiles(clean, value, group, [0.25, 0.5, 0.75]), group)
+    q = q.select(group, "n", "mean", F.col("p25").alias("q1"), F.col("p50").alias("median"),
+                 F.col("p75").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
          .withColumn("lo_fence", F.col("q1") - WHISKER_IQR * F.col("iqr")) \
          .withColumn("hi_fence", F.col("q3") + WHISKER_IQR * F.col("iqr"))
@@ -153,11 +164,10 @@ def box_outliers(rows: DataFrame, value: str, group: str) -> DataFrame:
     """Rows beyond the whiskers (the plotted fliers)."""
     v = F.col(value)
     clean = rows.filter(v.isNotNull())
-    q = clean.groupBy(group).agg(
-        F.percentile(v, F.array(F.lit(0.25), F.lit(0.75))).alias("qs"))
-    iqr = F.col("qs")[1] - F.col("qs")[0]
-    q = q.select(group, (F.col("qs")[0] - WHISKER_IQR * iqr).alias("lo_fence"),
-                 (F.col("qs")[1] + WHISKER_IQR * iqr).alias("hi_fence"))
+    q = _quartiles(clean, value, group, [0.25, 0.75])
+    iqr = F.col("p75") - F.col("p25")
+    q = q.select(group, (F.col("p25") - WHISKER_IQR * iqr).alias("lo_fence"),
+                 (F.col("p75") + WHISKER_IQR * iqr).alias("hi_fence"))
     return (clean.join(q, group)
                  .filter((v < F.col("lo_fence")) | (v > F.col("hi_fence")))
                  .drop("lo_fence", "hi_fence"))

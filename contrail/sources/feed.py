@@ -60,7 +60,7 @@ def typed_from(events: DataFrame, nation: DataFrame) -> DataFrame:
     eid, uid = F.col("event_id"), F.col("user_id")
     tpos = (F.lit(EPOCH_BASE) + (F.hour("ts") % 6) * 3600
             + F.floor(F.minute("ts") / 5) * 300).cast("bigint")
-    baro = F.col("value") * FEET_PER_VALUE
+    baro = F.col("value") * FEET_PER_VALUE + (eid % 11) * F.lit(JITTER)
     return e.select(
         eid.alias("event_id"),
         _null_if(eid, 101, F.lower(F.hex(F.lit(ICAO_BASE) + uid))).alias("icao24"),
