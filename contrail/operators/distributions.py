@@ -21,51 +21,46 @@ KDE_GRID_POINTS = 200
 WHISKER_IQR = 1.5
 
 
-def _bin_params(rows: DataFrame, value: str) -> DataFrame:
-    """One row of shared bin parameters: the smaller of the
-    Freedman-Diaconis and Sturges bin widths over all rows (Sturges alone
-    when the IQR is zero), bins spanning [min, max]."""
+def _bin_params(rows: DataFrame, value: str) -> tuple[float, float, int] | None:
+    """Shared bin edges: the smaller of the Freedman-Diaconis and Sturges bin
+    widths over all rows (Sturges alone when the IQR is zero), bins spanning
+    [min, max].  Five numbers are computed (count, min, max and two exact
+    quartiles) and brought back as scalars -- what a scalar subquery does,
+    without nesting the quantile plan inside every use."""
     v = F.col(value)
-    qs = exact_quantiles(rows, value, [0.25, 0.75])
-    q25 = qs.filter(F.col("q") == 0.25).select("quantile").scalar()
-    q75 = qs.filter(F.col("q") == 0.75).select("quantile").scalar()
-    s = rows.filter(v.isNotNull()).agg(
-        F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi"))
-    n = F.col("n")
-    ptp = F.col("hi") - F.col("lo")
-    # log2 exactly for powers of two: integer part from the bit length
-    k = F.length(F.bin(n)) - 1
-    log2n = k + F.log2(n / F.pow(F.lit(2.0), k))
-    sturges = ptp / (log2n + 1.0)
-    fd = 2.0 * (q75 - q25) * F.pow(n, -1.0 / 3.0)
-    width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
-    same = F.col("lo") == F.col("hi")
-    first = F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo"))
-    last = F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi"))
-    nbins = F.when(width > 0, F.ceil((last - first) / width)).otherwise(F.lit(1)).cast("bigint")
-    return s.select(first.alias("first_edge"), last.alias("last_edge"), nbins.alias("n_bins"))
+    stats = rows.filter(v.isNotNull()).agg(
+        F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    if stats is None or not stats.n:
+        return None
+    qs = {r.q: r.quantile for r in exact_quantiles(rows, value, [0.25, 0.75]).collect()}
+    n, lo, hi = stats.n, stats.lo, stats.hi
+    ptp = hi - lo
+    sturges = ptp / (math.log2(n) + 1.0)
+    fd = 2.0 * (qs[0.75] - qs[0.25]) * n ** (-1.0 / 3.0)
+    width = min(fd, sturges) if fd > 0 else sturges
+    first, last = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+    nbins = int(math.ceil((last - first) / width)) if width > 0 else 1
+    return first, last, nbins
 
 
 def density_histogram(rows: DataFrame, value: str, group: str) -> DataFrame:
     """Per-group density over bins shared by all groups; each group
     integrates to one.  Only non-empty bins are emitted.
 
-    The three bin parameters come from one global aggregate used as scalar
-    subqueries (computed once, inlined as values), so every row is binned
-    inside the scan stage.  Intermediate indices are staged as columns so
-    no expression is copied into its consumers."""
+    The bin parameters are literals, so every row is binned inside the scan
+    stage; intermediate indices are staged as columns so no expression is
+    copied into its consumers."""
     params = _bin_params(rows, value)
-    fe, le, nb = F.col("_fe"), F.col("_le"), F.col("_nb")
+    if params is None:
+        params = (0.0, 1.0, 1)
+    fe, le, nb = F.lit(params[0]), F.lit(params[1]), F.lit(params[2])
 
     def edge(i):
         return F.when(i >= nb, le).otherwise(i * ((le - fe) / nb) + fe)
 
     v = F.col("_x")
     staged = (rows.filter(F.col(value).isNotNull() & F.col(group).isNotNull())
-                  .select(group, F.col(value).alias("_x"),
-                          params.select("first_edge").scalar().alias("_fe"),
-                          params.select("last_edge").scalar().alias("_le"),
-                          params.select("n_bins").scalar().alias("_nb"))
+                  .select(group, F.col(value).alias("_x"))
                   .withColumn("_raw", ((v - fe) * (nb / (le - fe))).cast("bigint"))
                   .withColumn("_i0", F.when(F.col("_raw") >= nb, nb - 1).otherwise(F.col("_raw"))))
     # Bin edges are i * step + first: correct the index where rounding put a
@@ -75,8 +70,7 @@ def density_histogram(rows: DataFrame, value: str, group: str) -> DataFrame:
     i1 = F.col("_i1")
     staged = staged.withColumn(
         "bin", F.when((v >= edge(i1 + 1)) & (i1 != nb - 1), i1 + 1).otherwise(i1))
-    counts = staged.groupBy(group, "bin", "_fe", "_le", "_nb").agg(
-        F.count(F.lit(1)).alias("count"))
+    counts = staged.groupBy(group, "bin").agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy(group)
     b = F.col("bin")
     return (counts.withColumn("bin_left", edge(b)).withColumn("bin_right", edge(b + 1))

@@ -58,18 +58,20 @@ def exact_quantiles(df: DataFrame, value: str, probs, group: str | None = None,
     targets = st.select(*g, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
     targets = targets.withColumn("_pos", F.col("q") * (F.col("_n") - 1))
 
-    def value_at(rank_expr, name):
-        t = targets.withColumn("_r", rank_expr.cast("bigint"))
-        # target bucket: at most `buckets` candidate rows per group and target
-        tb = t.join(totals, g).filter(
-            (F.col("_r") >= F.col("_base")) & (F.col("_r") < F.col("_base") + F.col("_bc")))
-        hit = tb.select(*g, "q", "_pos", "_r", "_b").join(ranked.drop("_base"), g + ["_b"]).filter(
-            (F.col("_r") >= F.col("_end") - F.col("_c")) & (F.col("_r") < F.col("_end")))
-        return hit.select(*g, "q", "_pos", F.col("_v").alias(name))
-
-    lo_v = value_at(F.floor("_pos"), "_a")
-    hi_v = value_at(F.ceil("_pos"), "_b2").drop("_pos")
-    both = lo_v.join(hi_v, g + ["q"])
+    # Both order statistics of every target in one pass: (floor, ceil) ranks
+    # as two rows, their bucket from the totals (at most `buckets` candidate
+    # rows per group and target), their value from that bucket's ranks.
+    ranks = F.explode(F.array(
+        F.struct(F.lit(0).alias("_k"), F.floor("_pos").cast("bigint").alias("_r")),
+        F.struct(F.lit(1).alias("_k"), F.ceil("_pos").cast("bigint").alias("_r"))))
+    t2 = targets.select(*g, "q", "_pos", ranks.alias("_t")).select(*g, "q", "_pos", "_t.*")
+    tb = t2.join(totals, g).filter(
+        (F.col("_r") >= F.col("_base")) & (F.col("_r") < F.col("_base") + F.col("_bc")))
+    hit = tb.select(*g, "q", "_pos", "_k", "_r", "_b").join(ranked.drop("_base"), g + ["_b"]).filter(
+        (F.col("_r") >= F.col("_end") - F.col("_c")) & (F.col("_r") < F.col("_end")))
+    both = hit.groupBy(*g, "q", "_pos").agg(
+        F.max(F.when(F.col("_k") == 0, F.col("_v"))).alias("_a"),
+        F.max(F.when(F.col("_k") == 1, F.col("_v"))).alias("_b2"))
     t = F.col("_pos") - F.floor("_pos")
     diff = F.col("_b2") - F.col("_a")
     # numpy's lerp: from the nearer end, so q = 1 lands exactly on the maximum

@@ -160,13 +160,19 @@ def q_country_frequency(spark, d):
     return I.country_frequency(I.geo_rows(gold(spark, d)))
 
 
+def _panel_rows(spark, d):
+    """Gold rows of the top-5 countries, written once: the histogram and KDE
+    read them in several passes (statistics, quantiles, binning)."""
+    return materialize(spark, I.top_country_rows(gold_table(spark, d)), "panel_rows")
+
+
 def q_speed_histogram(spark, d):
-    rows = I.top_country_rows(gold_table(spark, d))
+    rows = _panel_rows(spark, d)
     return D.density_histogram(rows, "avg_ground_speed_knots", "origin_country")
 
 
 def q_speed_kde(spark, d):
-    rows = I.top_country_rows(gold_table(spark, d))
+    rows = _panel_rows(spark, d)
     return D.kde_curves(rows, "avg_ground_speed_knots", "origin_country")
 
 
