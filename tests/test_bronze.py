@@ -124,3 +124,14 @@ def test_ensure_table_and_schema_drift(spark, scratch):
         "on_ground", F.lit("yes"))
     bad = {r[1]: r for r in Q.schema_drift(drifted, SILVER, "silver") if not r[-1]}
     assert set(bad) == {"schema:velocity:double", "schema:on_ground:boolean"}
+
+
+def test_command_line(spark, scratch, capsys):
+    from contrail.__main__ import main
+    land = os.path.join(scratch, "cli_landing")
+    B.land_payloads(vec_rows(spark, [vector(icao=f"c{i}") for i in range(3)]), land)
+    main(["run", "--landing", land, "--warehouse", os.path.join(scratch, "cli_wh")])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out == {"silver_version": 1, "gold_rows": 1}
+    main(["stream", "--landing", land, "--warehouse", os.path.join(scratch, "cli_wh2")])
+    assert tables.read_latest(spark, os.path.join(scratch, "cli_wh2", "silver")).count() == 3
