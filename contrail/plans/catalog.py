@@ -342,5 +342,47 @@ def q_stream_gold(spark, d):
     return spark.read.parquet(f"{_stream_tables(spark, d)}/gold").select(*GOLD_COLUMNS)
 
 
+def _stream_rows(spark, d):
+    """Silver rows (not deduplicated) of a file stream over ``events``."""
+    from contrail.sources.feed import typed_from, vectors_from_typed
+    from contrail.sources.tables import table
+    stream = (spark.readStream.schema(table(spark, d, "events").schema)
+              .option("pathGlobFilter", "events.parquet").parquet(d))
+    return P.flatten_states(vectors_from_typed(typed_from(stream, table(spark, d, "nation"))))
+
+
+def _stream_root(spark):
+    import uuid
+
+    from contrail.session import shared_dir
+    return f"{shared_dir(spark)}/contrail-stream/{uuid.uuid4().hex}"
+
+
+def q_stream_dedup_keys(spark, d):
+    """STR2: first report per (aircraft, position time) within a 2-hour
+    watermark, written by a file sink; the surviving keys are returned (which
+    duplicate arrives first is arbitrary, the key set is not)."""
+    from contrail.streaming import incremental as STR
+    root = _stream_root(spark)
+    q = (STR.dedup_stream(_stream_rows(spark, d)).select("icao24", "time_position")
+         .writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/_checkpoint")
+         .trigger(availableNow=True).start())
+    STR.run_available(q)
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_stream_hourly_traffic(spark, d):
+    """STR3: tumbling one-hour windows per country with a HyperLogLog
+    aircraft count and a report count, in update mode."""
+    from contrail.streaming import incremental as STR
+    root = _stream_root(spark)
+    return STR.collect_updates(STR.hourly_traffic_stream(_stream_rows(spark, d)),
+                               f"{root}/out", f"{root}/_checkpoint",
+                               ["flight_hour", "origin_country"])
+
+
+_PANELS["stream_dedup_keys"] = q_stream_dedup_keys
+_PANELS["stream_hourly_traffic"] = q_stream_hourly_traffic
 _PANELS["stream_silver"] = q_stream_silver
 _PANELS["stream_gold"] = q_stream_gold

@@ -18,9 +18,11 @@ processed in bounded micro-batches, then the query stops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from contrail.functions.timefn import epoch_to_ntz, ntz_to_epoch
 from contrail.operators import gold as G
 from contrail.operators.bronze_silver import bronze_silver_rows
 from contrail.plans import tables
@@ -51,8 +53,14 @@ def clean_batch(batch: DataFrame) -> DataFrame:
 
 
 def event_time(rows: DataFrame, col: str = "time_position") -> DataFrame:
-    """Watermarks need TIMESTAMP (LTZ): add ``event_ts`` from an NTZ column."""
-    return rows.withColumn("event_ts", F.col(col).cast("timestamp"))
+    """Watermarks need TIMESTAMP (LTZ): ``event_ts`` is the NTZ wall clock
+    read as UTC (via epoch seconds, so no session time zone is involved and
+    hour windows align with the NTZ hours)."""
+    return rows.withColumn("event_ts", F.timestamp_seconds(ntz_to_epoch(F.col(col))))
+
+
+def from_event_time(ts: Column) -> Column:
+    return epoch_to_ntz(F.unix_seconds(ts))
 
 
 def dedup_stream(rows: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -67,7 +75,7 @@ def hourly_traffic_stream(rows: DataFrame, delay: str = "2 hours") -> DataFrame:
     return (r.groupBy(F.window("event_ts", "1 hour").alias("w"), country.alias("origin_country"))
              .agg(F.approx_count_distinct("icao24").alias("approx_aircraft"),
                   F.count(F.lit(1)).alias("reports"))
-             .select(F.col("w.start").cast("timestamp_ntz").alias("flight_hour"),
+             .select(from_event_time(F.col("w.start")).alias("flight_hour"),
                      "origin_country", "approx_aircraft", "reports"))
 
 
@@ -110,6 +118,23 @@ def upsert_stream(spark: SparkSession, stream: DataFrame, silver_path: str,
             .trigger(availableNow=True).start())
 
 
+def collect_updates(stream: DataFrame, path: str, checkpoint: str, key) -> DataFrame:
+    """Run an update-mode aggregation to completion: every micro-batch's
+    updated rows are appended with the batch id, and the newest version of
+    each key is returned (a window over the key, one small partition per
+    key)."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
+
+    q = (stream.writeStream.outputMode("update").foreachBatch(sink)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    run_available(q)
+    out = stream.sparkSession.read.parquet(path)
+    w = Window.partitionBy(*key).orderBy(F.col("_batch").desc())
+    return (out.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+               .drop("_rn", "_batch"))
+
+
 def run_available(query) -> None:
     query.awaitTermination()
     if query.exception():

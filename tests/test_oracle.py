@@ -61,7 +61,8 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(E.queries()) == set(E.oracle_sql())
+    from contrail.plans.oracle_queries import APPROXIMATE
+    assert set(E.queries()) == set(E.oracle_sql()) | set(APPROXIMATE)
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="driver test data absent")
