@@ -20,6 +20,11 @@ DEFAULT_CONF = {
     # whole-stage method beyond that would run interpreted (10x slower than
     # the per-operator fallback Spark uses above this limit).
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The driver keeps plan/metric history for finished executions even with
+    # the UI off; a long-lived session running many queries only needs a few.
+    "spark.sql.ui.retainedExecutions": "20",
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
 }
 
 
