@@ -118,11 +118,12 @@ def load_bronze(spark: SparkSession, path: str, bronze_path: str, multi_line: bo
 
 
 def bad_files(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Files the Bronze load skips, with their first unparsable text."""
+    """Files the Bronze load skips, with the number of unparsable values and
+    the smallest of them (whole text)."""
     raw = _parsed_once(spark, path, multi_line)
     return (raw.filter(F.col(CORRUPT).isNotNull())
                .groupBy("_file").agg(F.count(F.lit(1)).alias("bad_values"),
-                                     F.min(F.substring(CORRUPT, 1, 200)).alias("sample")))
+                                     F.min(CORRUPT).alias("sample")))
 
 
 def read_bronze_variant(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
