@@ -17,7 +17,7 @@ from contrail.operators import parse as P
 from contrail.operators import quality as Q
 from contrail.operators import silver as S
 from contrail.plans.tables import materialize
-from contrail.schemas import GOLD_KEY, SILVER_KEY, SILVER_LENGTH_LIMITS
+from contrail.schemas import GOLD_COLUMNS, GOLD_KEY, SILVER_KEY, SILVER_LENGTH_LIMITS
 from contrail.sources.feed import state_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +37,18 @@ def silver(spark, d):
     return S.latest(silver_rows(spark, d))
 
 
+def gold_from(spark, silver_df):
+    """Gold as the batch run builds it: the sector aggregate is written once,
+    then ranked through its distinct (hour, airborne count) levels with a
+    measured broadcast join -- no task holds an hour, nothing is
+    recomputed by the rank, and every later branch reads the written
+    aggregate."""
+    agg = materialize(spark, G.sector_aggregates(G.base_vectors(silver_df)), "gold_aggregates")
+    return G.rank_sectors(agg, materialized=True).select(*GOLD_COLUMNS)
+
+
 def gold(spark, d):
-    return G.gold(silver(spark, d))
+    return gold_from(spark, silver(spark, d))
 
 
 # Queries that read a layer in more than one branch read it from a table
@@ -50,8 +60,8 @@ def silver_table(spark, d):
 
 
 def gold_table(spark, d, silver_df=None):
-    s = silver_df if silver_df is not None else silver(spark, d)
-    return materialize(spark, G.gold(s), "gold")
+    """Gold over the written aggregate (see ``gold_from``)."""
+    return gold_from(spark, silver_df if silver_df is not None else silver(spark, d))
 
 
 # --- parsing / Silver -------------------------------------------------------
