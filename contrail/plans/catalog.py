@@ -1,5 +1,10 @@
-"""Registered queries: each takes ``(spark, data_dir)`` and returns a lazy
-DataFrame derived from the driver tables, over all of their rows."""
+"""Registered queries: each takes ``(spark, data_dir)`` and returns a
+DataFrame derived from the driver tables, over all of their rows.
+
+Queries over Gold first write the sector aggregate (and, where a layer is
+read by several branches, that layer) to the shared folder; the returned
+DataFrame is lazy over those written tables.  Streaming queries run their
+stream to completion (``availableNow``) and return its output table."""
 
 from __future__ import annotations
 
