@@ -135,3 +135,16 @@ def test_command_line(spark, scratch, capsys):
     assert out == {"silver_version": 1, "gold_rows": 1}
     main(["stream", "--landing", land, "--warehouse", os.path.join(scratch, "cli_wh2")])
     assert tables.read_latest(spark, os.path.join(scratch, "cli_wh2", "silver")).count() == 3
+
+
+def test_load_bronze_keeps_flags_and_skips_bad_files(spark, scratch):
+    land = os.path.join(scratch, "lb_landing")
+    _write(land, "good.json", json.dumps({"time": T0, "states": [vector(icao="g1")]}) + "\n")
+    _write(land, "bad.json", json.dumps({"time": T0, "states": [vector(icao="b1")]})
+           + "\n{not json\n")
+    bronze_path = os.path.join(scratch, "lb_bronze")
+    good = B.load_bronze(spark, land, bronze_path, ingested_at="file")
+    assert sorted(r.icao24 for r in bronze_silver_rows(good).collect()) == ["g1"]
+    raw = spark.read.parquet(bronze_path)  # the Bronze table keeps every row, flagged
+    assert raw.filter(F.col(B.CORRUPT).isNotNull()).count() == 1
+    assert raw.select("_file").distinct().count() == 2
