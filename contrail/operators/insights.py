@@ -43,8 +43,9 @@ def top_silver(silver: DataFrame, n: int = SILVER_PAGE) -> DataFrame:
 
 def kpi_cards(gold: DataFrame) -> DataFrame:
     """One row: summed aircraft counts over the groups (an aircraft seen in
-    several groups counts in each), mean of the group mean speeds, and the
-    country with the most Gold rows (ties: alphabetically first).
+    several groups counts in each), mean of the group mean speeds (and the
+    aircraft-weighted mean), and the country with the most Gold rows (ties:
+    alphabetically first).
 
     Computed as a per-country aggregate followed by a one-row aggregate:
     both stages are map-side combined, no value list reaches one task.
@@ -55,6 +56,9 @@ def kpi_cards(gold: DataFrame) -> DataFrame:
         F.sum("airborne_aircraft_count").alias("sa"),
         F.sum("avg_ground_speed_knots").alias("ss"),
         F.count("avg_ground_speed_knots").alias("cs"),
+        F.sum(F.col("avg_ground_speed_knots") * F.col("unique_aircraft_count")).alias("ws"),
+        F.sum(F.when(F.col("avg_ground_speed_knots").isNotNull(),
+                     F.col("unique_aircraft_count"))).alias("wn"),
     )
     rows = F.coalesce(F.sum("n"), F.lit(0))
     return per_country.agg(
@@ -64,6 +68,9 @@ def kpi_cards(gold: DataFrame) -> DataFrame:
                    F.lit(NO_COUNTRY)).alias("busiest_country"),
         F.when(rows == 0, F.lit(0.0))
          .otherwise(F.round(F.sum("ss") / F.sum("cs"), 4)).alias("avg_ground_speed_knots"),
+        # the unweighted mean of group means above is the dashboard's figure;
+        # this one weights each group by its aircraft
+        F.round(F.sum("ws") / F.sum("wn"), 4).alias("aircraft_weighted_speed_knots"),
         rows.cast("bigint").alias("gold_rows"),
     )
 

@@ -200,11 +200,14 @@ SELECT CAST(coalesce(sum(su), 0) AS BIGINT) AS total_tracked_aircraft,
          AS busiest_country,
        CASE WHEN coalesce(sum(n), 0) = 0 THEN 0.0 ELSE round(sum(ss) / sum(cs), 4) END
          AS avg_ground_speed_knots,
+       round(sum(ws) / sum(wn), 4) AS aircraft_weighted_speed_knots,
        CAST(coalesce(sum(n), 0) AS BIGINT) AS gold_rows
 FROM pc""", """pc AS (
   SELECT origin_country, count(*) AS n, sum(unique_aircraft_count) AS su,
          sum(airborne_aircraft_count) AS sa, sum(avg_ground_speed_knots) AS ss,
-         count(avg_ground_speed_knots) AS cs
+         count(avg_ground_speed_knots) AS cs,
+         sum(avg_ground_speed_knots * unique_aircraft_count) AS ws,
+         sum(CASE WHEN avg_ground_speed_knots IS NOT NULL THEN unique_aircraft_count END) AS wn
   FROM gold GROUP BY 1)"""),
         "country_top10": q("""
 SELECT origin_country, CAST(sum(unique_aircraft_count) AS BIGINT) AS unique_aircraft_count
