@@ -21,7 +21,7 @@ KDE_GRID_POINTS = 200
 WHISKER_IQR = 1.5
 
 
-def _bin_params(rows: DataFrame, value: str) -> tuple[float, float, int] | None:
+def _bin_params(rows: DataFrame, value: str, bins="auto") -> tuple[float, float, int] | None:
     """Shared bin edges: the smaller of the Freedman-Diaconis and Sturges bin
     widths over all rows (Sturges alone when the IQR is zero), bins spanning
     [min, max].  Five numbers are computed (count, min, max and two exact
@@ -32,8 +32,11 @@ def _bin_params(rows: DataFrame, value: str) -> tuple[float, float, int] | None:
         F.count(v).alias("n"), F.min(v).alias("lo"), F.max(v).alias("hi")).first()
     if stats is None or not stats.n:
         return None
-    qs = {r.q: r.quantile for r in exact_quantiles(rows, value, [0.25, 0.75]).collect()}
     n, lo, hi = stats.n, stats.lo, stats.hi
+    if bins != "auto":
+        first, last = (lo - 0.5, hi + 0.5) if lo == hi else (lo, hi)
+        return first, last, int(bins)
+    qs = {r.q: r.quantile for r in exact_quantiles(rows, value, [0.25, 0.75]).collect()}
     ptp = hi - lo
     sturges = ptp / (math.log2(n) + 1.0)
     fd = 2.0 * (qs[0.75] - qs[0.25]) * n ** (-1.0 / 3.0)
@@ -43,14 +46,15 @@ def _bin_params(rows: DataFrame, value: str) -> tuple[float, float, int] | None:
     return first, last, nbins
 
 
-def density_histogram(rows: DataFrame, value: str, group: str) -> DataFrame:
+def density_histogram(rows: DataFrame, value: str, group: str, bins="auto") -> DataFrame:
     """Per-group density over bins shared by all groups; each group
-    integrates to one.  Only non-empty bins are emitted.
+    integrates to one.  Only non-empty bins are emitted.  ``bins`` is a bin
+    count or "auto" (the smaller of the Freedman-Diaconis / Sturges widths).
 
     The bin parameters are literals, so every row is binned inside the scan
     stage; intermediate indices are staged as columns so no expression is
     copied into its consumers."""
-    params = _bin_params(rows, value)
+    params = _bin_params(rows, value, bins)
     if params is None:
         params = (0.0, 1.0, 1)
     fe, le, nb = F.lit(params[0]), F.lit(params[1]), F.lit(params[2])

@@ -89,3 +89,14 @@ def test_quality_rows(spark):
     prof = {r.column_name: r.null_count for r in I.null_profile(g).collect()}
     assert prof["avg_ground_speed_knots"] == 1 and prof["origin_country"] == 0
     assert I.null_mask(g).filter(F.col("avg_ground_speed_knots")).count() == 1
+
+
+def test_histogram_fixed_bin_count(spark):
+    xs = [float(v) for v in np.random.default_rng(5).normal(100, 15, 500).round(2)]
+    df = spark.createDataFrame([("A", x) for x in xs], "g string, x double")
+    got = {r["bin"]: (r["count"], r["density"]) for r in
+           D.density_histogram(df, "x", "g", bins=12).collect()}
+    counts, _ = np.histogram(xs, bins=12)
+    dens, _ = np.histogram(xs, bins=12, density=True)
+    assert {b: c for b, (c, _) in got.items()} == {b: c for b, c in enumerate(counts) if c}
+    assert all(abs(got[b][1] - dens[b]) < 1e-9 for b in got)
