@@ -121,7 +121,8 @@ def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     from contrail.session import shared_dir
     path = f"{shared_dir(spark)}/contrail-work/{uuid.uuid4().hex}/{label}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: no inference job on read-back
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -25,6 +25,7 @@ DEFAULT_CONF = {
     "spark.sql.ui.retainedExecutions": "20",
     "spark.ui.retainedJobs": "100",
     "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "10000",
 }
 
 
