@@ -26,7 +26,6 @@ from contrail.functions.timefn import epoch_to_ntz, ntz_to_epoch
 from contrail.operators import gold as G
 from contrail.operators.bronze_silver import bronze_silver_rows
 from contrail.plans import tables
-from contrail.schemas import GOLD_COLUMNS
 from contrail.sources.bronze import BRONZE_SCHEMA, CORRUPT, skip_bad_files
 
 
@@ -85,8 +84,10 @@ def refresh_gold_days(spark: SparkSession, silver_path: str, version: int,
     snapshot of those days only, and replace those Gold day partitions."""
     if not days:
         return
+    from contrail.plans.medallion import build_gold
     scope = tables.read_version(spark, silver_path, version, days=days)
-    tables.overwrite_days(G.gold(scope).select(*GOLD_COLUMNS), gold_path)
+    # aggregate written once, ranked through distinct levels, days replaced
+    build_gold(spark, scope, gold_path, days_only=True)
 
 
 def upsert_batch(spark: SparkSession, silver_path: str, gold_path: str | None,
