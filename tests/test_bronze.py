@@ -148,3 +148,13 @@ def test_load_bronze_keeps_flags_and_skips_bad_files(spark, scratch):
     raw = spark.read.parquet(bronze_path)  # the Bronze table keeps every row, flagged
     assert raw.filter(F.col(B.CORRUPT).isNotNull()).count() == 1
     assert raw.select("_file").distinct().count() == 2
+
+
+def test_bad_files_report_whole_text(spark, scratch):
+    land = os.path.join(scratch, "bf_landing")
+    long_bad = "{" + "x" * 500  # longer than any preview: reported whole
+    _write(land, "bad.json", long_bad + "\n")
+    _write(land, "ok.json", json.dumps({"time": T0, "states": [vector()]}) + "\n")
+    rows = B.bad_files(spark, land).collect()
+    assert len(rows) == 1 and os.path.basename(rows[0]._file) == "bad.json"
+    assert rows[0].bad_values == 1 and rows[0].sample == long_bad
