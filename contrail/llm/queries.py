@@ -62,7 +62,7 @@ def op3_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = rule_ledger.apply_policy(entries)
     return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        rule_ledger.fails(F.col("failed"), rule_ledger.POLICIES["base"]).alias("base_failed"),
-                       "kept", "n_lines", "failed")
+                       "kept", "n_lines", "n_shouts", "failed")
 
 
 def op4_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _SPACE = r"\x20\x09-\x0D"
 
-#: The ledger's measurements and policy v2, by window functions over words.
+#: The ledger's measurements and policy v3, by window functions over words.
 OP3_SQL = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
@@ -139,16 +139,17 @@ m AS (
          length(array_to_string(ws, ''))::BIGINT AS word_chars,
          (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-         coalesce(n_lines, 0)::BIGINT AS n_lines
+         coalesce(n_lines, 0)::BIGINT AS n_lines,
+         (length(text) - length(replace(text, '!', '')))::BIGINT AS n_shouts
   FROM w LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)),
 f AS (
-  SELECT *, n_words < 10 AS f0, 100 * n_repeat_words > 20 * n_words AS f1, 2 * n_symbols > n_words AS f2,
-         n_lines >= 4 AND 100 * n_dup_lines > 30 * n_lines AS f3, word_chars < 2 * n_words AS f4,
-         word_chars > 15 * n_words AS f5
+  SELECT *, n_words < 10 AS f0, 100 * n_repeat_words > 20 * n_words AS f1, 10 * n_symbols > n_words AS f2,
+         n_lines >= 4 AND 2 * n_dup_lines > n_lines AS f3, word_chars < 2 * n_words AS f4,
+         word_chars > 15 * n_words AS f5, 10 * n_shouts > 3 * n_words AS f6
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, f0 OR f1 AS base_failed,
-       NOT (f0 OR f1 OR f2 OR f3 OR f5) AS kept, n_lines,
-       (f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT)::BIGINT AS failed
+       NOT (f0 OR f1 OR f2 OR f3 OR f5 OR f6) AS kept, n_lines, n_shouts,
+       (f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT + 64 * f6::INT)::BIGINT AS failed
 FROM f
 """
 

@@ -20,9 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import textkernel as K
-from contrail.llm.quality_gam import _FIRST, _SYMBOL, repeated_lines
+from contrail.llm.quality_gam import _FIRST, _SHOUT, _SYMBOL, repeated_lines
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_shouts")
 
 
 def measures(column) -> list[np.ndarray]:
@@ -36,7 +36,7 @@ def _run_measures(w: K.Words) -> tuple[np.ndarray, ...]:
     owner = w.bytes_of()
     lines, dup = repeated_lines(w)
     return (w.per_doc(w.doc), w.per_doc(owner[_FIRST[w.data] & ~w.space]), w.per_doc(owner[_SYMBOL[w.data]]),
-            lines, dup, repeated_words(w))
+            lines, dup, repeated_words(w), w.per_doc(owner[_SHOUT[w.data]]))
 
 
 def repeated_words(w: K.Words) -> np.ndarray:
@@ -63,21 +63,23 @@ def _rules() -> dict[str, Column]:
     return {
         "few_words": c("n_words") < 10,
         "repeated_words": 100 * c("n_repeat_words") > 20 * c("n_words"),
-        "symbols": 2 * c("n_symbols") > c("n_words"),
-        "duplicate_lines": (c("n_lines") >= 4) & (100 * c("n_dup_lines") > 30 * c("n_lines")),
+        "symbols": 10 * c("n_symbols") > c("n_words"),
+        "duplicate_lines": (c("n_lines") >= 4) & (2 * c("n_dup_lines") > c("n_lines")),
         "short_words": c("word_chars") < 2 * c("n_words"),
         "long_words": c("word_chars") > 15 * c("n_words"),
+        "shouts": 10 * c("n_shouts") > 3 * c("n_words"),
     }
 
 
-RULES = ("few_words", "repeated_words", "symbols", "duplicate_lines", "short_words", "long_words")
+RULES = ("few_words", "repeated_words", "symbols", "duplicate_lines", "short_words", "long_words", "shouts")
 #: version -> rules that a kept document must not fail
 POLICIES = {
     "base": ("few_words", "repeated_words"),
     "v1": ("few_words", "repeated_words", "symbols"),
     "v2": ("few_words", "repeated_words", "symbols", "duplicate_lines", "long_words"),
+    "v3": ("few_words", "repeated_words", "symbols", "duplicate_lines", "long_words", "shouts"),
 }
-CURRENT = "v2"
+CURRENT = "v3"
 
 
 def mask(rules) -> int:

@@ -10,8 +10,8 @@ a shuffle and stays with the row.
 
 The labelled findings come from the corpus: values of a documented key format
 or assigned to a credential word with letters and digits are secrets;
-placeholders, plain words and long words without digits are not; the others
-carry no label.  At most ``SAMPLE`` distinct values (smallest hash) are used.
+placeholders, bare numbers (of cards or phones, say) and words without digits
+are not; the others carry no label.  At most ``SAMPLE`` distinct values (smallest hash) are used.
 
 Defined cases: a null or empty text has no findings and stays as it is; a
 null path counts as empty; without labels of both classes the weak label
@@ -100,6 +100,7 @@ def _candidates(text: str = "text", path: str = "''") -> str:
 
 #: The weak label of a candidate ``s``: 1, 0 or null.
 WEAK = (f"case when s.value rlike {_sql(PLACEHOLDERS)} then 0 when s.value rlike {_sql(FORMATS)} then 1 "
+        f"when s.value rlike {_sql('^[0-9/_+-]+$')} then 0 "
         f"when s.value rlike {_sql('^[A-Za-z_-]+$')} and not s.value rlike {_sql('[a-z][A-Z].*[a-z][A-Z]')} then 0 "
         f"when s.lead <> '' and length(s.value) >= 8 and s.value rlike {_sql('[0-9]')} "
         f"and s.value rlike {_sql('[A-Za-z]')} then 1 end")
