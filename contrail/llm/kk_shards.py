@@ -3,11 +3,13 @@
 Documents of equal text form one indivisible group.  Differencing keeps a
 heap of partial partitions, each a tuple of shard sums, and again and again
 combines the two with the largest spread, the larger sums of one with the
-smaller of the other.  It runs in levels: groups are dealt by hash into
-buckets of about ``BUCKET``, each bucket is differenced in one task into one
-tuple of sums, and the tuples are differenced in the same way until one is
-left; then every level's places are looked up downwards.  No task or driver
-holds more than a bucket.
+smaller of the other.
+
+Groups of more than 1 / ``ITEMS`` of all bytes (at most ``ITEMS`` of them) are
+items of their own; the lighter ones are dealt by hash into ``ITEMS`` packages
+that move as one.  Differencing thus sees at most 2 * ``ITEMS`` rows whatever
+the corpus, heavy groups are balanced against many light packages, and a
+package is a 500th of a shard, which differencing evens out to a few bytes.
 
 Defined cases: a null text counts as the empty text (size 1, one group with
 it); repeated rows count as often as they occur; a single group larger than
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from contrail.plans.tables import materialize
 
 SHARDS = 16
-BUCKET = 2048
+ITEMS = 8192
 SLOT_RUN = 1000
 
 
@@ -57,45 +59,26 @@ def difference(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[-1], place[:n]
 
 
-def _level(parts: DataFrame, buckets: int, k: int) -> DataFrame:
-    """One row for each part (``id``, its bucket, places of its columns) and
-    one for each bucket (id null, sums of its columns)."""
+def assign(groups: DataFrame, k: int = SHARDS, items: int = ITEMS) -> DataFrame:
+    """``groups`` (id: unique long, bytes, and more) with their shard."""
+    total = groups.agg(F.sum("bytes")).first()[0] or 0
+    own = F.col("bytes") * items > total
+    dealt = groups.withColumn("item", F.when(own, -1 - F.col("id")).otherwise(F.pmod(F.xxhash64("id"), F.lit(items))))
+
     def combine(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("id", "ascending")])
-        sums = np.stack(table["sums"].to_numpy()).astype(np.int64) if table.num_rows else np.zeros((0, k), np.int64)
-        top, place = difference(sums)
-        lists = [*place.tolist(), top.tolist()]
-        return pa.table({"id": pa.array([*table["id"].to_pylist(), None], pa.int64()),
-                         "bucket": pa.array([table["bucket"][0].as_py()] * len(lists), pa.int64()),
-                         "values": pa.array(lists, pa.list_(pa.int64()))})
-
-    dealt = parts.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInArrow(combine, "id long, bucket long, values array<bigint>")
-
-
-def assign(spark: SparkSession, groups: DataFrame, k: int = SHARDS, bucket: int = BUCKET) -> DataFrame:
-    """id, shard of each group.  ``groups``: id (unique long), bytes."""
-    column = F.concat(F.array(F.col("bytes")), F.array_repeat(F.lit(0).cast("long"), k - 1))
-    parts, levels = groups.select("id", column.alias("sums")), []
-    n = groups.count()
-    while True:
-        buckets = max(1, -(-n // bucket))
-        made = materialize(spark, _level(parts, buckets, k), f"level{len(levels)}")
-        levels.append(made.where("id IS NOT NULL"))
-        if buckets == 1:
-            break
-        parts = made.where("id IS NULL").select(F.col("bucket").alias("id"), F.col("values").alias("sums"))
-        n = parts.count()
-    # downwards: column c of a part goes to shards[c]
-    top = levels.pop().select("id", F.col("values").alias("shards"))
-    while levels:
-        below = levels.pop()
-        looked = below.join(top.select(F.col("id").alias("bucket"), "shards"), "bucket")
-        top = looked.select("id", F.transform("values", lambda v: F.get(F.col("shards"), v.cast("int"))).alias("shards"))
-    return top.select("id", F.get("shards", F.lit(0)).cast("int").alias("shard"))
-
-
-def shard(spark: SparkSession, docs: DataFrame, k: int = SHARDS, bucket: int = BUCKET) -> DataFrame:
+        table = table.sort_by([("item", "ascending")])
+        sums = np.zeros((table.num_rows, k), np.int64)
+        sums[:, 0] = table["bytes"].to_numpy()
+        place = difference(sums)[1] if table.num_rows else sums
+        return pa.table({"item": table["item"], "shard": pa.array(place[:, 0], pa.int32())})
+
+    weighed = dealt.groupBy("item").agg(F.sum("bytes").alias("bytes")).withColumn("all", F.lit(0))
+    placed = weighed.groupBy("all").applyInArrow(combine, "item long, shard int")
+    # at most 2 * items rows of two numbers: bounded, so it may be broadcast
+    return dealt.join(F.broadcast(placed), "item").drop("item")
+
+
+def shard(spark: SparkSession, docs: DataFrame, k: int = SHARDS, items: int = ITEMS) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot for every row of ``docs``."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = materialize(spark, docs.select(
@@ -103,7 +86,7 @@ def shard(spark: SparkSession, docs: DataFrame, k: int = SHARDS, bucket: int = B
         F.md5(text).alias("text_key"), F.monotonically_increasing_id().alias("row")), "rows")
     groups = materialize(spark, rows.groupBy("text_key").agg(F.sum("size").alias("bytes"))
                          .withColumn("id", F.monotonically_increasing_id()), "groups")
-    placed = groups.join(assign(spark, groups.select("id", "bytes"), k, bucket), "id").select("text_key", "shard")
+    placed = assign(groups, k, items).select("text_key", "shard")
     runs = max(1, rows.count() // (k * SLOT_RUN))
     dealt = materialize(spark, rows.join(placed, "text_key").withColumn("run", F.pmod(F.xxhash64("row"), F.lit(runs))),
                         "placed")

@@ -176,7 +176,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     edges = materialize(spark, links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .where("a <> b").distinct(), "edges")
     before = None
-    while True:
+    while not edges.isEmpty():
         # large star: larger neighbours move to the smallest of a node's neighbourhood
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -192,6 +192,7 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
         before = now
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
 def _of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
