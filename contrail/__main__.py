@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from contrail.session import get_session
+from contrail.session import cluster_conf, get_session
 
 
 def main(argv=None) -> None:
@@ -27,14 +27,17 @@ def main(argv=None) -> None:
     s.add_argument("--warehouse", required=True)
     s.add_argument("--max-files", type=int, default=1000)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--input-gb", type=float, default=None,
+                    help="size of the landing data: sets partition sizes for a cluster")
     args = ap.parse_args(argv)
 
-    spark = get_session(args.master)
+    extra = cluster_conf(int(args.input_gb * 2**30)) if args.input_gb else None
+    spark = get_session(args.master, extra=extra)
     if args.cmd == "run":
         from contrail.plans.medallion import run
         res = run(spark, args.landing, args.warehouse, mode=args.mode,
                   multi_line=args.multi_line)
-        print(json.dumps({"silver_version": res.silver_version, "gold_rows": res.gold_rows}))
+        print(json.dumps({"silver_rows": res.silver_rows, "gold_rows": res.gold_rows}))
     else:
         from contrail.streaming import incremental as STR
         wh = args.warehouse.rstrip("/")

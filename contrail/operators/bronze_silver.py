@@ -1,48 +1,57 @@
-"""Bronze rows (both landed shapes, typed or VARIANT) to Silver rows."""
+"""VARIANT Bronze rows of both landed shapes (payloads with positional
+vectors, flat records) to Silver rows, in one projection."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.functions.timefn import epoch_to_ntz
-from contrail.operators.parse import explode_payloads, flatten_states, records_to_silver
-from contrail.schemas import SLOTS
+from contrail.operators.parse import NO_CALLSIGN, NO_COUNTRY
+from contrail.schemas import SLOT_TYPES, SLOTS
 
 
-def payload_vectors(bronze: DataFrame) -> DataFrame:
-    """Payload-shaped Bronze rows to feed rows (one per state vector);
-    record-shaped rows have no ``states`` and produce nothing here."""
-    return explode_payloads(bronze.select("time", "fetched_at", "states", "ingested_at"))
-
-
-def bronze_silver_rows(bronze: DataFrame) -> DataFrame:
-    """Silver rows (not deduplicated) from both shapes of a typed Bronze."""
-    from_payloads = flatten_states(payload_vectors(bronze))
-    from_records = records_to_silver(bronze.filter(F.col("states").isNull()))
-    return from_payloads.unionByName(from_records)
-
-
-def variant_silver_rows(bronze_variant_rows: DataFrame) -> DataFrame:
-    """Silver rows from VARIANT payloads: ``raw_data:states`` flattened,
-    slots extracted by index with typed ``try_variant_get`` (a JSON null or
-    a value of the wrong type is SQL NULL)."""
+def observations(bronze: DataFrame) -> DataFrame:
+    """ingested_at, vector?, s: one row for each state vector of a payload
+    (an object with a list ``states``) and for each record."""
+    states = F.try_variant_get("raw_data", "$.states", "array<variant>")
+    item = lambda is_vector, v: F.struct(F.lit(is_vector).alias("vector"), v.alias("s"))
+    items = F.when(states.isNotNull(), F.transform(states, lambda v: item(True, v))) \
+             .otherwise(F.array(item(False, F.col("raw_data"))))
+    return bronze.select("ingested_at", F.explode(items).alias("o")).select("ingested_at", "o.vector", "o.s")
+
+
+def _field(name: str) -> Column:
+    """Typed value by slot or by name; a JSON null or another type is null."""
+    kind = SLOT_TYPES[name]
+    get = lambda path, kind: F.try_variant_get("s", path, kind)
+    if kind == "bigint":        # rounded from the numeric value, not truncated
+        number = F.when(F.col("vector"), get(f"$[{SLOTS[name]}]", "double")).otherwise(get(f"$.{name}", "double"))
+        return F.round(number).try_cast("bigint")
+    return F.when(F.col("vector"), get(f"$[{SLOTS[name]}]", kind)).otherwise(get(f"$.{name}", kind))
+
+
+def bronze_silver_rows(bronze: DataFrame, drop_null_keys: bool = True) -> DataFrame:
+    """Silver rows (not deduplicated).  The placeholder labels of the record
+    shape go back to null so both shapes agree."""
+    call, country = F.trim(_field("callsign")), F.upper(F.trim(_field("origin_country")))
+    unlabelled = lambda c, label: F.when(F.col("vector") | (c != label), c)
+    rows = observations(bronze).select(
+        _field("icao24").alias("icao24"),
+        unlabelled(call, NO_CALLSIGN).alias("callsign"),
+        unlabelled(country, NO_COUNTRY).alias("origin_country"),
+        epoch_to_ntz(_field("time_position")).alias("time_position"),
+        *[_field(c).alias(c) for c in ("longitude", "latitude", "baro_altitude", "velocity", "on_ground")],
+        F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
+    return rows.where("icao24 IS NOT NULL AND time_position IS NOT NULL") if drop_null_keys else rows
+
+
+def bronze_vectors(bronze: DataFrame) -> DataFrame:
+    """Payload vectors in text form (time, fetched_at, state, ingested_at), as
+    the record path and the vector checks read them."""
+    number = lambda name: F.try_variant_get("raw_data", f"$.{name}", "bigint").alias(name)
     states = F.try_variant_get("raw_data", "$.states", "array<variant>")
-    v = bronze_variant_rows.select("ingested_at", F.explode(states).alias("s"))
-
-    def get(name, kind):
-        return F.try_variant_get("s", f"$[{SLOTS[name]}]", kind)
-
-    tpos = F.round(get("time_position", "double")).try_cast("bigint")
-    return v.select(
-        get("icao24", "string").alias("icao24"),
-        F.trim(get("callsign", "string")).alias("callsign"),
-        F.upper(F.trim(get("origin_country", "string"))).alias("origin_country"),
-        epoch_to_ntz(tpos).alias("time_position"),
-        get("longitude", "double").alias("longitude"),
-        get("latitude", "double").alias("latitude"),
-        get("baro_altitude", "double").alias("baro_altitude"),
-        get("velocity", "double").alias("velocity"),
-        get("on_ground", "boolean").alias("on_ground"),
-        F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
-    ).filter(F.col("icao24").isNotNull() & F.col("time_position").isNotNull())
+    rows = bronze.select(number("time"), number("fetched_at"), "ingested_at", F.explode(states).alias("s"))
+    texts = F.transform(F.try_variant_get("s", "$", "array<variant>"),
+                        lambda v: F.try_variant_get(v, "$", "string"))
+    return rows.select("time", "fetched_at", texts.alias("state"), "ingested_at")

@@ -1,8 +1,7 @@
 """Distribution panels: shared-bin density histogram, Gaussian KDE curves
 and box-plot statistics, as Spark aggregates.
 
-Exact quantiles come from ``quantiles.exact_quantiles`` (ranks computed
-per value bucket, linear interpolation between order statistics as numpy
+Exact quantiles come from ``quantiles`` (ranks computed per range cut, linear interpolation between order statistics as numpy
 does), so no task holds a whole group's values.
 """
 
@@ -13,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.operators.quantiles import exact_quantiles
+from contrail.operators.quantiles import exact_quantiles, quantiles_of, value_counts
 
 # Fixed values of the plotting defaults reproduced here: KDE grid size,
 # box whisker reach (in IQRs).
@@ -89,8 +88,9 @@ def kde_curves(rows: DataFrame, value: str, group: str,
     n^(-1/5)) evaluated on one grid spanning the min..max of all rows.
     Groups with fewer than two values or zero variance get no curve.
 
-    Each row is expanded to the grid points by ``explode(sequence)`` and the
-    kernel terms are summed per (group, grid point) with map-side partial
+    Equal values are counted first; each distinct value is expanded to the grid
+    points by ``explode(sequence)``, its kernel term is weighted with the count,
+    and the terms are summed per (group, grid point) with map-side partial
     aggregation.  The grid span is a scalar subquery; the per-group
     bandwidths are one row per group, joined back (AQE broadcasts them once
     measured small)."""
@@ -104,13 +104,14 @@ def kde_curves(rows: DataFrame, value: str, group: str,
         group, "n", (F.col("sd") * F.pow(F.col("n"), -0.2)).alias("h"))
     lo, hi = F.col("_lo"), F.col("_hi")
     i = F.col("grid_index")
-    terms = (clean.select(group, v.alias("_x"), g_lo.alias("_lo"), g_hi.alias("_hi"))
+    weighed = clean.groupBy(group, v.alias("_x")).agg(F.count(F.lit(1)).alias("_w"))
+    terms = (weighed.select(group, "_x", "_w", g_lo.alias("_lo"), g_hi.alias("_hi"))
                   .join(per_group, group)
-                  .select(group, "n", "h", "_x", "_lo", "_hi",
+                  .select(group, "n", "h", "_x", "_w", "_lo", "_hi",
                           F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("grid_index"))
                   .withColumn("grid_value", F.when(i == grid_points - 1, hi).otherwise(
                       i * ((hi - lo) / float(grid_points - 1)) + lo))
-                  .withColumn("k", F.exp(-0.5 * F.pow((F.col("grid_value") - F.col("_x"))
+                  .withColumn("k", F.col("_w") * F.exp(-0.5 * F.pow((F.col("grid_value") - F.col("_x"))
                                                       / F.col("h"), 2))))
     sums = terms.groupBy(group, "grid_index", "grid_value", "n", "h").agg(F.sum("k").alias("s"))
     return sums.select(
@@ -118,21 +119,21 @@ def kde_curves(rows: DataFrame, value: str, group: str,
         F.round(F.col("s") / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi)), 10).alias("density"))
 
 
-def _quartiles(clean: DataFrame, value: str, group: str, probs) -> DataFrame:
+def _quartiles(counts: DataFrame, group: str, probs) -> DataFrame:
     """One row per group with one column per probability (``p25`` ...)."""
-    qs = exact_quantiles(clean, value, probs, group)
-    return qs.groupBy(group).agg(*[
+    return quantiles_of(counts, probs).groupBy(F.col("_g").alias(group)).agg(*[
         F.max(F.when(F.col("q") == float(p), F.col("quantile"))).alias(f"p{round(p * 100)}")
         for p in probs])
 
 
 def box_stats(rows: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles (linear interpolation), IQR, whiskers at the furthest
-    values within 1.5 IQR of the box, and the number of values beyond."""
-    v = F.col(value)
-    clean = rows.filter(v.isNotNull())
-    q = clean.groupBy(group).agg(F.count(v).alias("n"), F.avg(v).alias("mean")).join(
-        _quartiles(clean, value, group, [0.25, 0.5, 0.75]), group)
+    values within 1.5 IQR of the box, and the number of values beyond.  All of
+    it comes from the value counts, so ``rows`` is read once."""
+    counts = value_counts(rows, value, group)
+    values = counts.select(F.col("_g").alias(group), F.col("_v").alias("_x"), "_c")
+    q = values.groupBy(group).agg(F.sum("_c").alias("n"), (F.sum(F.col("_x") * F.col("_c")) / F.sum("_c")).alias("mean")).join(
+        _quartiles(counts, group, [0.25, 0.5, 0.75]), group)
     q = q.select(group, "n", "mean", F.col("p25").alias("q1"), F.col("p50").alias("median"),
                  F.col("p75").alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
@@ -140,12 +141,12 @@ def box_stats(rows: DataFrame, value: str, group: str) -> DataFrame:
          .withColumn("hi_fence", F.col("q3") + WHISKER_IQR * F.col("iqr"))
     # One row per group value: AQE broadcasts it after measuring it (a few
     # bytes for the phase domain) and keeps a shuffle join otherwise.
-    joined = clean.select(group, v.alias("_x")).join(q, group)
+    joined = values.join(q, group)
     x = F.col("_x")
     ext = joined.groupBy(group).agg(
         F.min(F.when(x >= F.col("lo_fence"), x)).alias("lo_reach"),
         F.max(F.when(x <= F.col("hi_fence"), x)).alias("hi_reach"),
-        F.count(F.when((x < F.col("lo_fence")) | (x > F.col("hi_fence")), x)).alias("n_fliers"))
+        F.coalesce(F.sum(F.when((x < F.col("lo_fence")) | (x > F.col("hi_fence")), F.col("_c"))), F.lit(0)).alias("n_fliers"))
     out = q.join(ext, group)
     whislo = F.when(F.col("lo_reach").isNull() | (F.col("lo_reach") > F.col("q1")),
                     F.col("q1")).otherwise(F.col("lo_reach"))
@@ -162,7 +163,7 @@ def box_outliers(rows: DataFrame, value: str, group: str) -> DataFrame:
     """Rows beyond the whiskers (the plotted fliers)."""
     v = F.col(value)
     clean = rows.filter(v.isNotNull())
-    q = _quartiles(clean, value, group, [0.25, 0.75])
+    q = _quartiles(value_counts(rows, value, group), group, [0.25, 0.75])
     iqr = F.col("p75") - F.col("p25")
     q = q.select(group, (F.col("p25") - WHISKER_IQR * iqr).alias("lo_fence"),
                  (F.col("p75") + WHISKER_IQR * iqr).alias("hi_fence"))

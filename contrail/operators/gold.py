@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.flight import feet, flight_phase, knots
@@ -35,23 +35,41 @@ def base_vectors(silver: DataFrame, precision: int = SECTOR_PRECISION) -> DataFr
 
 def sector_aggregates(base: DataFrame) -> DataFrame:
     """One row per (hour, country, sector, phase).  A null sector is a group
-    of its own.  The four distinct counts share one Expand; Spark aggregates
-    (group, distinct value) first, so a hot group is spread over the shuffle
-    by aircraft before it is collapsed."""
+    of its own.
+
+    Distinct counts without expanding the rows: the rows are first aggregated
+    per (group, aircraft), carrying sums and counts for the means and whether
+    the aircraft was seen airborne or on the ground, and then per group; the
+    callsigns are counted the same way.  Both first steps combine map-side and
+    spread a hot group over the shuffle by aircraft or callsign."""
     airborne = ~F.col("on_ground")
-    air_alt = F.when(airborne, F.col("altitude_ft"))
-    return base.groupBy(*GOLD_KEY).agg(
-        F.round(F.avg("latitude"), 4).alias("sector_center_lat"),
-        F.round(F.avg("longitude"), 4).alias("sector_center_lon"),
-        F.count_distinct("icao24").alias("unique_aircraft_count"),
-        F.count_distinct("callsign").alias("active_callsigns_count"),
-        F.count_distinct(F.when(airborne, F.col("icao24"))).alias("airborne_aircraft_count"),
-        F.count_distinct(F.when(F.col("on_ground"), F.col("icao24"))).alias("ground_aircraft_count"),
-        F.round(F.avg(air_alt), 2).alias("avg_airborne_altitude_ft"),
-        F.round(F.max(air_alt), 2).alias("max_airborne_altitude_ft"),
-        F.round(F.min(air_alt), 2).alias("min_airborne_altitude_ft"),
-        F.round(F.avg("speed_knots"), 2).alias("avg_ground_speed_knots"),
-    )
+    values = {"lat": F.col("latitude"), "lon": F.col("longitude"), "speed": F.col("speed_knots"),
+              "alt": F.when(airborne, F.col("altitude_ft"))}
+    parts = [a for k, v in values.items() for a in (F.sum(v).alias(f"{k}_sum"), F.count(v).alias(f"{k}_n"))]
+    aircraft = base.groupBy(*GOLD_KEY, "icao24").agg(
+        *parts, F.max(airborne).alias("flew"), F.max("on_ground").alias("stood"),
+        F.max(values["alt"]).alias("alt_max"), F.min(values["alt"]).alias("alt_min"))
+
+    def mean(name, digits):
+        total, n = F.sum(f"{name}_sum"), F.sum(f"{name}_n")
+        return F.round(F.when(n > 0, total / n), digits)
+
+    groups = aircraft.groupBy(*GOLD_KEY).agg(
+        mean("lat", 4).alias("sector_center_lat"),
+        mean("lon", 4).alias("sector_center_lon"),
+        F.count("icao24").alias("unique_aircraft_count"),
+        F.count_if("flew").alias("airborne_aircraft_count"),
+        F.count_if("stood").alias("ground_aircraft_count"),
+        mean("alt", 2).alias("avg_airborne_altitude_ft"),
+        F.round(F.max("alt_max"), 2).alias("max_airborne_altitude_ft"),
+        F.round(F.min("alt_min"), 2).alias("min_airborne_altitude_ft"),
+        mean("speed", 2).alias("avg_ground_speed_knots"))
+    names = [f"_{k}" for k in GOLD_KEY]
+    callsigns = (base.select(*GOLD_KEY, "callsign").distinct().groupBy(*GOLD_KEY)
+                 .agg(F.count("callsign").alias("active_callsigns_count"))
+                 .withColumnsRenamed(dict(zip(GOLD_KEY, names))))
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(GOLD_KEY, names)]
+    return groups.join(callsigns, same).drop(*names)
 
 
 def rank_sectors(agg: DataFrame, materialized: bool = False) -> DataFrame:
@@ -99,9 +117,14 @@ def country_hourly(silver: DataFrame) -> DataFrame:
 def approx_sector_aircraft(silver: DataFrame, rsd: float = 0.05) -> DataFrame:
     """Distinct aircraft per Gold group with a HyperLogLog++ sketch: fixed
     memory per group however many reports an hour holds."""
-    base = base_vectors(silver)
-    return base.groupBy(*GOLD_KEY).agg(
-        F.approx_count_distinct("icao24", rsd).alias("approx_aircraft_count"))
+    return base_vectors(silver).groupBy(*GOLD_KEY).agg(
+        F.approx_count_distinct("icao24", rsd).alias("approx_aircraft_count"),
+        F.count(F.lit(1)).alias("reports"))
+
+
+def within_sketch_error(estimate: Column, exact: Column, rsd: float = 0.05) -> Column:
+    """Is an estimate within three relative standard deviations (and one)?"""
+    return F.abs(estimate - exact) <= F.greatest(3 * rsd * exact, F.lit(1.0))
 
 
 def gold_row_count(gold_df: DataFrame) -> DataFrame:

@@ -10,8 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.timefn import ntz_to_epoch
-from contrail.operators.parse import slot
+from contrail.functions.timefn import ntz_to_epoch, valid_epoch
+from contrail.operators.parse import slot, typed_slot
 from contrail.schemas import MIN_VECTOR_SLOTS, SLOT_TYPES
 
 CHECK_COLUMNS = ("layer", "check", "observed", "failed_rows", "passed")
@@ -86,6 +86,8 @@ def type_drift_checks(vectors: DataFrame, layer: str = "bronze") -> DataFrame:
         parsed = raw.try_cast("double" if kind == "bigint" else kind)
         bad = F.count(F.when(raw.isNotNull() & parsed.isNull(), True))
         named[f"parsable:{name}"] = (F.count(raw), bad)
+    tpos = typed_slot("time_position")
+    named["in_range:time_position"] = (F.count(tpos), F.count(F.when(~valid_epoch(tpos), True)))
     return _rows(layer, named, vectors)
 
 
@@ -110,8 +112,9 @@ def combine(*frames: DataFrame) -> DataFrame:
 
 def quarantine(vectors: DataFrame, min_slots: int = MIN_VECTOR_SLOTS) -> DataFrame:
     """Rejected or suspicious vectors, one row per (vector, reason):
-    ``short_vector`` (rejected by the record path) and
-    ``unparsable:<slot>`` (value present, not of the slot's type)."""
+    ``short_vector`` (rejected by the record path), ``unparsable:<slot>``
+    (value present, not of the slot's type) and ``out_of_range:time_position``
+    (no valid epoch: dropped by the Silver path)."""
     reasons = [F.when(F.coalesce(F.size("state"), F.lit(-1)) < min_slots,
                       F.lit("short_vector"))]
     for name, kind in SLOT_TYPES.items():
@@ -120,6 +123,7 @@ def quarantine(vectors: DataFrame, min_slots: int = MIN_VECTOR_SLOTS) -> DataFra
         raw = slot(name)
         parsed = raw.try_cast("double" if kind == "bigint" else kind)
         reasons.append(F.when(raw.isNotNull() & parsed.isNull(), F.lit(f"unparsable:{name}")))
+    reasons.append(F.when(~valid_epoch(typed_slot("time_position")), F.lit("out_of_range:time_position")))
     return vectors.select(
         slot("icao24").alias("icao24"), slot("time_position").alias("time_position_raw"),
         "ingested_at", F.size("state").alias("slots"),

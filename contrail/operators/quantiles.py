@@ -4,17 +4,15 @@
 quantile is found by ranks instead:
 
 1. count every distinct value per group (map-side combined: a value repeated
-   a billion times is one row);
-2. cut each group's value range into ``buckets`` equal-width buckets and
-   prefix-sum the bucket totals (a window over at most ``buckets`` rows per
-   group);
-3. rank the distinct values inside each (group, bucket) partition -- the
-   window is partitioned by bucket, so one group is spread over many tasks;
-4. locate the bucket, then the value, holding the order statistics
+   a billion times is one row) and write that table once;
+2. cut it by ``repartitionByRange`` on (group, value): Spark samples the
+   values, so the cuts hold about equal numbers of them whatever their
+   distribution (one outlier moves nothing);
+3. prefix-sum the totals of each group's cuts, and rank the values inside each
+   (group, cut) with a window partitioned by both;
+4. locate the cut, then the value, that holds the order statistics
    ``floor(p (n-1))`` and ``ceil(p (n-1))`` and interpolate linearly between
    them (numpy's default "linear" method).
-
-Bucket numbers are a monotone function of the value, so ranks are exact.
 """
 
 from __future__ import annotations
@@ -22,59 +20,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 1024
 
+def value_counts(df: DataFrame, value: str, group: str | None = None) -> DataFrame:
+    """Written table (_g, _v, _c, _b): distinct non-null values of each group
+    with their counts, in range cuts ``_b``."""
+    from contrail.plans.tables import materialize
+    g = F.col(group) if group else F.lit(0)
+    counts = (df.where(F.col(value).isNotNull()).groupBy(g.alias("_g"), F.col(value).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    cut = counts.repartitionByRange("_g", "_v").withColumn("_b", F.spark_partition_id())
+    return materialize(df.sparkSession, cut, "value_counts")
 
-def exact_quantiles(df: DataFrame, value: str, probs, group: str | None = None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Rows ``(group, q, quantile)`` -- or ``(q, quantile)`` without a group --
-    for every probability in ``probs`` over the non-null values."""
-    g = [group] if group else ["_g"]
-    v = F.col(value)
-    src = df.filter(v.isNotNull())
-    if not group:
-        src = src.withColumn("_g", F.lit(0))
-    vc = src.groupBy(*g, v.alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
-    st = vc.groupBy(*g).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"),
-                            F.max("_v").alias("_hi"))
-    if group:
-        # One row per group: AQE broadcasts it once measured small.
-        vs = vc.join(st, g)
-    else:
-        vs = vc.select("*", st.select("_n").scalar().alias("_n"),
-                       st.select("_lo").scalar().alias("_lo"),
-                       st.select("_hi").scalar().alias("_hi"))
-    lo, hi = F.col("_lo"), F.col("_hi")
-    bucket = F.when(hi == lo, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_v") - lo) / (hi - lo) * buckets), F.lit(buckets - 1)))
-    vb = vs.select(*g, "_v", "_c", bucket.cast("bigint").alias("_b"))
 
-    totals = vb.groupBy(*g, "_b").agg(F.sum("_c").alias("_bc"))
-    totals = totals.withColumn(
-        "_base", F.sum("_bc").over(Window.partitionBy(*g).orderBy("_b")) - F.col("_bc"))
-    ranked = vb.join(totals.select(*g, "_b", "_base"), g + ["_b"]).withColumn(
-        "_end", F.col("_base") + F.sum("_c").over(Window.partitionBy(*g, "_b").orderBy("_v")))
-
-    targets = st.select(*g, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
+def quantiles_of(counts: DataFrame, probs) -> DataFrame:
+    """Rows (_g, q, quantile) from ``value_counts``."""
+    totals = counts.groupBy("_g", "_b").agg(F.sum("_c").alias("_bc"))
+    before = Window.partitionBy("_g").orderBy("_b")     # one row per group and cut
+    totals = totals.withColumn("_base", F.sum("_bc").over(before) - F.col("_bc"))
+    n = totals.groupBy("_g").agg(F.sum("_bc").alias("_n"))
+    targets = n.select("_g", "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
     targets = targets.withColumn("_pos", F.col("q") * (F.col("_n") - 1))
-
-    # Both order statistics of every target in one pass: (floor, ceil) ranks
-    # as two rows, their bucket from the totals (at most `buckets` candidate
-    # rows per group and target), their value from that bucket's ranks.
     ranks = F.explode(F.array(
         F.struct(F.lit(0).alias("_k"), F.floor("_pos").cast("bigint").alias("_r")),
         F.struct(F.lit(1).alias("_k"), F.ceil("_pos").cast("bigint").alias("_r"))))
-    t2 = targets.select(*g, "q", "_pos", ranks.alias("_t")).select(*g, "q", "_pos", "_t.*")
-    tb = t2.join(totals, g).filter(
-        (F.col("_r") >= F.col("_base")) & (F.col("_r") < F.col("_base") + F.col("_bc")))
-    hit = tb.select(*g, "q", "_pos", "_k", "_r", "_b").join(ranked.drop("_base"), g + ["_b"]).filter(
-        (F.col("_r") >= F.col("_end") - F.col("_c")) & (F.col("_r") < F.col("_end")))
-    both = hit.groupBy(*g, "q", "_pos").agg(
-        F.max(F.when(F.col("_k") == 0, F.col("_v"))).alias("_a"),
-        F.max(F.when(F.col("_k") == 1, F.col("_v"))).alias("_b2"))
-    t = F.col("_pos") - F.floor("_pos")
-    diff = F.col("_b2") - F.col("_a")
+    wanted = targets.select("_g", "q", "_pos", ranks.alias("_t")).select("_g", "q", "_pos", "_t.*")
+    found = wanted.join(totals, "_g").where("_r >= _base AND _r < _base + _bc")
+    end = F.sum("_c").over(Window.partitionBy("_g", "_b").orderBy("_v"))
+    ranked = counts.withColumn("_end", end)
+    hit = found.join(ranked, ["_g", "_b"]).where("_r >= _base + _end - _c AND _r < _base + _end")
+    both = hit.groupBy("_g", "q", "_pos").agg(
+        F.max(F.when(F.col("_k") == 0, F.col("_v"))).alias("_lo"),
+        F.max(F.when(F.col("_k") == 1, F.col("_v"))).alias("_hi"))
+    t, diff = F.col("_pos") - F.floor("_pos"), F.col("_hi") - F.col("_lo")
     # numpy's lerp: from the nearer end, so q = 1 lands exactly on the maximum
-    quantile = F.when(t >= 0.5, F.col("_b2") - diff * (1 - t)).otherwise(F.col("_a") + diff * t)
-    out = both.select(*g, "q", quantile.alias("quantile"))
-    return out if group else out.drop("_g")
+    quantile = F.when(t >= 0.5, F.col("_hi") - diff * (1 - t)).otherwise(F.col("_lo") + diff * t)
+    return both.select("_g", "q", quantile.alias("quantile"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs, group: str | None = None) -> DataFrame:
+    """Rows ``(group, q, quantile)`` -- or ``(q, quantile)`` without a group --
+    for every probability in ``probs`` over the non-null values."""
+    out = quantiles_of(value_counts(df, value, group), probs)
+    return out.withColumnRenamed("_g", group) if group else out.drop("_g")

@@ -15,15 +15,22 @@ from pyspark.sql import functions as F
 
 from contrail.functions.flight import feet, flight_phase, knots
 from contrail.functions.geo import geohash
+from contrail.functions.timefn import hour_floor
 from contrail.operators import distributions as D
 from contrail.operators import gold as G
 from contrail.operators import insights as I
 from contrail.operators import parse as P
 from contrail.operators import quality as Q
 from contrail.operators import silver as S
+from contrail.operators.bronze_silver import bronze_silver_rows
+from contrail.plans import tables
+from contrail.plans.medallion import build_gold, refresh_gold_days
 from contrail.plans.tables import materialize
-from contrail.schemas import GOLD_COLUMNS, GOLD_KEY, SILVER_KEY, SILVER_LENGTH_LIMITS
-from contrail.sources.feed import state_vectors
+from contrail.schemas import GOLD_COLUMNS, GOLD_KEY, MIN_VECTOR_SLOTS, SILVER, SILVER_KEY, SILVER_LENGTH_LIMITS
+from contrail.sources import bronze as B
+from contrail.sources.feed import state_vectors, typed_from, vectors_from_typed
+from contrail.sources.tables import stream_table, table
+from contrail.streaming import incremental as STR
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,7 +139,14 @@ def q_gold_country_hourly(spark, d):
 
 
 def q_gold_approx_aircraft(spark, d):
-    return G.approx_sector_aircraft(silver(spark, d))
+    """The sketch against the exact count: reports, and whether the estimate
+    is within three relative standard deviations."""
+    s = silver(spark, d)
+    names = {k: f"_{k}" for k in GOLD_KEY}
+    exact = G.sector_aggregates(G.base_vectors(s)).select(*GOLD_KEY, "unique_aircraft_count").withColumnsRenamed(names)
+    both = G.approx_sector_aircraft(s).join(exact, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    return both.select(*GOLD_KEY, "reports", G.within_sketch_error(
+        F.col("approx_aircraft_count"), F.col("unique_aircraft_count")).alias("within_error"))
 
 
 def q_gold_row_count(spark, d):
@@ -318,68 +332,115 @@ def queries() -> dict[str, Query]:
     }
 
 
-# --- streaming ----------------------------------------------------------------
+# --- files: landing, Bronze, sinks ------------------------------------------------
 
-def _stream_tables(spark, d, with_gold=True):
-    """Stream the ``events`` table (file source, checkpointed) through the
-    feed projection into the versioned Silver table and the day-partitioned
-    Gold table, under a fresh folder of the shared directory."""
-    import uuid
-
-    from contrail.session import shared_dir
-    from contrail.sources.feed import typed_from, vectors_from_typed
-    from contrail.sources.tables import table
-    from contrail.streaming import incremental as STR
-
-    root = f"{shared_dir(spark)}/contrail-stream/{uuid.uuid4().hex}"
-    events_schema = table(spark, d, "events").schema
-    nation = table(spark, d, "nation")
-    stream = (spark.readStream.schema(events_schema)
-              .option("pathGlobFilter", "events.parquet").parquet(d))
-
-    def to_rows(batch):
-        return P.flatten_states(vectors_from_typed(typed_from(batch, nation)))
-
-    q = STR.upsert_stream(spark, stream, f"{root}/silver",
-                          f"{root}/gold" if with_gold else None,
-                          f"{root}/_checkpoint", to_rows=to_rows)
-    STR.run_available(q)
-    return root
+def _fresh(spark, label):
+    from contrail.plans.tables import work_folder
+    return work_folder(spark, label)
+
+
+def q_bronze_variant_silver(spark, d):
+    """Payloads of two vectors, and of none (those whose vector is short),
+    landed as JSON, loaded into the VARIANT table and flattened; the ingest
+    time is the file's and is left out."""
+    root = _fresh(spark, "bronze")
+    two = F.array("state", "state")
+    states = F.when(F.size("state") >= MIN_VECTOR_SLOTS, two).otherwise(F.slice(two, 1, 0))
+    B.land_payloads(vectors(spark, d).withColumn("states", states), f"{root}/landing")
+    return bronze_silver_rows(B.load_bronze(spark, f"{root}/landing", f"{root}/table", ingested_at="file")).drop("ingested_at")
 
 
-def q_stream_silver(spark, d):
-    from contrail.plans import tables
-    return tables.read_latest(spark, f"{_stream_tables(spark, d, with_gold=False)}/silver")
+def q_bronze_partitions(spark, d):
+    """Payloads in each hourly landing partition."""
+    root = _fresh(spark, "landing")
+    B.land_payloads(vectors(spark, d), root, hourly=True)
+    return (spark.read.option("pathGlobFilter", B.PATTERN).text(root).groupBy("year", "month", "day", "hour")
+            .agg(F.count(F.lit(1)).alias("payloads")))
 
 
-def q_stream_gold(spark, d):
-    from contrail.schemas import GOLD_COLUMNS
-    return spark.read.parquet(f"{_stream_tables(spark, d)}/gold").select(*GOLD_COLUMNS)
+def q_bronze_bad_files(spark, d):
+    """A file with two broken lines and a good one beside the landed payloads:
+    it is skipped whole and reported."""
+    root = _fresh(spark, "bronze")
+    B.land_payloads(vectors(spark, d), f"{root}/landing/good")
+    broken = vectors(spark, d).limit(1).select(F.explode(F.array(
+        F.lit('{"states": [["x"'), F.lit('{"states": [], "time": 1}'), F.lit("no JSON"))).alias("value"))
+    broken.coalesce(1).write.text(f"{root}/landing/bad")
+    paths = {"good": B.PATTERN, "bad": "*.txt"}
+    for name, pattern in paths.items():
+        good = B.load_bronze(spark, f"{root}/landing/{name}", f"{root}/table", ingested_at="file", pattern=pattern)
+    bad = B.bad_files(spark, f"{root}/table").agg(F.count(F.lit(1)).alias("bad_files"),
+                                                  F.sum("bad_values").alias("bad_values"))
+    return good.agg(F.count(F.lit(1)).alias("good_values")).join(bad)
 
 
-def _stream_rows(spark, d):
-    """Silver rows (not deduplicated) of a file stream over ``events``."""
-    from contrail.sources.feed import typed_from, vectors_from_typed
-    from contrail.sources.tables import table
-    stream = (spark.readStream.schema(table(spark, d, "events").schema)
-              .option("pathGlobFilter", "events.parquet").parquet(d))
-    return P.flatten_states(vectors_from_typed(typed_from(stream, table(spark, d, "nation"))))
+def q_records_silver(spark, d):
+    """The flat record shape: written as JSON, loaded, labels undone."""
+    root = _fresh(spark, "records")
+    B.land_records(P.parse_records(vectors(spark, d)), f"{root}/landing")
+    return bronze_silver_rows(B.load_bronze(spark, f"{root}/landing", f"{root}/table", ingested_at="file")).drop("ingested_at")
 
 
-def _stream_root(spark):
-    import uuid
+def q_silver_append(spark, d):
+    """Append-only Silver of two ingest batches: keys repeat across batches."""
+    path, rows = _fresh(spark, "silver_append"), silver_rows(spark, d)
+    late = F.col("ingested_at") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for part in (~late, late):
+        tables.append(S.latest(rows.where(part)), path)
+    return spark.read.schema(SILVER).parquet(path)
+
+
+def q_gold_published(spark, d):
+    """Gold published in full, then its days once more, read back."""
+    root = _fresh(spark, "sinks")
+    tables.upsert_silver(spark, f"{root}/silver", silver_rows(spark, d))
+    build_gold(spark, tables.read_silver(spark, f"{root}/silver"), f"{root}/gold")
+    days = tables.read_days(spark, f"{root}/silver", SILVER, tables.DAY).select(tables.DAY).distinct()
+    refresh_gold_days(spark, f"{root}/silver", days, f"{root}/gold")
+    return tables.read_gold(spark, f"{root}/gold")
+
+
+# --- streaming ----------------------------------------------------------------
+
+#: Files of the events table per micro-batch (a rate limit).
+STREAM_FILES = 1000
+#: The feed folds position times into six hours in any order: no report of it
+#: is late by more.
+FOLD_DELAY = "7 hours"
 
-    from contrail.session import shared_dir
-    return f"{shared_dir(spark)}/contrail-stream/{uuid.uuid4().hex}"
 
+def _stream_vectors(spark, d, batch):
+    return P.flatten_states(vectors_from_typed(typed_from(batch, table(spark, d, "nation"))))
 
-def q_stream_dedup_keys(spark, d):
-    """STR2: first report per (aircraft, position time) within a 2-hour
-    watermark, written by a file sink; the surviving keys are returned (which
-    duplicate arrives first is arbitrary, the key set is not)."""
-    from contrail.streaming import incremental as STR
-    root = _stream_root(spark)
-    q = (STR.dedup_stream(_stream_rows(spark, d)).select("icao24", "time_position")
+
+def _stream_tables(spark, d, with_gold=True, max_files=STREAM_FILES):
+    """Stream the ``events`` table (file source, checkpointed) through the
+    feed projection into the Silver and Gold tables, under a fresh folder of
+    the shared directory."""
+    root = _fresh(spark, "stream")
+    q = STR.upsert_stream(spark, stream_table(spark, d, "events", max_files), f"{root}/silver",
+                          f"{root}/gold" if with_gold else None, f"{root}/_checkpoint",
+                          to_rows=lambda batch: _stream_vectors(spark, d, batch))
+    STR.run_available(q)
+    return root
+
+
+def q_stream_silver(spark, d, max_files=STREAM_FILES):
+    return tables.read_silver(spark, f"{_stream_tables(spark, d, False, max_files)}/silver")
+
+
+def q_stream_gold(spark, d, max_files=STREAM_FILES):
+    return tables.read_gold(spark, f"{_stream_tables(spark, d, True, max_files)}/gold")
+
+
+def q_stream_dedup_keys(spark, d, max_files=STREAM_FILES, delay=FOLD_DELAY):
+    """STR2: first report per (aircraft, position time) within a watermark
+    that covers the feed's disorder, written by a file sink; the surviving keys
+    are returned (which duplicate arrives first is arbitrary, the key set is
+    not)."""
+    root = _fresh(spark, "stream")
+    rows = _stream_vectors(spark, d, stream_table(spark, d, "events", max_files))
+    q = (STR.dedup_stream(rows, delay).select("icao24", "time_position")
          .writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
@@ -387,17 +448,45 @@ def q_stream_dedup_keys(spark, d):
     return spark.read.parquet(f"{root}/out")
 
 
-def q_stream_hourly_traffic(spark, d):
+def q_stream_hourly_traffic(spark, d, max_files=STREAM_FILES, delay=FOLD_DELAY):
     """STR3: tumbling one-hour windows per country with a HyperLogLog
-    aircraft count and a report count, in update mode."""
-    from contrail.streaming import incremental as STR
-    root = _stream_root(spark)
-    return STR.collect_updates(STR.hourly_traffic_stream(_stream_rows(spark, d)),
-                               f"{root}/out", f"{root}/_checkpoint",
-                               ["flight_hour", "origin_country"])
-
-
-_PANELS["stream_dedup_keys"] = q_stream_dedup_keys
-_PANELS["stream_hourly_traffic"] = q_stream_hourly_traffic
-_PANELS["stream_silver"] = q_stream_silver
-_PANELS["stream_gold"] = q_stream_gold
+    aircraft count and a report count, in update mode; the sketch is held
+    against the exact count of the same rows."""
+    root = _fresh(spark, "stream")
+    rows = _stream_vectors(spark, d, stream_table(spark, d, "events", max_files))
+    key = ["flight_hour", "origin_country"]
+    made = STR.collect_updates(STR.hourly_traffic_stream(rows, delay), f"{root}/out", f"{root}/_checkpoint", key)
+    exact = silver_rows(spark, d).groupBy(
+        hour_floor(F.col("time_position")).alias("flight_hour"),
+        F.coalesce("origin_country", F.lit(G.UNKNOWN_COUNTRY)).alias("origin_country")).agg(
+        F.count_distinct("icao24").alias("aircraft"))
+    return made.join(exact, key).select(*key, "reports", G.within_sketch_error(
+        F.col("approx_aircraft"), F.col("aircraft")).alias("within_error"))
+
+
+def q_stream_json_keys(spark, d):
+    """SRC6, STR1, STR5: a JSON landing streamed a few files at a time through
+    Bronze into Silver (keys: which file is newest is arbitrary)."""
+    root = _fresh(spark, "stream")
+    B.land_payloads(vectors(spark, d), f"{root}/landing", hourly=True)
+    n_files = spark.read.option("pathGlobFilter", B.PATTERN).text(f"{root}/landing").select(
+        "_metadata.file_path").distinct().count()
+    q = STR.upsert_stream(spark, STR.bronze_stream(spark, f"{root}/landing", max(1, -(-n_files // 3))),
+                          f"{root}/silver", None, f"{root}/_checkpoint")
+    STR.run_available(q)
+    return tables.read_silver(spark, f"{root}/silver").select("icao24", "time_position")
+
+
+_PANELS |= {
+    "bronze_variant_silver": q_bronze_variant_silver,
+    "bronze_partitions": q_bronze_partitions,
+    "bronze_bad_files": q_bronze_bad_files,
+    "records_silver": q_records_silver,
+    "silver_append": q_silver_append,
+    "gold_published": q_gold_published,
+    "stream_dedup_keys": q_stream_dedup_keys,
+    "stream_hourly_traffic": q_stream_hourly_traffic,
+    "stream_silver": q_stream_silver,
+    "stream_gold": q_stream_gold,
+    "stream_json_keys": q_stream_json_keys,
+}

@@ -2,71 +2,73 @@
 
 Each layer is materialized (written) before the next reads it, which cuts
 the lineage, lets a lost executor recompute from the last written layer,
-and keeps every job's plan short.  Intermediate tables live under the
-shared folder named by ``spark.checkpoint.dir``.
+and keeps every job's plan short.  Bronze is read once for the Silver rows and
+once for the quarantine.  Intermediate tables live under the shared folder
+named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from contrail.operators import gold as G
 from contrail.operators import quality as Q
 from contrail.operators import silver as S
-from contrail.operators.bronze_silver import bronze_silver_rows
+from contrail.operators.bronze_silver import bronze_silver_rows, bronze_vectors
 from contrail.plans import tables
 from contrail.schemas import GOLD_COLUMNS
-from contrail.session import shared_dir
 from contrail.sources.bronze import load_bronze
 
 
 @dataclass
 class RunResult:
-    silver_version: int | None
+    silver_rows: int
     gold_rows: int
     checks: DataFrame
 
 
-def build_gold(spark: SparkSession, silver: DataFrame, gold_path: str,
-               scratch: str | None = None, days_only: bool = False) -> DataFrame:
+def build_gold(spark: SparkSession, silver: DataFrame, gold_path: str, full: bool = True) -> None:
     """Aggregate, materialize the aggregate, rank it without re-shuffling it
-    (distinct-level join), and write Gold."""
-    scratch = scratch or f"{shared_dir(spark)}/contrail/{uuid.uuid4().hex}"
-    agg_path = f"{scratch}/gold_aggregates"
-    G.sector_aggregates(G.base_vectors(silver)).write.mode("overwrite").parquet(agg_path)
-    ranked = G.rank_sectors(spark.read.parquet(agg_path), materialized=True).select(*GOLD_COLUMNS)
-    if days_only:
-        tables.overwrite_days(ranked, gold_path)
-    else:
-        tables.overwrite(ranked, gold_path)
-    return spark.read.parquet(gold_path)
+    (distinct-level join), and publish Gold (all of it, or the days it has)."""
+    with tables.written(spark, G.sector_aggregates(G.base_vectors(silver)), "gold_aggregates") as agg:
+        tables.refresh_gold(spark, G.rank_sectors(agg, materialized=True).select(*GOLD_COLUMNS), gold_path, full)
+
+
+def refresh_gold_days(spark: SparkSession, silver_path: str, days: DataFrame, gold_path: str) -> None:
+    """Recompute and publish Gold for the touched days (``day``) only."""
+    scope = tables.read_days(spark, silver_path, tables.SILVER, tables.DAY).join(days, tables.DAY, "left_semi")
+    build_gold(spark, scope.drop(tables.DAY), gold_path, full=False)
 
 
 def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
         multi_line: bool = False, ingested_at="file", check: bool = True) -> RunResult:
     """One full pass.  ``mode="upsert"`` keeps one row per key across runs;
-    ``mode="append"`` reproduces the append-only Silver."""
+    ``mode="append"`` reproduces the append-only Silver.
+
+    Writes ``bronze``, ``silver``, ``gold``, ``country_hourly`` (the hourly country
+    summary) and ``quarantine`` (rejected or suspicious vectors of this pass)
+    below ``warehouse``."""
     wh = warehouse.rstrip("/")
-    # Bronze is appended per run (one folder per load); bad files stay in
-    # it, flagged, and are skipped when read.
-    bronze = load_bronze(spark, landing, f"{wh}/bronze/run={uuid.uuid4().hex}",
-                         multi_line=multi_line, ingested_at=ingested_at)
-    rows = bronze_silver_rows(bronze)
-    silver_path = f"{wh}/silver"
+    silver_path, gold_path = f"{wh}/silver", f"{wh}/gold"
+    bronze = load_bronze(spark, landing, f"{wh}/bronze", multi_line=multi_line, ingested_at=ingested_at)
+    rows = tables.materialize(spark, bronze_silver_rows(bronze), "silver_rows")
+    tables.overwrite(Q.quarantine(bronze_vectors(bronze)), f"{wh}/quarantine")
     if mode == "upsert":
-        version = tables.upsert_silver(spark, silver_path, rows)
-        silver = tables.read_version(spark, silver_path, version)
+        tables.upsert_silver(spark, silver_path, rows)
+        silver = tables.read_silver(spark, silver_path)
     elif mode == "append":
         tables.append(S.latest(rows), f"{silver_path}_append")
-        version, silver = None, spark.read.parquet(f"{silver_path}_append")
+        silver = spark.read.parquet(f"{silver_path}_append")
     else:
         raise ValueError(mode)
-    gold = build_gold(spark, silver, f"{wh}/gold", scratch=f"{wh}/_scratch/{uuid.uuid4().hex}")
+    build_gold(spark, silver, gold_path)
+    tables.overwrite(G.country_hourly(silver), f"{wh}/country_hourly")
+    gold = tables.read_gold(spark, gold_path)
     checks = Q.combine(
-        Q.row_count_check(bronze, "bronze"),
+        Q.row_count_check(spark.read.parquet(f"{wh}/bronze").select("source_file"), "bronze"),
         Q.row_count_check(rows, "silver_input"),
         Q.row_count_check(gold, "gold"),
         Q.duplicate_checks(silver, "silver", ("icao24", "time_position")),
@@ -75,4 +77,5 @@ def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
         # Append mode piles up repeated keys by design: reported, not raised.
         Q.assert_passed(checks if mode == "upsert"
                         else checks.filter(~checks.check.startswith("duplicate")))
-    return RunResult(version, gold.count(), checks)
+    counts = silver.agg(F.count(F.lit(1)).alias("n")).first()
+    return RunResult(counts.n, gold.count(), checks)

@@ -2,20 +2,7 @@
 
 from __future__ import annotations
 
-from contrail.plans.oracle import _geohash_sql, q
-
-PHASE_SQL = """CASE WHEN on_ground THEN 'Ground / Taxi'
-  WHEN baro_altitude * CAST(3.28084 AS DOUBLE) < 10000 THEN 'Low Altitude / Approach'
-  WHEN baro_altitude * CAST(3.28084 AS DOUBLE) BETWEEN 10000 AND 28000 THEN 'Mid Altitude'
-  WHEN baro_altitude * CAST(3.28084 AS DOUBLE) > 28000 THEN 'High Cruise'
-  ELSE 'Unknown' END"""
-
-
-# Registered queries without a SQL twin: their result is approximate by design
-# (a HyperLogLog sketch over up to ~30 aircraft per window is not exact), so
-# only their rows are checked.
-APPROXIMATE = ("stream_hourly_traffic",)
-
+from contrail.plans.oracle import FEET, POSITION_TIME, _geohash_sql, phase_sql, q
 
 def oracle_sql() -> dict[str, str]:
     return {**core_sql(), **panel_sql()}
@@ -46,7 +33,7 @@ SELECT icao24, time_position, longitude, latitude,
        {_geohash_sql('longitude', 'latitude', 7)} AS geohash7
 FROM silver_rows"""),
         "flight_phase": q(f"""
-SELECT icao24, time_position, on_ground, {PHASE_SQL} AS flight_phase FROM silver"""),
+SELECT icao24, time_position, on_ground, {phase_sql(feet=f'({FEET})')} AS flight_phase FROM silver"""),
         "unit_convert": q("""
 SELECT icao24, time_position,
        baro_altitude * CAST(3.28084 AS DOUBLE) AS altitude_ft,
@@ -66,9 +53,9 @@ SELECT date_trunc('hour', time_position) AS flight_hour,
        max(ingested_at) AS updated_at
 FROM silver GROUP BY 1, 2"""),
         "gold_approx_aircraft": q("""
-SELECT snapshot_hour, origin_country, spatial_sector, flight_phase,
-       count(DISTINCT icao24) AS approx_aircraft_count
-FROM base GROUP BY 1, 2, 3, 4"""),
+SELECT hour AS snapshot_hour, country AS origin_country, sector AS spatial_sector, phase AS flight_phase,
+       count(*) AS reports, true AS within_error
+FROM seen GROUP BY 1, 2, 3, 4"""),
         "gold_row_count": q("SELECT count(1) AS total_gold_records FROM gold"),
     }
 
@@ -138,19 +125,12 @@ HIST_CTES = (
                            CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS le,
                            CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END AS width
                     FROM hw) t)""",
-    """hr AS (SELECT origin_country, x, fe, le, nb,
-                     CAST(trunc((x - fe) * (nb / (le - fe))) AS BIGINT) AS raw FROM hx, hp)""",
-    """h0 AS (SELECT *, CASE WHEN raw >= nb THEN nb - 1 ELSE raw END AS i0 FROM hr)""",
-    """h1 AS (SELECT *, CASE WHEN x < (CASE WHEN i0 >= nb THEN le ELSE i0 * ((le - fe) / nb) + fe END)
-                            THEN i0 - 1 ELSE i0 END AS i1 FROM h0)""",
-    """h2 AS (SELECT origin_country, fe, le, nb,
-                     CASE WHEN x >= (CASE WHEN i1 + 1 >= nb THEN le ELSE (i1 + 1) * ((le - fe) / nb) + fe END)
-                               AND i1 <> nb - 1 THEN i1 + 1 ELSE i1 END AS bin FROM h1)""",
-    """hc AS (SELECT origin_country, bin, fe, le, nb, count(*) AS cnt FROM h2
-              GROUP BY origin_country, bin, fe, le, nb)""",
-    """he AS (SELECT origin_country, bin, cnt,
-                     CASE WHEN bin >= nb THEN le ELSE bin * ((le - fe) / nb) + fe END AS bin_left,
-                     CASE WHEN bin + 1 >= nb THEN le ELSE (bin + 1) * ((le - fe) / nb) + fe END AS bin_right,
+    """edges AS (SELECT i AS bin, i = nb - 1 AS last, i * ((le - fe) / nb) + fe AS a,
+                        CASE WHEN i + 1 >= nb THEN le ELSE (i + 1) * ((le - fe) / nb) + fe END AS b
+                 FROM (SELECT unnest(range(0, nb)) AS i, fe, le, nb FROM hp) t)""",
+    """hc AS (SELECT origin_country, bin, a, b, count(*) AS cnt
+              FROM hx JOIN edges ON x >= a AND (x < b OR last) GROUP BY ALL)""",
+    """he AS (SELECT origin_country, bin, cnt, a AS bin_left, b AS bin_right,
                      sum(cnt) OVER (PARTITION BY origin_country) AS total
               FROM hc)""",
 )
@@ -272,9 +252,16 @@ UNION ALL
 SELECT icao24, CAST(time_position AS VARCHAR) AS time_position_raw, ingested_at,
        CASE WHEN short_vector THEN 16 ELSE 17 END AS slots,
        'unparsable:baro_altitude' AS reason
-FROM typed WHERE bad_altitude"""),
+FROM typed WHERE bad_altitude
+UNION ALL
+SELECT icao24, CAST(time_position AS VARCHAR) AS time_position_raw, ingested_at,
+       CASE WHEN short_vector THEN 16 ELSE 17 END AS slots,
+       'out_of_range:time_position' AS reason
+FROM typed WHERE time_position NOT BETWEEN 0 AND 4102444799"""),
         "dq_type_drift": q("\nUNION ALL ".join(
-            _check("bronze", f"parsable:{k}", o, f, "typed") for k, (o, f) in DRIFT.items())),
+            [_check("bronze", f"parsable:{k}", o, f, "typed") for k, (o, f) in DRIFT.items()]
+            + [_check("bronze", "in_range:time_position", "count(time_position)",
+                      "count_if(time_position NOT BETWEEN 0 AND 4102444799)", "typed")])),
         "dq_freshness": q(_check(
             "gold", "freshness:snapshot_hour<=7200s",
             "((SELECT epoch_us(max(ingested_at)) // 1000000 FROM silver)"
@@ -283,17 +270,39 @@ FROM typed WHERE bad_altitude"""),
             " - epoch_us(max(snapshot_hour)) // 1000000) > 7200 THEN 1 ELSE 0 END",
             "gold")),
         "silver_flagged": q("""
-SELECT icao24, trim(callsign) AS callsign, upper(trim(origin_country)) AS origin_country,
-       make_timestamp(time_position * 1000000) AS time_position, longitude, latitude,
-       baro_altitude, velocity, on_ground, ingested_at,
+SELECT * EXCLUDE (short_vector),
        icao24 IS NULL AS missing_icao24, time_position IS NULL AS missing_time_position,
        (longitude IS NULL OR latitude IS NULL) AS missing_position,
        baro_altitude IS NULL AS missing_altitude, on_ground IS NULL AS missing_on_ground,
-       trim(callsign) IS NULL AS missing_callsign,
-       origin_country IS NULL AS missing_country
-FROM typed"""),
+       callsign IS NULL AS missing_callsign, origin_country IS NULL AS missing_country
+FROM silver_all"""),
         "json_roundtrip": q("SELECT * FROM silver_rows"),
         "stream_dedup_keys": q("SELECT DISTINCT icao24, time_position FROM silver_rows"),
         "stream_silver": q("SELECT * FROM silver"),
         "stream_gold": q("SELECT * FROM gold"),
+        "stream_hourly_traffic": q("""
+SELECT date_trunc('hour', time_position) AS flight_hour, coalesce(origin_country, 'Unknown') AS origin_country,
+       count(*) AS reports, true AS within_error
+FROM silver_rows GROUP BY 1, 2"""),
+        "stream_json_keys": q("SELECT DISTINCT icao24, time_position FROM silver_rows"),
+        "bronze_variant_silver": q("""
+SELECT * EXCLUDE (ingested_at, short_vector, copy)
+FROM silver_all, (SELECT unnest([1, 2]) AS copy) c
+WHERE NOT short_vector AND icao24 IS NOT NULL AND time_position IS NOT NULL"""),
+        "bronze_partitions": q("""
+SELECT year(t)::INT AS year, month(t)::INT AS month, day(t)::INT AS day, hour(t)::INT AS hour, count(*) AS payloads
+FROM (SELECT make_timestamp(coalesce(fetched_at, time) * 1000000) AS t FROM typed) f GROUP BY ALL"""),
+        "bronze_bad_files": q("""
+SELECT (SELECT count(*) FROM typed) AS good_values, CAST(1 AS BIGINT) AS bad_files, CAST(2 AS BIGINT) AS bad_values"""),
+        "records_silver": q(f"""
+SELECT icao24, nullif(trim(callsign), '') AS callsign, upper(trim(origin_country)) AS origin_country,
+       {POSITION_TIME} AS time_position, longitude, latitude, baro_altitude, velocity,
+       coalesce(on_ground, false) AS on_ground
+FROM typed WHERE NOT short_vector AND icao24 IS NOT NULL AND {POSITION_TIME} IS NOT NULL"""),
+        "silver_append": q("""
+SELECT DISTINCT ON (icao24, time_position, ingested_at >= TIMESTAMP '2024-01-15') * FROM silver_rows
+ORDER BY icao24, time_position, ingested_at >= TIMESTAMP '2024-01-15', ingested_at DESC NULLS FIRST, callsign NULLS LAST,
+         origin_country NULLS LAST, longitude NULLS LAST, latitude NULLS LAST,
+         baro_altitude NULLS LAST, velocity NULLS LAST, on_ground NULLS LAST"""),
+        "gold_published": q("SELECT * FROM gold"),
     }

@@ -1,125 +1,171 @@
 """Table sinks.
 
-* Bronze / Silver append (parity mode): ``mode("append")``.
-* Silver upsert (default): a *versioned, day-partitioned* table.  Version
-  ``n`` writes ``<path>/data/v=<n>/day=<d>`` for the days its new rows touch
-  (latest-wins over those days of version ``n-1`` plus the new rows), and
-  only then commits one ``(version, day)`` row per day to ``<path>/_commits``.
-  The snapshot of version ``n`` takes, for every day, the newest committed
-  version ``<= n`` that wrote it.  A batch costs the days it touches, a
-  crashed or retried writer never exposes a partial version, and no job
-  overwrites files it is reading.
-* Gold refresh: full overwrite, or dynamic partition overwrite of the
-  touched days only.
+* Append (parity mode): ``mode("append")``.
+* Silver upsert: a table partitioned by day.  A batch is merged (latest wins)
+  with the rows of the days it touches into a staging folder, and the
+  finished staging then replaces exactly those day partitions.  A writer that
+  stops before the staging is complete has changed nothing; one that stops
+  while it is published left a finished staging, which the next writer
+  publishes again first.  Latest-wins is idempotent, so a replayed batch, or a
+  stream whose checkpoint was reset, gives the same table.
+* Gold: one layout, partitioned by ``snapshot_date``, published from a finished
+  staging in the same way: the touched days only, or a full refresh, which
+  also drops the days that are no more.
 * Create-if-absent catalog tables with the fixed schemas.
+
+One writer at a time per table.
 """
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from contrail.operators import silver as S
-from contrail.schemas import SILVER
+from contrail.schemas import GOLD, SILVER
+from contrail.session import shared_dir
+
+DAY, SNAPSHOT_DATE = "day", "snapshot_date"
+
+
+# --- folders -------------------------------------------------------------------
+
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = _fs(spark, path)
+    return fs.exists(at)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder (none if it is missing)."""
+    fs, at = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()] if fs.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.delete(at, True)
+
+
+# --- publishing through a finished staging --------------------------------------
+
+def _staging(path: str) -> str:
+    return f"{path.rstrip('/')}__staging"
+
+
+def _with_partition(schema: T.StructType, column: str) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(column, T.DateType())])
+
+
+def _write_days(df: DataFrame, path: str, column: str, **options) -> None:
+    # one shuffle by day, split by AQE where a day is large: no file per task and day
+    (df.hint("rebalance", column).write.mode("overwrite").options(**options)
+       .partitionBy(column).parquet(path))
+
 
+def stage(df: DataFrame, path: str, column: str, full: bool = False) -> str:
+    """Write a batch aside; ``full`` marks that it replaces the whole table."""
+    folder = f"{_staging(path)}/{'full' if full else 'days'}-{uuid.uuid4().hex}"
+    _write_days(df, folder, column)
+    return folder
 
-def _commits(path: str) -> str:
-    return f"{path.rstrip('/')}/_commits"
 
+def publish(spark: SparkSession, folder: str, path: str, schema: T.StructType, column: str) -> None:
+    """Replace the table's partitions by those of a finished staging."""
+    staged = spark.read.schema(_with_partition(schema, column)).parquet(folder)
+    _write_days(staged, path, column, partitionOverwriteMode="dynamic")
+    if folder.rsplit("/", 1)[-1].startswith("full-"):
+        kept = set(folders(spark, folder))
+        for name in folders(spark, path):
+            if name.startswith(f"{column}=") and name not in kept:
+                remove(spark, f"{path.rstrip('/')}/{name}")
 
-def version_path(path: str, version: int) -> str:
-    return f"{path.rstrip('/')}/data/v={version}"
 
+def recover(spark: SparkSession, path: str, schema: T.StructType, column: str) -> None:
+    """Publish again what an earlier writer finished but may not have
+    published, and drop what it did not finish."""
+    for name in folders(spark, _staging(path)):
+        folder = f"{_staging(path)}/{name}"
+        if exists(spark, f"{folder}/_SUCCESS"):
+            publish(spark, folder, path, schema, column)
+        remove(spark, folder)
 
-def _commit_log(spark: SparkSession, path: str) -> DataFrame | None:
+
+def read_days(spark: SparkSession, path: str, schema: T.StructType, column: str) -> DataFrame:
+    """The table with its partition column; empty if it was never written."""
+    full = _with_partition(schema, column)
+    if not any(n.startswith(f"{column}=") for n in folders(spark, path)):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path)
+
+
+# --- Silver ----------------------------------------------------------------------
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    return read_days(spark, path, SILVER, DAY).drop(DAY)
+
+
+def upsert_silver(spark: SparkSession, path: str, incoming_rows: DataFrame, then=None) -> None:
+    """Merge rows into the Silver table (see above).  ``then(days)`` runs after
+    the publication with the touched days, before the staging is dropped: if
+    it fails, the replayed batch does it again."""
+    recover(spark, path, SILVER, DAY)
+    keyed = incoming_rows.select(*SILVER.fieldNames()).withColumn(DAY, F.to_date("time_position"))
+    with written(spark, keyed, "incoming") as incoming:
+        # only the touched day partitions are read (partition pruning by the join)
+        base = read_days(spark, path, SILVER, DAY).join(incoming.select(DAY).distinct(), DAY, "left_semi")
+        folder = stage(S.upsert(base, incoming).withColumn(DAY, F.to_date("time_position")), path, DAY)
+    publish(spark, folder, path, SILVER, DAY)
+    if then:
+        then(spark.read.schema(_with_partition(SILVER, DAY)).parquet(folder).select(DAY).distinct())
+    remove(spark, folder)
+
+
+# --- Gold ------------------------------------------------------------------------
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    return read_days(spark, path, GOLD, SNAPSHOT_DATE).drop(SNAPSHOT_DATE)
+
+
+def refresh_gold(spark: SparkSession, gold: DataFrame, path: str, full: bool) -> None:
+    """Publish Gold rows: their days only, or (``full``) as the whole table."""
+    recover(spark, path, GOLD, SNAPSHOT_DATE)
+    folder = stage(gold.withColumn(SNAPSHOT_DATE, F.to_date("snapshot_hour")), path, SNAPSHOT_DATE, full)
+    publish(spark, folder, path, GOLD, SNAPSHOT_DATE)
+    remove(spark, folder)
+
+
+# --- others ------------------------------------------------------------------------
+
+@contextmanager
+def written(spark: SparkSession, df: DataFrame, label: str):
+    """``df`` written to the shared directory, for as long as the block runs:
+    what the block publishes must not need it afterwards."""
+    path = work_folder(spark, label)
+    df.write.mode("overwrite").parquet(path)
     try:
-        return spark.read.parquet(_commits(path))
-    except AnalysisException:
-        return None
-
-
-def committed_version(spark: SparkSession, path: str) -> int | None:
-    """Highest committed version, or None for a table never written."""
-    log = _commit_log(spark, path)
-    row = None if log is None else log.agg(F.max("version").alias("v")).first()
-    return None if row is None or row.v is None else int(row.v)
-
-
-def _snapshot_paths(spark: SparkSession, path: str, version: int | None,
-                    days: list | None = None) -> list[str]:
-    """Data folders making up ``version``: for every day, the newest
-    version <= ``version`` that wrote it.  One row per (version, day) is
-    collected -- table metadata, not data."""
-    log = _commit_log(spark, path)
-    if log is None or version is None:
-        return []
-    log = log.filter(F.col("version") <= version)
-    if days is not None:
-        log = log.filter(F.col("day").isin(days))
-    heads = log.groupBy("day").agg(F.max("version").alias("v")).collect()
-    return [f"{version_path(path, r.v)}/day={r.day.isoformat()}" for r in heads]
-
-
-def read_version(spark: SparkSession, path: str, version: int | None,
-                 schema: T.StructType = SILVER, days: list | None = None) -> DataFrame:
-    paths = _snapshot_paths(spark, path, version, days)
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
-
-
-def read_latest(spark: SparkSession, path: str, schema: T.StructType = SILVER) -> DataFrame:
-    return read_version(spark, path, committed_version(spark, path), schema)
-
-
-def commit(spark: SparkSession, path: str, version: int) -> None:
-    """Record the days version ``version`` wrote (after the data is complete)."""
-    written = spark.read.parquet(version_path(path, version))
-    (written.groupBy("day").agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(version).cast("bigint").alias("version"), "day", "rows",
-                    F.current_timestamp().cast("timestamp_ntz").alias("committed_at"))
-            .coalesce(1).write.mode("append").parquet(_commits(path)))
-
-
-def upsert_silver(spark: SparkSession, path: str, incoming_rows: DataFrame,
-                  base_version: int | None = None, new_version: int | None = None) -> int:
-    """Write Silver version ``new_version`` = latest-wins over version
-    ``base_version`` and ``incoming_rows`` (defaults: the committed head and
-    head + 1).
-
-    Only the days present in ``incoming_rows`` are read and rewritten (the
-    touched-day list is collected: one date per day); untouched days keep
-    pointing at older versions, so a batch costs its days, not the table.
-    Rewriting the same version from the same inputs is idempotent, so a
-    replayed streaming batch is harmless."""
-    if base_version is None:
-        base_version = committed_version(spark, path)
-    if new_version is None:
-        new_version = (base_version or 0) + 1
-    if base_version is not None and new_version <= base_version:
-        raise ValueError("new version must be above the base version")
-    incoming = incoming_rows.select(*SILVER.fieldNames())
-    days = [r.day for r in incoming.select(F.to_date("time_position").alias("day"))
-            .distinct().collect()]
-    if not days:
-        return new_version  # nothing to write: version n is version n-1
-    base = read_version(spark, path, base_version, days=days)
-    merged = S.upsert(base, incoming).withColumn("day", F.to_date("time_position"))
-    merged.write.mode("overwrite").partitionBy("day").parquet(version_path(path, new_version))
-    commit(spark, path, new_version)
-    return new_version
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
+def work_folder(spark: SparkSession, label: str) -> str:
+    return f"{shared_dir(spark)}/contrail-work/{uuid.uuid4().hex}/{label}"
 
 
 def materialize(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to a fresh folder of the shared directory and read
     it back: every later branch reads the written table instead of
     recomputing the plan, and the lineage is cut there."""
-    import uuid
-
-    from contrail.session import shared_dir
-    path = f"{shared_dir(spark)}/contrail-work/{uuid.uuid4().hex}/{label}"
+    path = work_folder(spark, label)
     df.write.mode("overwrite").parquet(path)
     # the schema is known: no inference job on read-back
     return spark.read.schema(df.schema).parquet(path)
@@ -133,13 +179,6 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def overwrite_days(gold: DataFrame, path: str) -> None:
-    """Replace only the ``snapshot_date`` partitions present in ``gold``."""
-    (gold.withColumn("snapshot_date", F.to_date("snapshot_hour"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("snapshot_date").parquet(path))
-
-
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str) -> None:
     """CREATE TABLE IF NOT EXISTS ... USING parquet LOCATION path."""
     if not spark.catalog.tableExists(name):

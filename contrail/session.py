@@ -50,28 +50,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder shared by all executors for checkpoints and intermediate tables.
-
-    On a cluster this is ``spark.checkpoint.dir``.  Only when the session has
-    none (local runs, tests) a fresh local folder is created and registered.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Connect: the server owns checkpoints
-        if configured:
-            return configured.rstrip("/")
-        return tempfile.mkdtemp(prefix="contrail-ckpt-")
-    configured = configured or sc.getConf().get("spark.checkpoint.dir", None)
+    """Folder shared by all executors for checkpoints and intermediate tables:
+    ``spark.checkpoint.dir``.  Where the session has none, a fresh local folder
+    is made on a local master only; a cluster without one is an error, since
+    its executors would each write to their own disk."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="contrail-ckpt-")
-    sc.setCheckpointDir(local)
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    master = sc.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="contrail-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 

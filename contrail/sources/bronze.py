@@ -4,36 +4,22 @@ Landing (``land_records`` / ``land_payloads``): JSON files appended under
 ``year=/month=/day=`` (optionally ``hour=``) partitions derived from the
 fetch time.
 
-Bronze (``read_bronze``): every ``*.json`` file below a path, both payload
-objects (``{"time", "states": [[...]]}``) and flat record objects, one row
-per JSON value (a file holding one JSON array is stripped to its elements
-with ``multi_line=True``).  A file with any unparsable value is skipped
-whole: its path is found through the corrupt-record column and removed with
-a left-anti join on ``_metadata.file_path`` (the bad-file list is one row
-per file, never per record).  The parse is checkpointed once so both sides
-come from one read.  Partition columns of the landing layout are
-discovered from the paths.
+Bronze is schemaless: one VARIANT ``raw_data`` per JSON value (a line, or a
+whole file with ``multi_line=True``), the ingest time and the source file.  A
+value is parsed once, when it is loaded; no field is lost.  A file with any
+value that is not JSON is skipped whole by the readers (its rows stay in the
+table, with the unparsed text in ``bad_text``); valid JSON of another type than
+expected costs only the field or vector that has it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from contrail.functions.timefn import epoch_to_ntz
-from contrail.schemas import FLIGHT_RECORD
-from contrail.session import shared_dir
 
-CORRUPT = "_corrupt_record"
-
-# Union of the two landed shapes: payload objects and flat records.
-BRONZE_SCHEMA = T.StructType(
-    [T.StructField("time", T.LongType()), T.StructField("fetched_at", T.LongType()),
-     T.StructField("states", T.ArrayType(T.ArrayType(T.StringType())))]
-    + [f for f in FLIGHT_RECORD.fields]
-    + [T.StructField(CORRUPT, T.StringType())]
-)
+PATTERN = "*.json"
 
 
 def _date_parts(ts: Column, hourly: bool) -> list[Column]:
@@ -47,7 +33,7 @@ def _date_parts(ts: Column, hourly: bool) -> list[Column]:
 def land(df: DataFrame, path: str, fetch_time: Column, hourly: bool = False) -> None:
     """Append ``df`` as JSON under date partitions of ``fetch_time``."""
     cols = ["year", "month", "day"] + (["hour"] if hourly else [])
-    (df.select("*", *_date_parts(fetch_time, hourly))
+    (df.select("*", *_date_parts(fetch_time, hourly)).hint("rebalance", *cols)
        .write.mode("append").partitionBy(*cols).json(path))
 
 
@@ -57,92 +43,76 @@ def land_records(records: DataFrame, path: str, hourly: bool = False) -> None:
 
 
 def land_payloads(vectors: DataFrame, path: str, hourly: bool = False) -> None:
-    """Feed rows as payload objects (one vector per object)."""
-    payloads = vectors.select("time", "fetched_at", F.array("state").alias("states"))
+    """Feed rows as payload objects: ``states`` if there is such a column (any
+    number of vectors), else the one vector ``state``."""
+    states = F.col("states") if "states" in vectors.columns else F.array("state")
+    payloads = vectors.select("time", "fetched_at", states.alias("states"))
     land(payloads, path, epoch_to_ntz(F.coalesce("fetched_at", "time")), hourly)
 
 
-def _parse(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    return (spark.read.schema(BRONZE_SCHEMA)
-            .option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("pathGlobFilter", "*.json")
-            .json(path)
-            .withColumn("_file", F.col("_metadata.file_path"))
-            .withColumn("_file_time", F.col("_metadata.file_modification_time")))
-
+def _ingest_time(ingested_at: Column | str | None) -> Column:
+    if ingested_at is None:
+        return F.current_timestamp().cast("timestamp_ntz")
+    if isinstance(ingested_at, str) and ingested_at == "file":
+        return F.col("_metadata.file_modification_time").cast("timestamp_ntz")
+    return (ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)).cast("timestamp_ntz")
 
-def _parsed_once(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    """The parse, written once to the shared checkpoint folder: the data and
-    the bad-file list are both derived from it (a JSON scan may not be
-    queried for its corrupt-record column alone), and a lost executor
-    re-reads the checkpoint instead of re-parsing."""
-    shared_dir(spark)
-    return _parse(spark, path, multi_line).checkpoint(eager=True)
 
+def parse_text(lines: DataFrame, ingested_at: Column | str | None = "file") -> DataFrame:
+    """raw_data, ingested_at, source_file, bad_text of text read from files
+    (batch or stream); blank lines are no values."""
+    raw = F.try_parse_json("value")
+    return lines.where(F.trim("value") != "").select(
+        raw.alias("raw_data"), _ingest_time(ingested_at).alias("ingested_at"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.when(raw.isNull(), F.col("value")).alias("bad_text"))
 
-def skip_bad_files(raw: DataFrame) -> DataFrame:
-    """Drop every row of a file that holds an unparsable value.  The
-    bad-file list is one row per file; AQE broadcasts it when small."""
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select("_file").distinct()
-    return raw.join(bad, "_file", "left_anti").drop(CORRUPT)
 
+def parse(spark: SparkSession, path: str, multi_line: bool = False,
+          ingested_at: Column | str | None = None, pattern: str = PATTERN) -> DataFrame:
+    lines = spark.read.option("wholetext", multi_line).option("pathGlobFilter", pattern).text(path)
+    return parse_text(lines, ingested_at)
 
-def _stamp(good: DataFrame, ingested_at: Column | str | None) -> DataFrame:
-    if ingested_at is None:
-        ing = F.current_timestamp().cast("timestamp_ntz")
-    elif isinstance(ingested_at, str) and ingested_at == "file":
-        ing = F.col("_file_time").cast("timestamp_ntz")
-    else:
-        ing = ingested_at if isinstance(ingested_at, Column) else F.lit(ingested_at)
-        ing = ing.cast("timestamp_ntz")
-    return good.withColumn("ingested_at", ing).drop("_file_time")
 
+def skip_bad_files(bronze: DataFrame) -> DataFrame:
+    """Drop every row of a file that holds an unparsable value.  The
+    bad-file list is one row per file; AQE broadcasts it when small."""
+    bad = bronze.where("bad_text IS NOT NULL").select("source_file").distinct()
+    return bronze.join(bad, "source_file", "left_anti").drop("bad_text")
 
-def read_bronze(spark: SparkSession, path: str, multi_line: bool = False,
-                ingested_at: Column | str | None = None) -> DataFrame:
-    """Bronze rows of every JSON file below ``path`` (bad files skipped).
 
-    ``ingested_at``: a column/literal, ``"file"`` for the file modification
-    time (stable across re-reads), or None for the load time."""
-    return _stamp(skip_bad_files(_parsed_once(spark, path, multi_line)), ingested_at)
+def variant_rows(bronze: DataFrame) -> DataFrame:
+    """One row per object.  An array counts as its elements; so does an object
+    whose only field is an array of objects (records handed over as a dict),
+    unless that field is ``states``, the vectors of a payload."""
+    as_map = F.try_variant_get("raw_data", "$", "map<string,variant>")
+    inner = F.try_variant_get(F.element_at(F.map_values(as_map), 1), "$", "array<variant>")
+    objects = F.forall(inner, lambda v: F.schema_of_variant(v).startswith("OBJECT"))
+    only = F.when((F.size(as_map) == 1) & ~F.array_contains(F.map_keys(as_map), "states") & objects, inner)
+    elems = F.coalesce(F.try_variant_get("raw_data", "$", "array<variant>"), only, F.array("raw_data"))
+    others = [c for c in bronze.columns if c != "raw_data"]
+    return bronze.select(*others, F.explode(elems).alias("raw_data"))
 
 
 def load_bronze(spark: SparkSession, path: str, bronze_path: str, multi_line: bool = False,
-                ingested_at: Column | str | None = None) -> DataFrame:
-    """Write the raw parse (corrupt-record flags and file paths included) as
-    the Bronze table, once, and return its good rows read back from it."""
-    _parse(spark, path, multi_line).write.mode("overwrite").parquet(bronze_path)
-    return _stamp(skip_bad_files(spark.read.parquet(bronze_path)), ingested_at)
+                ingested_at: Column | str | None = None, pattern: str = PATTERN) -> DataFrame:
+    """Append the files below ``path`` to the stored Bronze table, once, and
+    return the rows of its good files.  The ingest time is stored, so every
+    later read sees the same."""
+    parse(spark, path, multi_line, ingested_at, pattern).write.mode("append").parquet(bronze_path)
+    return read_bronze(spark, bronze_path)
 
 
-def bad_files(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Files the Bronze load skips, with the number of unparsable values and
-    the smallest of them (whole text)."""
-    raw = _parsed_once(spark, path, multi_line)
-    return (raw.filter(F.col(CORRUPT).isNotNull())
-               .groupBy("_file").agg(F.count(F.lit(1)).alias("bad_values"),
-                                     F.min(CORRUPT).alias("sample")))
+BRONZE = "raw_data variant, ingested_at timestamp_ntz, source_file string, bad_text string"
 
 
-def read_bronze_variant(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Schemaless Bronze: one VARIANT ``raw_data`` per file value (a
-    top-level array stays one value; see ``variant_rows``)."""
-    return (spark.read.option("singleVariantColumn", "raw_data")
-            .option("multiLine", multi_line).option("pathGlobFilter", "*.json")
-            .json(path).withColumn("_file", F.col("_metadata.file_path")))
+def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Objects of the stored Bronze table: bad files skipped, arrays stripped."""
+    return variant_rows(skip_bad_files(spark.read.schema(BRONZE).parquet(bronze_path)))
 
 
-def variant_rows(bronze_variant: DataFrame) -> DataFrame:
-    """Strip an outer JSON array: one row per element (objects pass through).
-    A wrapper object whose only field is an array (``{"states": [...]}``
-    handed to the lander as a dict) is replaced by that array's elements."""
-    as_map = F.try_variant_get("raw_data", "$", "map<string,variant>")
-    only = F.when(F.size(as_map) == 1, F.try_variant_get(
-        F.element_at(F.map_values(as_map), 1), "$", "array<variant>"))
-    elems = F.coalesce(F.try_variant_get("raw_data", "$", "array<variant>"), only)
-    return bronze_variant.select(
-        "*", F.explode(F.when(elems.isNotNull(), elems)
-                       .otherwise(F.array(F.col("raw_data")))).alias("_v")
-    ).drop("raw_data").withColumnRenamed("_v", "raw_data")
+def bad_files(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """Files that the readers skip, with the number of unparsable values and
+    the smallest of them (whole text)."""
+    return (spark.read.schema(BRONZE).parquet(bronze_path).where("bad_text IS NOT NULL")
+            .groupBy("source_file").agg(F.count(F.lit(1)).alias("bad_values"), F.min("bad_text").alias("sample")))

@@ -4,7 +4,7 @@
 the positional string form the upstream API delivers (every value as text,
 JSON null as null).  Deterministic rules inject the defects the pipeline
 must handle: null keys, empty and blank-padded callsigns, padded country
-names, null coordinates, altitudes and ground flags, unparsable numbers and
+names, null coordinates, altitudes and ground flags, unparsable numbers, position times outside the valid range and
 short vectors.  Position times fold 30 days into six hours of five-minute
 slots so that the same aircraft reports the same position time many times
 (dedup work) and many aircraft share a group (aggregation work).
@@ -25,6 +25,7 @@ ICAO_BASE = 4194304            # 0x400000: every address prints as >= 6 hex digi
 EPOCH_BASE = 1704067200        # 2024-01-01 00:00:00 UTC
 JITTER = 0.0103711317          # odd on purpose: keeps averages off rounding ties
 FEET_PER_VALUE = 80
+BAD_EPOCH = 99999999999999     # milliseconds sent as seconds: far outside the valid range
 
 
 def _null_if(eid: Column, modulus: int, value: Column) -> Column:
@@ -36,23 +37,8 @@ def typed_events(spark: SparkSession, data_dir: str) -> DataFrame:
     return typed_from(table(spark, data_dir, "events"), table(spark, data_dir, "nation"))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A scan with fewer splits than task slots (one small file) is spread
-    by a hash repartition on ``key`` (deterministic on retry) so the row-wise
-    parsing that follows uses every core.  A large input already has
-    thousands of splits and is left alone."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session)
-        return df
-    return df.repartition(slots, key) if splits < slots else df
-
-
 def typed_from(events: DataFrame, nation: DataFrame) -> DataFrame:
     events = events.select("event_id", "ts", "user_id", "event_type", "value")
-    if not events.isStreaming:
-        events = spread(events, "event_id")
     nation = nation.select("n_nationkey", "n_name")
     # nation is a fixed 25-row dimension; the planner's size check decides on
     # a broadcast (and AQE re-checks at run time).
@@ -69,7 +55,7 @@ def typed_from(events: DataFrame, nation: DataFrame) -> DataFrame:
          .otherwise(F.concat(F.lit("FL"), (uid % 40).cast("string"), F.lit("  ")))
          .alias("callsign"),
         _null_if(eid, 13, F.concat(F.lit(" "), F.col("n_name"), F.lit(" "))).alias("origin_country"),
-        _null_if(eid, 29, tpos).alias("time_position"),
+        _null_if(eid, 29, F.when(eid % 211 == 0, F.lit(BAD_EPOCH)).otherwise(tpos)).alias("time_position"),
         _null_if(eid, 29, tpos + eid % 5).alias("last_contact"),
         _null_if(eid, 31, F.lit(-120.0) + (uid % 4) * 60 + (eid % 10) * F.lit(JITTER)).alias("longitude"),
         _null_if(eid, 31, F.lit(-40.0) + (uid % 3) * 40 + (eid % 8) * F.lit(JITTER)).alias("latitude"),
@@ -86,24 +72,10 @@ def typed_from(events: DataFrame, nation: DataFrame) -> DataFrame:
     )
 
 
-_FEEDS: dict[tuple[str, str], DataFrame] = {}
-
-
 def state_vectors(spark: SparkSession, data_dir: str) -> DataFrame:
     """Raw feed rows: ``time``, ``fetched_at``, ``state`` (ARRAY<STRING>, the
-    positional vector) and ``ingested_at``.
-
-    The analyzed (lazy) DataFrame is kept per application and folder, so
-    queries built on it do not re-analyze the feed; every execution still
-    reads and derives all rows."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Connect sessions expose no context
-        app = str(id(spark))
-    key = (app, data_dir.rstrip("/"))
-    if key not in _FEEDS:
-        _FEEDS[key] = vectors_from_typed(typed_events(spark, data_dir))
-    return _FEEDS[key]
+    positional vector) and ``ingested_at``."""
+    return vectors_from_typed(typed_events(spark, data_dir))
 
 
 def vectors_from_typed(t: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@
 * ``hourly_traffic_stream``: tumbling one-hour windows with a HyperLogLog
   distinct-aircraft count (exact distinct is not allowed on streams).
 * ``upsert_stream``: exact latest-wins Silver and Gold refresh per
-  micro-batch through ``foreachBatch``.  Batch ``k`` writes Silver version
-  ``k + 1`` from version ``k``; a replayed batch rewrites the same version
-  from the same inputs, so the sink is idempotent.  Gold is recomputed for
-  the days the batch touched (late rows included), from Silver.
+  micro-batch through ``foreachBatch``: the batch is merged into the touched
+  day partitions and Gold is recomputed for those days (late rows included).
+  Latest-wins is idempotent, so a replayed batch, also the first one and also
+  after the checkpoint was reset, gives the same tables.
 
 Streams run with ``trigger(availableNow=True)``: everything present is
 processed in bounded micro-batches, then the query stops.
@@ -26,29 +26,25 @@ from contrail.functions.timefn import epoch_to_ntz, ntz_to_epoch
 from contrail.operators import gold as G
 from contrail.operators.bronze_silver import bronze_silver_rows
 from contrail.plans import tables
-from contrail.sources.bronze import BRONZE_SCHEMA, CORRUPT, skip_bad_files
+from contrail.plans.medallion import refresh_gold_days
+from contrail.sources.bronze import PATTERN, parse_text, skip_bad_files, variant_rows
 
 
-# Upper bound of landing files per micro-batch (the batch is persisted by the
-# upsert handler, so its size must be bounded).
+# Landing files per micro-batch: a rate limit, every file is read.
 MAX_FILES_PER_BATCH = 1000
 
 
-def bronze_stream(spark: SparkSession, landing: str,
-                  max_files: int = MAX_FILES_PER_BATCH) -> DataFrame:
-    reader = (spark.readStream.schema(BRONZE_SCHEMA)
-              .option("columnNameOfCorruptRecord", CORRUPT)
-              .option("pathGlobFilter", "*.json")
-              .option("maxFilesPerTrigger", max_files))
-    return (reader.json(landing)
-            .withColumn("_file", F.col("_metadata.file_path"))
-            .withColumn("ingested_at", F.col("_metadata.file_modification_time").cast("timestamp_ntz")))
+def bronze_stream(spark: SparkSession, landing: str, max_files: int = MAX_FILES_PER_BATCH,
+                  pattern: str = PATTERN) -> DataFrame:
+    """Bronze rows (VARIANT) of the landing files that are new."""
+    lines = (spark.readStream.option("pathGlobFilter", pattern)
+             .option("maxFilesPerTrigger", max_files).text(landing))
+    return parse_text(lines)
 
 
 def clean_batch(batch: DataFrame) -> DataFrame:
-    """Skip whole files with an unparsable value (per micro-batch; the
-    handler persists the batch, which is bounded by maxFilesPerTrigger)."""
-    return skip_bad_files(batch)
+    """Objects of the batch's good files (a file is never split over batches)."""
+    return variant_rows(skip_bad_files(batch))
 
 
 def event_time(rows: DataFrame, col: str = "time_position") -> DataFrame:
@@ -78,37 +74,15 @@ def hourly_traffic_stream(rows: DataFrame, delay: str = "2 hours") -> DataFrame:
                      "origin_country", "approx_aircraft", "reports"))
 
 
-def refresh_gold_days(spark: SparkSession, silver_path: str, version: int,
-                      days: list, gold_path: str) -> None:
-    """Recompute Gold for every hour of the touched days from the Silver
-    snapshot of those days only, and replace those Gold day partitions."""
-    if not days:
-        return
-    from contrail.plans.medallion import build_gold
-    scope = tables.read_version(spark, silver_path, version, days=days)
-    # aggregate written once, ranked through distinct levels, days replaced
-    build_gold(spark, scope, gold_path, days_only=True)
-
-
 def upsert_batch(spark: SparkSession, silver_path: str, gold_path: str | None,
                  to_rows=None):
     """foreachBatch handler; ``to_rows`` turns a micro-batch into Silver rows
-    (default: Bronze-shaped batches from ``bronze_stream``)."""
+    (default: Bronze batches from ``bronze_stream``)."""
     to_rows = to_rows or (lambda b: bronze_silver_rows(clean_batch(b)))
+    refresh = (lambda days: refresh_gold_days(spark, silver_path, days, gold_path)) if gold_path else None
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        rows = to_rows(batch)
-        try:
-            version = tables.upsert_silver(spark, silver_path, rows,
-                                           base_version=batch_id if batch_id > 0 else None,
-                                           new_version=batch_id + 1)
-            if gold_path:
-                days = [r.d for r in rows.select(F.to_date("time_position").alias("d"))
-                        .distinct().collect()]
-                refresh_gold_days(spark, silver_path, version, days, gold_path)
-        finally:
-            batch.unpersist()
+        tables.upsert_silver(spark, silver_path, to_rows(batch), then=refresh)
     return handle
 
 
