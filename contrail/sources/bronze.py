@@ -70,7 +70,7 @@ def parse_text(lines: DataFrame, ingested_at: Column | str | None = "file") -> D
 
 def parse(spark: SparkSession, path: str, multi_line: bool = False,
           ingested_at: Column | str | None = None, pattern: str = PATTERN) -> DataFrame:
-    lines = spark.read.option("wholetext", multi_line).option("pathGlobFilter", pattern).text(path)
+    lines = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=multi_line)
     return parse_text(lines, ingested_at)
 
 
