@@ -148,7 +148,7 @@ def block_links(sets, label, probe, similarity: float = SIMILARITY) -> list[tupl
     weight = np.concatenate([n for _, n in sets]).astype(float)
     owner = np.repeat(np.arange(len(sets)), size)
     order = np.argsort(flat, kind="stable")
-    posted = owner[order]
+    posted, weight_of = owner[order], weight[order]
     new = np.ones(len(flat), bool)
     new[1:] = flat[order][1:] != flat[order][:-1]
     starts = np.append(np.flatnonzero(new), len(flat))
@@ -162,7 +162,7 @@ def block_links(sets, label, probe, similarity: float = SIMILARITY) -> list[tupl
         at = np.repeat(starts[lists] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
         # shared counts bound the similarity from above, in shares of either text
         mine = np.bincount(posted[at], np.repeat(weight[begin[i]:begin[i + 1]], n), len(sets)) / max(total[i], 1)
-        theirs = np.bincount(posted[at], weight[order][at], len(sets)) / np.maximum(total, 1)
+        theirs = np.bincount(posted[at], weight_of[at], len(sets)) / np.maximum(total, 1)
         for j in np.flatnonzero((mine >= similarity) & (theirs >= similarity)).tolist():
             if union.find(i) != union.find(j) and probability_jaccard(*sets[i], *sets[j]) >= similarity:
                 union.join(i, j)

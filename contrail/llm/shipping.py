@@ -1,4 +1,5 @@
-"""Make this package importable in the Python workers of every executor."""
+"""Make this package importable in the Python workers of every executor, and
+bound the batches they get."""
 
 from __future__ import annotations
 
@@ -12,10 +13,22 @@ import contrail
 
 _SHIPPED: set[str] = set()
 
+#: Texts can be long: an Arrow batch ends at so many rows or bytes.  Settings
+#: that the session changed are left alone.
+BATCH_ROWS, BATCH_BYTES = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"), \
+    ("spark.sql.execution.arrow.maxBytesPerBatch", None, "16m")
+
+
+def bound_batches(spark: SparkSession) -> None:
+    for key, usual, bound in (BATCH_ROWS, BATCH_BYTES):
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, bound)
+
 
 def ship(spark: SparkSession) -> None:
     """Adds the package's modules to the application (once), as
     ``spark-submit --py-files`` would; the executors fetch them from the driver."""
+    bound_batches(spark)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return
