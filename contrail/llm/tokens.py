@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TABLE_LIMIT = 800_000
+TABLE_LIMIT = 400_000
 #: Latin letters that every stage leaves alone but for their case, then ASCII
 #: signs without the apostrophe (contractions).
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
