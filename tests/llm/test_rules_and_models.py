@@ -151,7 +151,7 @@ def value(s):
 def test_secret_scan(spark):
     long_word = "einstaueinkeitlichlichungen"
     texts = [with_secret(k) for k in range(60)] + [f"{C.prose(k, 15)} {long_word}{'abcdef'[k % 6] * (k % 3)} password=changeme_please "
-                                                   f"4785380592391139 {C.prose(k, 9)}" for k in range(60)]
+                                                   f"4{k:03d}{k * 98765432101 % 10**12:012d} {C.prose(k, 9)}" for k in range(60)]
     texts += C.ODD + [f"{with_secret(7)}\n{with_secret(8)} {secrets(9)}", secrets(4)]
     data = C.rows(texts)
     docs = C.frame(spark, data + [data[0], (None, with_secret(3), None, None, None, None, None, None, None)])
@@ -164,7 +164,7 @@ def test_secret_scan(spark):
         assert r.n_secrets == len(got[r.doc_id])
     for k in range(60):
         assert got[k] == [value(secrets(k))]
-    assert all(got[k] == [] for k in range(60, 120 + len(C.ODD)))
+    assert {k: got[k] for k in range(60, 120 + len(C.ODD)) if got[k]} == {}
     assert got[120 + len(C.ODD)] == sorted(value(secrets(k)) for k in (7, 8, 9))
     assert got[121 + len(C.ODD)] == [value(secrets(4))] and got[None] == [value(secrets(3))]
     clean = secret_forest.redact(docs, forest)
