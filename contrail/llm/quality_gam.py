@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contrail.llm import textkernel as K
+from contrail.llm.sampling import bounded
 
 SAMPLE = 20_000
 FEATURES = ("log_words", "word_chars", "symbols", "exclamations", "upper", "digits", "stops",
@@ -214,13 +215,12 @@ def score_column(text: Column, model: Gam) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Gam:
     """``labels``: doc_id, label (0 or 1).  At most ``sample`` documents."""
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    chosen = (labels.where("doc_id IS NOT NULL AND label IS NOT NULL")
-              .groupBy("doc_id").agg(F.min("label").alias("label")).orderBy(*order).limit(sample))
+    chosen = bounded(labels.where("doc_id IS NOT NULL AND label IS NOT NULL")
+                     .groupBy("doc_id").agg(F.min("label").alias("label")), ["doc_id"], sample)
     # at most `sample` rows of two numbers: bounded, so it may be broadcast
     known = F.broadcast(chosen.select(F.col("doc_id").alias("_id"), F.col("label").alias("_label")))
     rows = (docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id"))
             .select("doc_id", "_label", feature_column(F.col("text")).alias("x"))
-            .orderBy(*order, "x").limit(sample).select("_label", "x").collect())
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample).select("_label", "x").collect())
     x = np.array([r.x for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
     return train(x, np.array([float(r._label) for r in rows]))

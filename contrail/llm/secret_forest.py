@@ -27,6 +27,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.llm.sampling import bounded
 from contrail.plans.tables import materialize
 
 SAMPLE = 5000
@@ -143,10 +144,10 @@ def candidates(docs: DataFrame, path: str | None = "source") -> DataFrame:
 
 
 def fit(spark: SparkSession, docs: DataFrame, path: str | None = "source", sample: int = SAMPLE) -> Forest:
-    rows = (candidates(docs, path).where("label IS NOT NULL").groupBy("value").agg(F.min_by("f", F.struct("doc_id", "start")).alias("f"),
-                                                                                    F.min("label").alias("label"))
-            .orderBy(F.xxhash64("value"), "value").limit(sample))
-    rows = materialize(spark, rows, "findings")
+    values = candidates(docs, path).where("label IS NOT NULL").groupBy("value").agg(
+        F.min_by("f", F.struct("doc_id", "start")).alias("f"), F.min("label").alias("label"))
+    # written first: the texts are searched once
+    rows = materialize(spark, bounded(materialize(spark, values, "values"), ["value"], sample), "findings")
     if rows.agg(F.count_distinct("label").alias("n")).first().n < 2:
         return Forest([])
     ready = rows.coalesce(1).sortWithinPartitions("value").select(

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.sampling import bounded
+
 SAMPLE = 20_000
 #: Host words of unwanted sites, as public block lists name them.
 SEEDS = ("ads", "adult", "banner", "bet", "casino", "cheap", "cialis", "click", "escort", "gambling", "loan",
@@ -199,8 +201,7 @@ def parse(pages: DataFrame, key: str = "page_id", rules=RULES) -> DataFrame:
 
 def fit(pages: DataFrame, labels: DataFrame | None = None, key: str = "page_id", rules=RULES,
         sample: int = SAMPLE) -> Model:
-    rows = (labelled(parse(pages, key, rules), labels)
-            .dropDuplicates(["url"]).orderBy(F.xxhash64("url"), "url").limit(sample).collect())
+    rows = bounded(labelled(parse(pages, key, rules), labels).dropDuplicates(["url"]), ["url"], sample).collect()
     return train([r.url for r in rows], [r.host for r in rows], [r.path for r in rows], [r.label for r in rows])
 
 
