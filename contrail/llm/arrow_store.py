@@ -21,7 +21,6 @@ gives no files and no rows; extra columns are not read.
 from __future__ import annotations
 
 import uuid
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -210,7 +209,3 @@ def read(manifest: DataFrame) -> DataFrame:
 
 def store_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/contrail-work/{uuid.uuid4().hex}/tokens"
-
-
-def crc32(ids: bytes) -> int:
-    return zlib.crc32(ids)

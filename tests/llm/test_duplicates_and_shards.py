@@ -6,7 +6,6 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from contrail.llm import kk_shards, prob_minhash, simhash_leaks
 from contrail.llm import textkernel as K

@@ -135,7 +135,6 @@ def test_packing_round_trip(spark):
 
 def edited(text, edits):
     out, free, shift = text or "", 0, 0
-    n = len(out)
     for e in sorted(edits, key=lambda e: (e[0], e[1])):
         a = max(e[0], free)
         b = max(a, e[1])
@@ -144,7 +143,6 @@ def edited(text, edits):
         new = out[:a] + e[2] + out[b:]
         shift += len(new) - len(out)
         out = new
-    assert n is not None
     return out
 
 
