@@ -1,9 +1,11 @@
 """Secret scan: pattern candidates, then a random forest removes false alarms.
 
 Everything runs as DataFrame and SQL functions.  Candidates of a text come
-from one regular expression (assignments to a credential word, private-key
-headers, long runs of key characters).  The forest sees the value's length,
-character classes and their transitions, its dictionary coverage, the
+from one regular expression (assignments to a credential word, private keys,
+web tokens, long runs of key characters).  Values have no upper length: a
+quoted one ends at its closing quote, an unquoted one at white space (sentence
+signs at its end are left out), a private key at its END line.  The forest sees the value's length, character
+classes and their transitions, its dictionary coverage, the
 document's path and the neighbouring words; it is trained with Spark ML and
 then written out as one SQL expression, so scoring needs neither a join nor
 a shuffle and stays with the row.
@@ -13,7 +15,10 @@ or assigned to a credential word with letters and digits are secrets;
 placeholders, bare numbers (of cards or phones, say) and words without digits
 are not; the others carry no label.  At most ``SAMPLE`` distinct values (smallest hash) are used.
 
-Defined cases: a null or empty text has no findings and stays as it is; a
+Defined cases: a quote that nothing closes counts as none, so the value ends at
+white space; a private key without an END line is its header and the key lines
+that follow; a private key with key text is a secret whatever the forest says;
+a null or empty text has no findings and stays as it is; a
 null path counts as empty; without labels of both classes the weak label
 itself decides (no label: not a secret); rows are independent, repeated rows
 repeat their findings; an empty table gives no rows; ``redact`` keeps all
@@ -37,12 +42,25 @@ CONTEXT = 60
 
 #: Credential words, key formats, placeholders, common word parts.
 _WORD = r"(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth[_-]?key|private[_-]?key|credential)s?"
-_LEAD = rf"(?i:{_WORD})[\"']?\s{{0,2}}[:=]{{1,2}}\s{{0,2}}[\"']?"
-PATTERN = (rf"{_LEAD}[^\s\"'<>,;]{{5,199}}[^\s\"'<>,;.!?)]"
-           r"|-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+_LEAD = rf"(?i:{_WORD})[\"']?\s{{0,2}}[:=]{{1,2}}+\s{{0,2}}+[\"']?+"
+_BEGIN = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
+#: A key from BEGIN to END; without an END, the header and key lines after it.
+_GAP = r"(?:\s|\\[nr])"
+_PEM = (rf"{_BEGIN}(?:(?:[^\-]++|-(?!----))*+-----END [A-Z ]{{0,30}}PRIVATE KEY-----"
+        rf"|(?:{_GAP}++[A-Z][A-Za-z\-]{{1,30}}: [^\r\n]*+)*+(?:{_GAP}++[A-Za-z0-9+/]{{32,}}+={{0,2}}+)*+"
+        rf"(?:(?<=[A-Za-z0-9+/=]{{32}})(?:\r?\n|\\n)[ \t]*+[A-Za-z0-9+/]++={{0,2}}+(?=\s|\\|$))?+)")
+#: A quoted value goes to the quote that closes it, a bare one to white space (less sentence signs); JSON numbers and constants are none.
+_QUOTED = "|".join(rf"(?<={q})(?=(?:[^{q}\\]|\\[\s\S]){{6}})(?:[^{q}\\]++|\\[\s\S])*+(?={q}(?![A-Za-z0-9]))" for q in "\"'")
+_BARE = r"(?!(?:-?[0-9.]++|true|false|null)(?:,[\"']|[}\]]))[^\s\"'<>,;]\S{4,}[^\s\"'<>,;.!?)]"
+PATTERN = (rf"{_LEAD}(?:{_PEM}|{_QUOTED}|{_BARE})"
+           rf"|{_PEM}"
+           r"|eyJ[A-Za-z0-9_\-]{15,}+(?:\.[A-Za-z0-9_\-]++){1,4}+"
            r"|[A-Za-z0-9+/_\-]{16,}={0,2}")
+#: A private key with key text in it: a secret whatever the forest says.
+KEY = rf"^{_BEGIN}[\s\S]*?[A-Za-z0-9+/]{{32}}"
 FORMATS = (r"^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^sk[-_][A-Za-z0-9_\-]{20,}$"
-           r"|^xox[abprs]-[0-9A-Za-z\-]{10,}$|^AIza[0-9A-Za-z_\-]{35}$|^eyJ[A-Za-z0-9_\-]{15,}|PRIVATE KEY-----$")
+           r"|^xox[abprs]-[0-9A-Za-z\-]{10,}$|^AIza[0-9A-Za-z_\-]{35}$|^eyJ[A-Za-z0-9_\-]{15,}"
+           r"|^-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
 PLACEHOLDERS = r"(?i)example|changeme|change_me|your[_-]|x{4,}|dummy|sample|placeholder|\*{3,}|\$\{|1234567"
 PARTS = ("the|and|ing|tion|ent|that|for|ment|ness|able|ally|with|this|from|have|ould|ight|ough|ever|ther|ion|ers|est"
          "|ate|ous|ive|ful|der|die|und|sch|ein|ich|ung|keit|heit|lich|ver|ber|gen|ten|que|los|las|con|ado|aci"
@@ -100,7 +118,8 @@ def _candidates(text: str = "text", path: str = "''") -> str:
 
 
 #: The weak label of a candidate ``s``: 1, 0 or null.
-WEAK = (f"case when s.value rlike {_sql(PLACEHOLDERS)} then 0 when s.value rlike {_sql(FORMATS)} then 1 "
+WEAK = (f"case when s.value rlike {_sql(KEY)} then 1 when s.value rlike {_sql(PLACEHOLDERS)} then 0 "
+        f"when s.value rlike {_sql(FORMATS)} then 1 "
         f"when s.value rlike {_sql('^[0-9/_+-]+$')} then 0 "
         f"when s.value rlike {_sql('^[A-Za-z_-]+$')} and not s.value rlike {_sql('[a-z][A-Z].*[a-z][A-Z]')} then 0 "
         f"when s.lead <> '' and length(s.value) >= 8 and s.value rlike {_sql('[0-9]')} "
@@ -160,7 +179,7 @@ def findings(forest: Forest, text: str = "text", path: str = "source", least: fl
     """Array (start, length, score, secret) of a text's candidates, by place."""
     p = _sql(PATTERN)
     scored = (f"transform({_candidates(text, path)}, s -> named_struct('start', s.start, 'length', length(s.value), "
-              f"'score', {forest.sql}))")
+              f"'score', if(s.value rlike {_sql(KEY)}, 1D, {forest.sql})))")
     out = f"transform({scored}, s -> named_struct('start', s.start, 'length', s.length, 'score', s.score, 'secret', s.score >= {least}))"
     empty = "cast(array() as array<struct<start:int,length:int,score:double,secret:boolean>>)"
     return F.expr(f"if(coalesce({text} rlike {p}, false), {out}, {empty})")
