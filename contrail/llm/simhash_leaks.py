@@ -11,8 +11,12 @@ sum of the larger), 0.8 or more.
 Windows slide by one word over the whole text.  Those that share no shingle
 with any item have similarity 0 and get no fingerprint.
 
-A similarity of 0.8 means fingerprints about 10 of 64 bits apart (standard
-deviation 2.9); the radius of 21 keeps all but about 1 in 20,000 such pairs.
+Where neither the window nor the item repeats a shingle, a similarity of 0.8
+means fingerprints about 10 of 64 bits apart (standard deviation 2.9); the
+radius of 21 keeps all but about 1 in 20,000 such pairs.  With repeated
+shingles the sign sums follow the cosine of the counts instead, which no useful
+radius bounds; such windows skip the fingerprint, and their similarity is
+counted exactly as they slide (``Index.running``), so none of them is missed.
 
 Items are handled in blocks of about ``BLOCK`` items, so the index in a task
 is bounded however large the benchmark is.
@@ -130,26 +134,61 @@ class Index:
             out += hits
         return out
 
+    def running(self, k: np.ndarray, item: int, n: int) -> np.ndarray:
+        """Exact weighted Jaccard similarity of an item and each window of ``n``
+        of the shingles ``k`` (places in ``shingles``, -1 for others).  Of a
+        shingle that the item has m times, an occurrence counts in the windows
+        that hold it but not the m-th occurrence before it."""
+        v, m = self.sets[item]
+        of = np.searchsorted(self.shingles, v)
+        at = np.flatnonzero(np.isin(k, of))
+        at = at[np.argsort(k[at], kind="stable")]           # by shingle, then by place
+        j, most = np.arange(len(at)), m[np.searchsorted(of, k[at])]
+        back = np.maximum(j - most, 0)
+        capped = (j >= most) & (k[at[back]] == k[at])
+        lo = np.maximum(np.where(capped, at[back] + 1, 0), np.maximum(at - n + 1, 0))
+        hi = np.minimum(at, len(k) - n)
+        some = lo <= hi
+        change = np.zeros(len(k) - n + 2, np.int64)
+        np.add.at(change, lo[some], 1)
+        np.add.at(change, hi[some] + 1, -1)
+        both = np.cumsum(change[:-1])
+        return both / (n + int(m.sum()) - both)
+
     def _document(self, h: np.ndarray, k: np.ndarray) -> list[dict]:
-        at = np.flatnonzero(self.shingles[k] == h)
+        known = self.shingles[k] == h
+        at = np.flatnonzero(known)
         of = [(p, i) for p in at.tolist() for i in self.items[self.first[k[p]]:self.first[k[p] + 1]].tolist()]
         where: dict[int, list[int]] = {}
         for p, i in of:
             where.setdefault(i, []).append(p)
+        known_k = np.where(known, k, -1)
+        order = np.argsort(h, kind="stable")
+        before = np.full(len(h), -1)                        # place of the same shingle before
+        same = h[order[1:]] == h[order[:-1]]
+        before[order[1:][same]] = order[:-1][same]
+        before = np.maximum.accumulate(before)
         out = []
         for i, places in sorted(where.items()):
             n = min(max(int(self.size[i]) - K.SHINGLE + 1, 1), len(h))      # shingles of a window
             starts = np.unique(np.concatenate([np.arange(max(p - n + 1, 0), min(p, len(h) - n) + 1) for p in places]))
-            base = int(starts[0])
-            signs = _signs(h[base:int(starts[-1]) + n])
-            sums = np.zeros((len(signs) + 1, BITS), np.int32)
-            np.cumsum(signs, axis=0, out=sums[1:])
-            own = starts - base
+            # SimHash follows the similarity only where no shingle repeats
+            repeats = (before[starts + n - 1] >= starts) | bool((self.sets[i][1] > 1).any())
             best, word = 0.0, 0
-            for s in own[self.near(_fingerprints(sums[own + n] - sums[own]), i)].tolist():
-                similar = self.overlap(h[base + s:base + s + n], i)
-                if similar > best:
-                    best, word = similar, base + s
+            if repeats.any():
+                exact = self.running(known_k, i, n)[starts[repeats]]
+                best, word = float(exact.max()), int(starts[repeats][exact.argmax()])
+            starts = starts[~repeats]
+            if len(starts):
+                base = int(starts[0])
+                signs = _signs(h[base:int(starts[-1]) + n])
+                sums = np.zeros((len(signs) + 1, BITS), np.int32)
+                np.cumsum(signs, axis=0, out=sums[1:])
+                own = starts - base
+                for s in own[self.near(_fingerprints(sums[own + n] - sums[own]), i)].tolist():
+                    similar = self.overlap(h[base + s:base + s + n], i)
+                    if similar > best or similar == best and base + s < word:
+                        best, word = similar, base + s
             if best >= self.similarity:
                 out.append({"item_id": self.ids[i], "similarity": best, "word": word})
         return out

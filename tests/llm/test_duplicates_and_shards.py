@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from contrail.llm import kk_shards, prob_minhash, simhash_leaks
+from contrail.llm import kk_shards, prob_minhash, simhash_leaks, textkernel
 from contrail.llm import textkernel as K
 from contrail.llm.shipping import ship
 from tests.llm import corpus as C
@@ -176,6 +176,33 @@ def test_multi_index_finds_all_within_the_radius():
     assert index.near(prints, 0).tolist() == want.tolist()
 
 
+@pytest.mark.parametrize("n, changed", [(164, 13), (204, 18), (304, 29), (404, 36)])
+def test_leaks_with_repeated_shingles(n, changed):
+    for seed in range(8):
+        item = [f"w{seed}x{k}" for k in range(n)]
+        held = item[:n // 2] + ["***"] * changed + item[n // 2 + changed:]
+        around = C.prose(seed, 20)
+        for a, b in ((item, held), (held, item)):           # the document or the item repeats a shingle
+            text, asked = f"{around} {' '.join(b)} {around}", [(7, " ".join(a))]
+            want = brute_leaks(text, asked)
+            assert want
+            got = simhash_leaks.Index.of([7], [asked[0][1]]).search(pa.array([text]))[0]
+            assert {x["item_id"]: pytest.approx(x["similarity"]) for x in got} == want
+
+
+def test_running_overlap_equals_each_window():
+    r = random.Random(5)
+    for _ in range(60):
+        item, text = (" ".join(r.choices("abc", [6, 1, 1], k=r.randint(5, 30))) for _ in range(2))
+        index = simhash_leaks.Index.of([0], [item])
+        for w in textkernel.runs(pa.array([text])):
+            _, h = textkernel.shingles(w)
+        k = np.minimum(np.searchsorted(index.shingles, h), len(index.shingles) - 1)
+        k = np.where(index.shingles[k] == h, k, -1)
+        n = min(int(index.size[0]) - 4, len(h))
+        assert index.running(k, 0, n).tolist() == [index.overlap(h[s:s + n], 0) for s in range(len(h) - n + 1)]
+
+
 def test_differencing_combines_the_largest_spreads():
     sums = np.array([[8, 0], [7, 0], [6, 0], [5, 0], [4, 0]])
     top, place = kk_shards.difference(sums)
