@@ -3,12 +3,16 @@
 Only documents longer than a sequence are cut: full pieces fill a sequence
 each, and the one shorter piece (the first) is packed with the shorter
 documents.  Bins are filled greedily with the longest piece that still fits;
-then the bin's smallest piece is exchanged for the two unpacked pieces that
-fill the widened gap best, if that is fuller.
+then the smallest piece of a bin of two or more is exchanged for the two
+unpacked pieces that fill the widened gap best, if that is fuller.  (A piece
+alone in its bin fits with no piece that waits, so it needs a bin of its own.)
 
-Pieces are packed in groups of about ``GROUP`` pieces dealt out by a hash of a
-row number, so no task holds more than a group whatever keys repeat, and each
-group can leave one bin part full (under 0.1 % of the sequences).
+Pieces are packed in groups of about ``GROUP`` / 4 sequences' tokens dealt out by
+a hash of a row number, so no task holds more than a group whatever keys
+repeat.  Each group can leave one bin under half full, its last.  The last bins
+of all groups are packed together in a second round, again in such groups, so
+one in about ``GROUP`` / 4 last bins can stay so.  Both rounds see lengths only;
+the pieces are joined with their places once.
 
 Defined cases: a null or empty text is the end id alone; repeated rows and
 doc_ids are packed as often as they occur; an empty table gives no rows; extra
@@ -113,21 +117,41 @@ def pack(spark: SparkSession, docs: DataFrame, path: str, end_id: int, size: int
                       .withColumn("row", F.monotonically_increasing_id()), "pieces")
     full = cut.filter(F.col("length") == size)
     rest = cut.filter(F.col("length") < size)
-    groups = max(1, -(-rest.count() // group))
+    most = max(1, group * size // 4)                    # tokens of a group
+    groups = _groups(rest, most)
+    grp = F.pmod(F.xxhash64("row"), F.lit(groups))
+    first = materialize(spark, rest.select("row", "length", grp.alias("grp")).groupBy("grp")
+                        .applyInArrow(lambda t: _packed(t, size), PLACES), "places")
+    places = first
+    if groups > 1:
+        last = first.filter("last")
+        again = last.withColumn("grp", F.pmod(F.xxhash64("sequence_id"), F.lit(_groups(last, most))))
+        again = again.groupBy("grp").applyInArrow(lambda t: _packed(t, size, groups), PLACES)
+        places = first.filter("NOT last").unionByName(again)
     out = ["doc_id", "piece", "start", "length", "ids"]
-
-    def packed(table: pa.Table) -> pa.Table:
-        if table.num_rows == 0:
-            return table.select(out).append_column("sequence_id", pa.array([], pa.int64())) \
-                        .append_column("offset", pa.array([], pa.int64()))
-        table = table.sort_by([("row", "ascending")])
-        where, offset = best_two_fit(table["length"].to_numpy(), size)
-        base = table["grp"][0].as_py() << 32
-        return table.select(out).append_column("sequence_id", pa.array(where + base, pa.int64())) \
-                    .append_column("offset", pa.array(offset, pa.int64()))
-
-    schema = cut.select(*out, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")).schema
-    short = (rest.withColumn("grp", F.pmod(F.xxhash64("row"), F.lit(groups)))
-             .groupBy("grp").applyInArrow(packed, schema))
+    short = rest.join(places.select("row", "sequence_id", "offset"), "row").select(*out, "sequence_id", "offset")
     return full.select(*out, (-1 - F.col("row")).alias("sequence_id"),
                        F.lit(0).cast("long").alias("offset")).unionByName(short)
+
+
+PLACES = "row long, length long, sequence_id long, offset long, last boolean"
+
+
+def _groups(rows: DataFrame, most: int) -> int:
+    return max(1, -(-(rows.agg(F.sum("length").alias("n")).first().n or 0) // most))
+
+
+def _packed(table: pa.Table, size: int, base: int = 0) -> pa.Table:
+    """``PLACES`` of a group (its number and ``base`` lead the sequence ids).
+    Rows that have a place keep it unless the new packing needs fewer bins."""
+    table = table.sort_by([("row", "ascending")])
+    where, offset = best_two_fit(table["length"].to_numpy(), size)
+    last = where == where.max(initial=-1)
+    if "sequence_id" in table.column_names and len(where) and \
+            where.max() + 1 >= len(np.unique(table["sequence_id"].to_numpy())):
+        ids, offset = table["sequence_id"].to_numpy(), table["offset"].to_numpy()
+    else:
+        ids = where + ((int(table["grp"][0].as_py()) + base) << 32) if len(where) else where
+    return pa.table({"row": table["row"].cast(pa.int64()), "length": table["length"].cast(pa.int64()),
+                     "sequence_id": pa.array(ids, pa.int64()), "offset": pa.array(offset, pa.int64()),
+                     "last": pa.array(last, pa.bool_())})

@@ -133,6 +133,22 @@ def test_packing_round_trip(spark):
     assert best_two_fit.pack(spark, C.empty(spark), C.BYTE, 2).count() == 0
 
 
+def test_packing_of_short_pieces_leaves_few_part_full(spark):
+    ship(spark)
+    docs = C.frame(spark, C.rows([C.prose(k, 1 + k % 5) for k in range(1500)]))
+    got = best_two_fit.pack(spark, docs, C.BYTE, 2, size=256, group=8).toPandas()
+    assert sorted(got.doc_id) == list(range(1500))
+    fill = got.groupby("sequence_id").length.sum()
+    assert fill.max() <= 256
+    for _, g in got.groupby("sequence_id"):
+        g = g.sort_values("offset")
+        assert list(g.offset) == [0, *np.cumsum(g.length)[:-1]]
+    groups = -(-got.length.sum() // (8 * 256 // 4))
+    assert groups > 10
+    # a group holds about two sequences, so without the second round each leaves a remainder
+    assert len(fill) <= -(-got.length.sum() // 256) + groups // 3
+
+
 def edited(text, edits):
     out, free, shift = text or "", 0, 0
     for e in sorted(edits, key=lambda e: (e[0], e[1])):
