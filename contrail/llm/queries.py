@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import (arrow_store, best_two_fit, edit_counts, kk_shards, prob_minhash, quality_gam,
-                          rule_ledger, secret_forest, simhash_leaks, url_boost)
+from contrail.llm import (arrow_store, best_two_fit, chunk_codec, edit_counts, fp_search, heap_clusters, kk_shards,
+                          prob_minhash, quality_gam, rule_ledger, secret_forest, simhash_leaks, url_boost)
 from contrail.llm.shipping import ship
 
 #: Folder of the public vocabulary files; a parameter, they are not copied here.
@@ -103,6 +103,23 @@ def op10_kk_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_chunk_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("byte_bpe_50k.json")
+    rows = read(spark, sf_dir, "documents").select("doc_id", chunk_codec.encoded(F.col("text"), path).alias("ids"))
+    rows = rows.withColumn("decoded", chunk_codec.decoded(F.col("ids"), path))
+    return rows.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_heap_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, centroids, _ = heap_clusters.cluster(spark, read(spark, sf_dir, "embeddings"))
+    return heap_clusters.report(rows, centroids)
+
+
+def op13_fp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.rank(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -110,7 +127,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (op1_edit_counts, op2_quality_gam, op3_rule_ledger, op4_prob_minhash, op5_url_boost, op6_arrow_store,
-           op7_simhash_leaks, op8_secret_forest, op9_best_two_fit, op10_kk_shards, pipeline)
+           op7_simhash_leaks, op8_secret_forest, op9_best_two_fit, op10_kk_shards, op11_chunk_codec, op12_heap_clusters,
+           op13_fp_search, pipeline)
     return {q.__name__: q for q in own}
 
 
@@ -154,5 +172,30 @@ FROM f
 """
 
 
+_LOWER, _TERMS = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')", \
+    r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+#: Postings, weights and scores by joins; integers are wide until the end.
+OP13_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all({_LOWER}, '{_TERMS}') AS ws
+  FROM documents WHERE text IS NOT NULL),
+items AS (SELECT row_number() OVER () AS q, item_id,
+    list_distinct(regexp_extract_all({_LOWER}, '{_TERMS}')) AS ws
+  FROM benchmark WHERE text IS NOT NULL),
+stat AS (SELECT count(*)::HUGEINT AS n_docs, sum(len(ws))::HUGEINT AS n_terms FROM docs WHERE len(ws) > 0),
+asked AS (SELECT q, item_id, unnest(ws) AS term FROM items),
+words AS (SELECT r, unnest(ws) AS term FROM docs),
+posted AS (SELECT r, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weights AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::HUGEINT AS w
+  FROM (SELECT term, count(*) AS df FROM posted GROUP BY term), stat),
+lengths AS (SELECT r, doc_id, 50 + (50 * len(ws)::HUGEINT * n_docs) // n_terms AS m FROM docs, stat),
+scored AS (SELECT q, item_id, doc_id, sum(w * ((1000000000 * tf::HUGEINT) // (1000 * tf + 20 * m))) AS score
+  FROM asked JOIN posted USING (term) JOIN weights USING (term) JOIN lengths USING (r) GROUP BY q, item_id, r, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score::BIGINT AS score FROM ranked WHERE rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_rule_ledger": OP3_SQL}
+    return {"op3_rule_ledger": OP3_SQL, "op13_fp_search": OP13_SQL}
