@@ -2,9 +2,10 @@
 
 BPE merges never cross the pre-tokens that a tokenizer cuts out of a text, so
 a text can be encoded piece by piece and each distinct piece only once: a
-per-worker table of pieces (bounded, emptied when full) turns most of the
-work into lookups.  Pieces are cut at single spaces and line ends only, where
-the pre-tokenizers of the two families below certainly cut, too:
+per-worker table of pieces (bounded, aged) turns most of the work into
+lookups.  A new piece that ends in signs takes the ids of its word from the
+table, too.  Pieces are cut at single spaces and line ends only, where the
+pre-tokenizers of the two families below certainly cut, too:
 
 * byte level: a space belongs to the word after it, a line end is its own
   pre-token.  A text with two separators in a row, or any other white space,
@@ -28,10 +29,11 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TABLE_LIMIT = 400_000
+TABLE_LIMIT = 500_000         # pieces a generation
 #: Latin letters that every stage leaves alone but for their case, then ASCII
 #: signs without the apostrophe (contractions).
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_LATIN = re.compile("[\0-\u00ff]*")      # lower case stays in this range, and there is nothing to compose
 _SPACES = re.compile(r"[\s\x1c-\x1f\x85\xa0  -‏ -  ⁠　﻿]")
 
 
@@ -47,16 +49,23 @@ class _Odd(Exception):
 
 
 class _Pieces(dict):
-    """piece -> its ids as little-endian unsigned 32-bit integers."""
+    """piece -> its ids as little-endian unsigned 32-bit integers, in two
+    generations of at most ``limit``: what was not looked up since the last
+    change of generations is forgotten, the rest stays."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old, self.made = make, limit, {}, 0
 
     def __missing__(self, piece: str) -> bytes:
+        ids = self.old.pop(piece, None)
+        if ids is None:
+            ids = self.make(piece)
+            self.made += 1
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        self[piece] = ids = self.make(piece)
+        self[piece] = ids
         return ids
 
 
@@ -80,7 +89,7 @@ class Encoder:
                 self.kind = "word"
         self.bare = _Pieces(self._byte_bare if self.kind == "byte" else self._word, table_limit)
         self.spaced = _Pieces(self._byte_spaced, table_limit)
-        self.signs = _Pieces(self._pre_token, table_limit)
+        self.signs = _Pieces(self._pre_token, max(1, table_limit // 8))
         self.line_end = self.whole("\n") if self.kind == "byte" else b""
 
     def whole(self, text: str) -> bytes:
@@ -91,26 +100,29 @@ class Encoder:
         ids = array("I", [t.id for t in self.model.tokenize(mapped)])
         return ids.tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
-    def _split(self, lead: str, piece: str) -> bytes:
+    def _split(self, table: _Pieces, lead: str, piece: str) -> bytes:
         m = _PLAIN.fullmatch(piece)
         if not m:
             if _SPACES.search(piece):
                 raise _Odd
             return self.whole(lead + piece)
         word, signs = m.groups()
-        return self._pre_token(lead + word) + (self.signs[signs] if signs else b"")
+        return table[word] + self.signs[signs] if signs else self._pre_token(lead + word)
 
     def _byte_bare(self, piece: str) -> bytes:
-        return self._split("", piece)
+        return self._split(self.bare, "", piece)
 
     def _byte_spaced(self, piece: str) -> bytes:
-        return self._split(" ", piece)
+        return self._split(self.spaced, " ", piece)
 
     def _word(self, piece: str) -> bytes:
+        """Whole texts in Latin-1 come in lower case, pieces of others may not."""
         if not piece:
             return b""
-        m = _PLAIN.fullmatch(piece)
-        return self._split("", piece.lower()) if m else self.whole(piece)
+        if not _PLAIN.fullmatch(piece):
+            return self.whole(piece)
+        low = piece.lower()
+        return self._split(self.bare, "", low) if low == piece else self.bare[low]
 
     def _byte(self, text: str) -> bytes:
         out, bare, spaced = [], self.bare, self.spaced
@@ -130,6 +142,8 @@ class Encoder:
         if not text:
             return b""
         if self.kind == "word":
+            if text.isascii() or _LATIN.fullmatch(text):
+                text = text.lower()
             return b"".join(map(self.bare.__getitem__, text.replace("\n", " ").split(" ")))
         if self.kind == "byte":
             try:
