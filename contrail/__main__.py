@@ -1,8 +1,8 @@
 """Command line: ``python -m contrail run|stream ...`` (or spark-submit).
 
-run     one batch pass: landing JSON -> Bronze -> Silver -> Gold -> checks
-stream  incremental pass over new landing files (availableNow), Silver
-        upsert and Gold refresh of the touched days
+run     one batch pass: new landing JSON -> Bronze -> Silver -> Gold -> checks
+stream  incremental pass over new landing files (availableNow), a load a
+        micro-batch
 """
 
 from __future__ import annotations
@@ -16,12 +16,14 @@ from contrail.session import cluster_conf, get_session
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="contrail")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    r = sub.add_parser("run", help="batch pass over every landing file")
+    r = sub.add_parser("run", help="batch pass over the new landing files")
     r.add_argument("--landing", required=True)
     r.add_argument("--warehouse", required=True)
     r.add_argument("--mode", choices=("upsert", "append"), default="upsert")
     r.add_argument("--multi-line", action="store_true",
                    help="landing files hold one JSON array each")
+    r.add_argument("--force", action="store_true", help="load every file again, not only new and changed ones")
+    r.add_argument("--days", nargs=2, metavar=("FIRST", "LAST"), help="only these date partitions (YYYY-MM-DD)")
     s = sub.add_parser("stream", help="incremental pass over new landing files")
     s.add_argument("--landing", required=True)
     s.add_argument("--warehouse", required=True)
@@ -35,14 +37,14 @@ def main(argv=None) -> None:
     spark = get_session(args.master, extra=extra)
     if args.cmd == "run":
         from contrail.plans.medallion import run
-        res = run(spark, args.landing, args.warehouse, mode=args.mode,
-                  multi_line=args.multi_line)
+        res = run(spark, args.landing, args.warehouse, mode=args.mode, multi_line=args.multi_line, force=args.force,
+                  days=tuple(args.days) if args.days else None)
         print(json.dumps({"silver_rows": res.silver_rows, "gold_rows": res.gold_rows}))
     else:
         from contrail.streaming import incremental as STR
         wh = args.warehouse.rstrip("/")
-        q = STR.upsert_stream(spark, STR.bronze_stream(spark, args.landing, args.max_files),
-                              f"{wh}/silver", f"{wh}/gold", f"{wh}/_stream_checkpoint")
+        q = STR.medallion_stream(spark, STR.bronze_stream(spark, args.landing, args.max_files), wh,
+                                 f"{wh}/_stream_checkpoint")
         STR.run_available(q)
         print(json.dumps({"batches": q.lastProgress["batchId"] + 1 if q.lastProgress else 0}))
 

@@ -11,19 +11,20 @@ from contrail.operators.parse import NO_CALLSIGN, NO_COUNTRY
 from contrail.schemas import SLOT_TYPES, SLOTS
 
 
-def observations(bronze: DataFrame) -> DataFrame:
-    """ingested_at, vector?, s: one row for each state vector of a payload
-    (an object with a list ``states``) and for each record."""
+def observations(bronze: DataFrame, *keep: str) -> DataFrame:
+    """vector?, s and the kept columns (the ingest time): one row for each state
+    vector of a payload (an object with a list ``states``) and for each record."""
+    keep = keep or ("ingested_at",)
     states = F.try_variant_get("raw_data", "$.states", "array<variant>")
     item = lambda is_vector, v: F.struct(F.lit(is_vector).alias("vector"), v.alias("s"))
     items = F.when(states.isNotNull(), F.transform(states, lambda v: item(True, v))) \
              .otherwise(F.array(item(False, F.col("raw_data"))))
-    return bronze.select("ingested_at", F.explode(items).alias("o")).select("ingested_at", "o.vector", "o.s")
+    return bronze.select(*keep, F.explode(items).alias("o")).select(*keep, "o.vector", "o.s")
 
 
-def _field(name: str) -> Column:
+def field(name: str, kind: str | None = None) -> Column:
     """Typed value by slot or by name; a JSON null or another type is null."""
-    kind = SLOT_TYPES[name]
+    kind = kind or SLOT_TYPES[name]
     get = lambda path, kind: F.try_variant_get("s", path, kind)
     if kind == "bigint":        # rounded from the numeric value, not truncated
         number = F.when(F.col("vector"), get(f"$[{SLOTS[name]}]", "double")).otherwise(get(f"$.{name}", "double"))
@@ -34,14 +35,14 @@ def _field(name: str) -> Column:
 def bronze_silver_rows(bronze: DataFrame, drop_null_keys: bool = True) -> DataFrame:
     """Silver rows (not deduplicated).  The placeholder labels of the record
     shape go back to null so both shapes agree."""
-    call, country = F.trim(_field("callsign")), F.upper(F.trim(_field("origin_country")))
+    call, country = F.trim(field("callsign")), F.upper(F.trim(field("origin_country")))
     unlabelled = lambda c, label: F.when(F.col("vector") | (c != label), c)
     rows = observations(bronze).select(
-        _field("icao24").alias("icao24"),
+        field("icao24").alias("icao24"),
         unlabelled(call, NO_CALLSIGN).alias("callsign"),
         unlabelled(country, NO_COUNTRY).alias("origin_country"),
-        epoch_to_ntz(_field("time_position")).alias("time_position"),
-        *[_field(c).alias(c) for c in ("longitude", "latitude", "baro_altitude", "velocity", "on_ground")],
+        epoch_to_ntz(field("time_position")).alias("time_position"),
+        *[field(c).alias(c) for c in ("longitude", "latitude", "baro_altitude", "velocity", "on_ground")],
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"))
     return rows.where("icao24 IS NOT NULL AND time_position IS NOT NULL") if drop_null_keys else rows
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from contrail.functions.flight import feet, flight_phase, knots
 from contrail.functions.geo import geohash
 from contrail.functions.timefn import hour_floor
+from contrail.operators import accounting as A
 from contrail.operators import distributions as D
 from contrail.operators import gold as G
 from contrail.operators import insights as I
@@ -374,6 +375,102 @@ def q_bronze_bad_files(spark, d):
     return good.agg(F.count(F.lit(1)).alias("good_values")).join(bad)
 
 
+def _put(spark, lines, path):
+    """A few constant lines as one file of that name, in place of an older one."""
+    made = _fresh(spark, "file")
+    lines.coalesce(1).write.text(made)
+    fs, at = tables._fs(spark, path)
+    part = next(s.getPath() for s in fs.listStatus(tables._fs(spark, made)[1]) if s.getPath().getName().startswith("part-"))
+    fs.mkdirs(at.getParent())
+    fs.delete(at, False)
+    fs.rename(part, at)
+
+
+def _lines(spark, *lines):
+    return spark.createDataFrame([(x,) for x in lines], "value string")
+
+
+def q_bronze_loads(spark, d):
+    """SRC4, SRC6: three loads.  The first has the feed's older half and a file
+    with a broken line; before the second, that file is repaired and the newer half
+    lands; before the third, one more file.  A load reads what is new or changed."""
+    root, v = _fresh(spark, "bronze"), vectors(spark, d)
+    late = F.col("ingested_at") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    record = '{"icao24": "%s", "time_position": 1704067200}'
+    one, two, three = (record % f"file{k}" for k in range(3))
+    for part, name, lines in ((~late, "fetch", (one, "{broken", two)), (late, "fetch", (one, two, three)), (None, "more", (one,))):
+        if part is not None:
+            B.land_payloads(v.where(part), f"{root}/landing/feed")
+        _put(spark, _lines(spark, *lines), f"{root}/landing/files/{name}.json")
+        for folder in ("feed", "files"):
+            B.load_files(spark, f"{root}/landing/{folder}", f"{root}/table_{folder}", ingested_at="file")
+    stored = [B.stored_values(spark, f"{root}/table_{folder}").select(F.lit(folder).alias("landing"), "load", "source_file", "file_skipped")
+              for folder in ("feed", "files")]
+    return stored[0].unionByName(stored[1]).groupBy("landing", "load").agg(
+        F.count_if(~F.col("file_skipped")).alias("good_values"), F.count_if("file_skipped").alias("skipped_values"),
+        F.count_distinct(F.when(F.col("file_skipped"), F.col("source_file"))).alias("skipped_files"))
+
+
+def q_bronze_days(spark, d):
+    """SRC11: two of the landing's days are loaded."""
+    root = _fresh(spark, "bronze")
+    B.land_payloads(vectors(spark, d), f"{root}/landing")
+    B.load_files(spark, f"{root}/landing", f"{root}/table", ingested_at="file", days=("2024-01-10", "2024-01-11"))
+    return B.read_bronze(spark, f"{root}/table").agg(F.count(F.lit(1)).alias("payloads"))
+
+
+def q_bronze_outer_array(spark, d):
+    """SRC2, SRC5, SRC7: each value is an array of a payload and an empty one;
+    loaded twice by force, with a given ingest time that is stored."""
+    root = _fresh(spark, "bronze")
+    payload = lambda states: F.struct("time", "fetched_at", states.alias("states"))
+    one = F.array("state")
+    arrays = vectors(spark, d).select(F.to_json(F.array(payload(one), payload(F.slice(one, 1, 0)))).alias("value"))
+    arrays.write.text(f"{root}/landing")
+    for _ in range(2):
+        B.load_files(spark, f"{root}/landing", f"{root}/table", pattern="*.txt", ingested_at="2024-02-01 06:00:00", force=True)
+    return bronze_silver_rows(B.read_bronze(spark, f"{root}/table"))
+
+
+def q_bronze_dict_wrapper(spark, d):
+    """SRC10: two records handed over as the first value of an object."""
+    root = _fresh(spark, "bronze")
+    records = P.parse_records(vectors(spark, d))
+    wrapped = records.select(F.to_json(F.struct(F.array(F.struct("*"), F.struct("*")).alias("records"))).alias("value"))
+    wrapped.write.text(f"{root}/landing")
+    B.load_files(spark, f"{root}/landing", f"{root}/table", pattern="*.txt", ingested_at="file")
+    return bronze_silver_rows(B.read_bronze(spark, f"{root}/table")).drop("ingested_at")
+
+
+def q_dq_conservation(spark, d):
+    """DQ9: every landed unit has one outcome, and the outcomes add up to what was
+    landed: payloads of two vectors and of none, a file with broken lines,
+    values that are no records."""
+    root = _fresh(spark, "bronze")
+    two = F.array("state", "state")
+    states = F.when(F.size("state") >= MIN_VECTOR_SLOTS, two).otherwise(F.slice(two, 1, 0))
+    B.land_payloads(vectors(spark, d).withColumn("states", states), f"{root}/landing")
+    _put(spark, _lines(spark, '{"states": [["x"', '{"states": [["a"], ["b"]]}', "no JSON"), f"{root}/landing/bad.json")
+    _put(spark, _lines(spark, "3", "null", "[]", '{"states": ["no vector", [null, "x"]]}'), f"{root}/landing/odd.json")
+    B.load_files(spark, f"{root}/landing", f"{root}/table", ingested_at="file")
+    values = B.stored_values(spark, f"{root}/table")
+    total = A.landed(values).select("load", F.lit("landed").alias("outcome"), "n")
+    return A.conservation(values).unionByName(total).select("outcome", "n")
+
+
+def q_variant_drift(spark, d):
+    """DQ6: fields found in two loads, the feed's payloads and records in which a
+    field is new, one is gone and one has become an array."""
+    root = _fresh(spark, "bronze")
+    B.land_payloads(vectors(spark, d), f"{root}/landing")
+    B.load_files(spark, f"{root}/landing", f"{root}/table", ingested_at="file")
+    changed = P.parse_records(vectors(spark, d)).drop("squawk").withColumn("velocity", F.array("velocity")) \
+               .withColumn("emergency", F.lit(False))
+    B.land_records(changed, f"{root}/landing")
+    B.load_files(spark, f"{root}/landing", f"{root}/table", ingested_at="file")
+    return A.variant_drift(B.stored_values(spark, f"{root}/table"))
+
+
 def q_records_silver(spark, d):
     """The flat record shape: written as JSON, loaded, labels undone."""
     root = _fresh(spark, "records")
@@ -481,6 +578,12 @@ _PANELS |= {
     "bronze_variant_silver": q_bronze_variant_silver,
     "bronze_partitions": q_bronze_partitions,
     "bronze_bad_files": q_bronze_bad_files,
+    "bronze_loads": q_bronze_loads,
+    "bronze_days": q_bronze_days,
+    "bronze_outer_array": q_bronze_outer_array,
+    "bronze_dict_wrapper": q_bronze_dict_wrapper,
+    "dq_conservation": q_dq_conservation,
+    "variant_drift": q_variant_drift,
     "records_silver": q_records_silver,
     "silver_append": q_silver_append,
     "gold_published": q_gold_published,

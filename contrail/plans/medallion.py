@@ -1,26 +1,28 @@
 """The batch run: landing JSON -> Bronze -> Silver -> Gold -> checks.
 
-Each layer is materialized (written) before the next reads it, which cuts
-the lineage, lets a lost executor recompute from the last written layer,
-and keeps every job's plan short.  Bronze is read once for the Silver rows and
-once for the quarantine.  Intermediate tables live under the shared folder
-named by ``spark.checkpoint.dir``.
+A pass reads the new landing files only, as one load of the Bronze table, and
+takes that load through the other layers (``ingest_load``); the incremental stream
+does the same with each micro-batch.  Each layer is written before the next reads
+it, which cuts the lineage, lets a lost executor recompute from the last written
+layer, and keeps every job's plan short.  Intermediate tables live under the shared
+folder named by ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.operators import accounting as A
 from contrail.operators import gold as G
 from contrail.operators import quality as Q
 from contrail.operators import silver as S
 from contrail.operators.bronze_silver import bronze_silver_rows, bronze_vectors
 from contrail.plans import tables
-from contrail.schemas import GOLD_COLUMNS
-from contrail.sources.bronze import load_bronze
+from contrail.schemas import GOLD_COLUMNS, SILVER
+from contrail.sources.bronze import ledger_path, load_files, read_bronze, read_ledger, stored_values
 
 
 @dataclass
@@ -43,36 +45,102 @@ def refresh_gold_days(spark: SparkSession, silver_path: str, days: DataFrame, go
     build_gold(spark, scope.drop(tables.DAY), gold_path, full=False)
 
 
-def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
-        multi_line: bool = False, ingested_at="file", check: bool = True) -> RunResult:
-    """One full pass.  ``mode="upsert"`` keeps one row per key across runs;
-    ``mode="append"`` reproduces the append-only Silver.
+def ingest_load(spark: SparkSession, warehouse: str, load: str, mode: str = "upsert", check: bool = True,
+                max_lag_seconds: int | None = None, fail_on_drift: bool = False) -> list[tuple]:
+    """Take one finished Bronze load through the other layers; returns its check
+    rows.  Everything is written per load, overwriting what an earlier attempt left;
+    ``accounting`` is written last and marks the load as done.
 
-    Writes ``bronze``, ``silver``, ``gold``, ``country_hourly`` (the hourly country
-    summary) and ``quarantine`` (rejected or suspicious vectors of this pass)
-    below ``warehouse``."""
+    The gates see this load only, and before Silver is touched: row counts and the
+    newest times are observed while its rows are written, the ledger counts its
+    values, and every landed unit must have exactly one outcome."""
     wh = warehouse.rstrip("/")
-    silver_path, gold_path = f"{wh}/silver", f"{wh}/gold"
-    bronze = load_bronze(spark, landing, f"{wh}/bronze", multi_line=multi_line, ingested_at=ingested_at)
-    rows = tables.materialize(spark, bronze_silver_rows(bronze), "silver_rows")
-    tables.overwrite(Q.quarantine(bronze_vectors(bronze)), f"{wh}/quarantine")
-    if mode == "upsert":
-        tables.upsert_silver(spark, silver_path, rows)
-        silver = tables.read_silver(spark, silver_path)
+    bronze = f"{wh}/bronze"
+    values = stored_values(spark, bronze, load)
+    objects = read_bronze(spark, bronze, load)
+    seen = Observation()
+    rows = bronze_silver_rows(objects).observe(seen, F.count(F.lit(1)).alias("n"), F.max("ingested_at").alias("now"),
+                                               F.max("time_position").alias("newest"))
+    with tables.written(spark, rows, "silver_rows") as rows:
+        of_load = f"load={load}"
+        tables.overwrite(Q.quarantine(bronze_vectors(objects)), f"{wh}/quarantine/{of_load}")
+        tables.overwrite(A.rejects(values).drop("load"), f"{wh}/rejects/{of_load}")
+        tables.overwrite(A.variant_drift(values).drop("load"), f"{wh}/drift/{of_load}")
+        with tables.written(spark, A.conservation(values).drop("load"), "accounting") as outcomes:
+            checks = _load_checks(spark, wh, load, values, seen.get, outcomes, max_lag_seconds, fail_on_drift)
+            failed = [c for c in checks if not c[-1]]
+            if not (check and failed):
+                _publish_rows(spark, wh, rows, mode, of_load)
+            tables.overwrite(outcomes, f"{wh}/accounting/{of_load}")
+    if check and failed:
+        raise ValueError("Data quality checks failed: " + "; ".join(f"{c[0]}/{c[1]}: {c[3]} rows" for c in failed))
+    return checks
+
+
+def _load_checks(spark, wh, load, values, seen, outcomes, max_lag_seconds, fail_on_drift) -> list[tuple]:
+    n_values = read_ledger(spark, f"{wh}/bronze").where(F.col("load") == load).agg(F.sum("n_values")).first()[0] or 0
+    total = outcomes.agg(F.sum("n")).first()[0] or 0
+    landed = A.landed(values).agg(F.sum("n")).first()[0] or 0
+    drifted = {r["status"]: r["count"] for r in spark.read.parquet(f"{wh}/drift/load={load}").groupBy("status").count().collect()}
+    rows = [("bronze", "row_count>0", n_values, int(n_values == 0)), ("silver_input", "row_count>0", seen["n"], int(seen["n"] == 0)),
+            ("bronze", "conservation", landed, abs(landed - total)),
+            *[("bronze", f"fields_{s}", drifted.get(s, 0), drifted.get(s, 0) if fail_on_drift and s == "retyped" else 0)
+              for s in ("new", "retyped", "vanished")]]
+    if max_lag_seconds is not None and seen["newest"] is not None:
+        lag = int((seen["now"] - seen["newest"].replace(minute=0, second=0, microsecond=0)).total_seconds())
+        rows.append(("gold", f"freshness:snapshot_hour<={max_lag_seconds}s", lag, int(lag > max_lag_seconds)))
+    return [(*r, r[-1] == 0) for r in rows]
+
+
+def _publish_rows(spark: SparkSession, wh: str, rows: DataFrame, mode: str, of_load: str) -> None:
+    if mode == "upsert":        # Gold of the touched days only
+        tables.upsert_silver(spark, f"{wh}/silver", rows,
+                             then=lambda days: refresh_gold_days(spark, f"{wh}/silver", days, f"{wh}/gold"))
     elif mode == "append":
-        tables.append(S.latest(rows), f"{silver_path}_append")
-        silver = spark.read.parquet(f"{silver_path}_append")
+        tables.overwrite(S.latest(rows), f"{wh}/silver_append/{of_load}")
     else:
         raise ValueError(mode)
-    build_gold(spark, silver, gold_path)
+
+
+def unfinished_loads(spark: SparkSession, warehouse: str) -> list[str]:
+    """Loads of the ledger that a run has not taken to the end."""
+    wh = warehouse.rstrip("/")
+    done = {name for name in tables.folders(spark, f"{wh}/accounting") if tables.exists(spark, f"{wh}/accounting/{name}/_SUCCESS")}
+    ledger = ledger_path(f"{wh}/bronze")
+    return sorted(name.removeprefix("load=") for name in tables.folders(spark, ledger)
+                  if name.startswith("load=") and name not in done and tables.exists(spark, f"{ledger}/{name}/_SUCCESS"))
+
+
+def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
+        multi_line: bool = False, ingested_at="file", check: bool = True, force: bool = False,
+        days: tuple[str, str] | None = None, max_lag_seconds: int | None = None, fail_on_drift: bool = False) -> RunResult:
+    """One pass over the landing files that are new or changed since the last one
+    (``force``: all; ``days``: of these date partitions only).  ``mode="upsert"``
+    keeps one row per key across runs; ``mode="append"`` reproduces the
+    append-only Silver.
+
+    Writes ``bronze`` with its load ledger, ``silver``, ``gold``, ``country_hourly``
+    (the hourly country summary) and, per load, ``quarantine`` (suspicious vectors),
+    ``rejects`` (what did not reach Silver, with its text), ``drift`` (fields that are
+    new, vanished or of another type) and ``accounting`` (units by outcome) below
+    ``warehouse``.  A load that an earlier run did not finish is done first."""
+    wh = warehouse.rstrip("/")
+    if mode not in ("upsert", "append"):
+        raise ValueError(mode)
+    load_files(spark, landing, f"{wh}/bronze", multi_line, ingested_at, force=force, days=days)
+    rows = []
+    for load in unfinished_loads(spark, wh):
+        rows += ingest_load(spark, wh, load, mode, check, max_lag_seconds, fail_on_drift)
+    if mode == "upsert":
+        silver = tables.read_silver(spark, f"{wh}/silver")
+    else:
+        silver = spark.read.schema(SILVER).parquet(f"{wh}/silver_append") if tables.exists(spark, f"{wh}/silver_append") \
+            else spark.createDataFrame([], SILVER)
+        build_gold(spark, silver, f"{wh}/gold")
     tables.overwrite(G.country_hourly(silver), f"{wh}/country_hourly")
-    gold = tables.read_gold(spark, gold_path)
-    checks = Q.combine(
-        Q.row_count_check(spark.read.parquet(f"{wh}/bronze").select("source_file"), "bronze"),
-        Q.row_count_check(rows, "silver_input"),
-        Q.row_count_check(gold, "gold"),
-        Q.duplicate_checks(silver, "silver", ("icao24", "time_position")),
-    )
+    gold = tables.read_gold(spark, f"{wh}/gold")
+    loaded = spark.createDataFrame(rows, "layer string, check string, observed long, failed_rows long, passed boolean")
+    checks = Q.combine(loaded, Q.row_count_check(gold, "gold"), Q.duplicate_checks(silver, "silver", ("icao24", "time_position")))
     if check:
         # Append mode piles up repeated keys by design: reported, not raised.
         Q.assert_passed(checks if mode == "upsert"

@@ -4,6 +4,26 @@ from __future__ import annotations
 
 from contrail.plans.oracle import FEET, POSITION_TIME, _geohash_sql, phase_sql, q
 
+_LOAD = "batch-00000000000"
+
+_SLOT_NAMES = ("icao24", "callsign", "origin_country", "time_position", "last_contact", "longitude", "latitude", "baro_altitude",
+               "on_ground", "velocity", "true_track", "vertical_rate", "slot_12", "geo_altitude", "squawk", "slot_15", "slot_16")
+#: (shape, field, kind, values) of the feed's payloads: every slot comes as text.
+DRIFT_FEED = [("payload", "time", "number", "count(*)"), ("payload", "fetched_at", "number", "count(fetched_at)"),
+              ("payload", "states", "array", "count(*)"),
+              *[("vector", c, "null" if c in ("slot_12", "slot_15") else "string",
+                 "count_if(NOT short_vector)" if c == "slot_16" else "count(*)") for c in _SLOT_NAMES]]
+#: (field, kind, values, status) of the changed records; nulls are not written.
+DRIFT_RECORDS = [
+    ("icao24", "'string'", "count(icao24)", "same"), ("callsign", "'string'", "count(*)", "same"),
+    ("origin_country", "'string'", "count(*)", "same"), ("on_ground", "'boolean'", "count(*)", "same"),
+    *[(c, "'number'", f"count({c})", "same") for c in ("time_position", "last_contact", "longitude", "latitude", "baro_altitude")],
+    *[(c, "'number'", "count(*)", "same") for c in ("true_track", "vertical_rate", "time_fetched")],
+    ("geo_altitude", "'number'", "count_if(event_id % 17 <> 0)", "same"),
+    ("velocity", "'array'", "count(*)", "retyped"), ("emergency", "'boolean'", "count(*)", "new"),
+    ("squawk", "NULL", "CAST(0 AS BIGINT) * count(*)", "vanished")]
+
+
 def oracle_sql() -> dict[str, str]:
     return {**core_sql(), **panel_sql()}
 
@@ -305,4 +325,36 @@ ORDER BY icao24, time_position, ingested_at >= TIMESTAMP '2024-01-15', ingested_
          origin_country NULLS LAST, longitude NULLS LAST, latitude NULLS LAST,
          baro_altitude NULLS LAST, velocity NULLS LAST, on_ground NULLS LAST"""),
         "gold_published": q("SELECT * FROM gold"),
+        "bronze_loads": q(f"""
+SELECT 'feed' AS landing, '{_LOAD}0' AS load, count(*) AS good_values, CAST(0 AS BIGINT) AS skipped_values,
+       CAST(0 AS BIGINT) AS skipped_files FROM typed WHERE ingested_at < TIMESTAMP '2024-01-15'
+UNION ALL SELECT 'feed', '{_LOAD}1', count(*), 0, 0 FROM typed WHERE ingested_at >= TIMESTAMP '2024-01-15'
+UNION ALL VALUES ('files', '{_LOAD}0', 0, 3, 1), ('files', '{_LOAD}1', 3, 0, 0), ('files', '{_LOAD}2', 1, 0, 0)"""),
+        "bronze_days": q("""
+SELECT count(*) AS payloads FROM typed
+WHERE make_timestamp(coalesce(fetched_at, time) * 1000000) BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-11 23:59:59'"""),
+        "bronze_outer_array": q("""
+SELECT * EXCLUDE (short_vector, load) REPLACE (TIMESTAMP '2024-02-01 06:00:00' AS ingested_at)
+FROM silver_all, (SELECT unnest([1, 2]) AS load) l WHERE icao24 IS NOT NULL AND time_position IS NOT NULL"""),
+        "bronze_dict_wrapper": q(f"""
+SELECT icao24, nullif(trim(callsign), '') AS callsign, upper(trim(origin_country)) AS origin_country,
+       {POSITION_TIME} AS time_position, longitude, latitude, baro_altitude, velocity,
+       coalesce(on_ground, false) AS on_ground
+FROM typed, (SELECT unnest([1, 2]) AS copy) c
+WHERE NOT short_vector AND icao24 IS NOT NULL AND {POSITION_TIME} IS NOT NULL"""),
+        "dq_conservation": q(f"""
+, unit AS (SELECT icao24, time_position, {POSITION_TIME} AS placed FROM typed WHERE NOT short_vector)
+SELECT 'landed' AS outcome, CAST((SELECT 2 * count(*) FROM unit) + (SELECT count(*) FROM typed WHERE short_vector) + 8 AS BIGINT) AS n
+UNION ALL SELECT 'empty_payload', count(*) FROM typed WHERE short_vector
+UNION ALL SELECT 'null_icao24', 2 * count(*) + 1 FROM unit WHERE icao24 IS NULL
+UNION ALL SELECT 'null_time_position', 2 * count(*) FROM unit WHERE icao24 IS NOT NULL AND time_position IS NULL
+UNION ALL SELECT 'invalid_time_position', 2 * count(*) FROM unit WHERE icao24 IS NOT NULL AND time_position IS NOT NULL AND placed IS NULL
+UNION ALL SELECT 'silver', count(DISTINCT (icao24, placed)) FROM unit WHERE icao24 IS NOT NULL AND placed IS NOT NULL
+UNION ALL SELECT 'superseded', 2 * count(*) - count(DISTINCT (icao24, placed)) FROM unit WHERE icao24 IS NOT NULL AND placed IS NOT NULL
+UNION ALL VALUES ('unparsable', 2), ('file_skipped', 1), ('not_a_record', 3), ('empty_array', 1)"""),
+        "variant_drift": q("\nUNION ALL ".join(
+            [f"SELECT '{_LOAD}0' AS load, '{shape}' AS shape, '{name}' AS field, '{found}' AS found, {n} AS n, 'same' AS status FROM typed"
+             for shape, name, found, n in DRIFT_FEED]
+            + [f"SELECT '{_LOAD}1', 'record', '{name}', {found}, {n}, '{status}' FROM typed WHERE NOT short_vector"
+               for name, found, n, status in DRIFT_RECORDS])),
     }

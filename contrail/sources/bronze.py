@@ -6,18 +6,23 @@ fetch time.
 
 Bronze is schemaless: one VARIANT ``raw_data`` per JSON value (a line, or a
 whole file with ``multi_line=True``), the ingest time and the source file.  A
-value is parsed once, when it is loaded; no field is lost.  A file with any
-value that is not JSON is skipped whole by the readers (its rows stay in the
-table, with the unparsed text in ``bad_text``); valid JSON of another type than
+value is parsed once, when it is loaded; no field is lost.  A ledger of loads
+says which version of which file is loaded, so a load takes new and changed
+files only.  A file with any value that is not JSON is skipped whole by the
+readers (its rows stay in the table, with the unparsed text in ``bad_text``)
+until a load has a repaired version of it; valid JSON of another type than
 expected costs only the field or vector that has it.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions.timefn import epoch_to_ntz
+from contrail.plans.tables import folders, remove
 
 PATTERN = "*.json"
 
@@ -59,60 +64,176 @@ def _ingest_time(ingested_at: Column | str | None) -> Column:
 
 
 def parse_text(lines: DataFrame, ingested_at: Column | str | None = "file") -> DataFrame:
-    """raw_data, ingested_at, source_file, bad_text of text read from files
-    (batch or stream); blank lines are no values."""
+    """Bronze rows (without their load) of text read from files, batch or
+    stream; blank lines are no values."""
     raw = F.try_parse_json("value")
     return lines.where(F.trim("value") != "").select(
         raw.alias("raw_data"), _ingest_time(ingested_at).alias("ingested_at"),
         F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified"),
         F.when(raw.isNull(), F.col("value")).alias("bad_text"))
 
 
-def parse(spark: SparkSession, path: str, multi_line: bool = False,
-          ingested_at: Column | str | None = None, pattern: str = PATTERN) -> DataFrame:
-    lines = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=multi_line)
-    return parse_text(lines, ingested_at)
-
-
-def skip_bad_files(bronze: DataFrame) -> DataFrame:
-    """Drop every row of a file that holds an unparsable value.  The
-    bad-file list is one row per file; AQE broadcasts it when small."""
-    bad = bronze.where("bad_text IS NOT NULL").select("source_file").distinct()
-    return bronze.join(bad, "source_file", "left_anti").drop("bad_text")
-
-
-def variant_rows(bronze: DataFrame) -> DataFrame:
-    """One row per object.  An array counts as its elements; so does an object
+def elements(raw: str) -> Column:
+    """The objects in a value.  An array counts as its elements; so does an object
     whose only field is an array of objects (records handed over as a dict),
     unless that field is ``states``, the vectors of a payload."""
-    as_map = F.try_variant_get("raw_data", "$", "map<string,variant>")
+    as_map = F.try_variant_get(raw, "$", "map<string,variant>")
     inner = F.try_variant_get(F.element_at(F.map_values(as_map), 1), "$", "array<variant>")
     objects = F.forall(inner, lambda v: F.schema_of_variant(v).startswith("OBJECT"))
     only = F.when((F.size(as_map) == 1) & ~F.array_contains(F.map_keys(as_map), "states") & objects, inner)
-    elems = F.coalesce(F.try_variant_get("raw_data", "$", "array<variant>"), only, F.array("raw_data"))
+    return F.coalesce(F.try_variant_get(raw, "$", "array<variant>"), only, F.array(raw))
+
+
+def variant_rows(bronze: DataFrame) -> DataFrame:
+    """One row per object (see ``elements``)."""
     others = [c for c in bronze.columns if c != "raw_data"]
-    return bronze.select(*others, F.explode(elems).alias("raw_data"))
+    return bronze.select(*others, F.explode(elements("raw_data")).alias("raw_data"))
 
 
-def load_bronze(spark: SparkSession, path: str, bronze_path: str, multi_line: bool = False,
-                ingested_at: Column | str | None = None, pattern: str = PATTERN) -> DataFrame:
-    """Append the files below ``path`` to the stored Bronze table, once, and
-    return the rows of its good files.  The ingest time is stored, so every
-    later read sees the same."""
-    parse(spark, path, multi_line, ingested_at, pattern).write.mode("append").parquet(bronze_path)
-    return read_bronze(spark, bronze_path)
+# --- the stored table and its load ledger -------------------------------------------
+#
+# A load writes ``<bronze>/load=<id>`` and then, as its commit, one ledger row a
+# file to ``<bronze>__loads/load=<id>``.  Both overwrite what an earlier attempt
+# of the same load left; readers go by the ledger, so an unfinished load is not
+# seen.
+
+BRONZE = "raw_data variant, ingested_at timestamp_ntz, source_file string, modified timestamp_ntz, bad_text string, load string"
+LEDGER = "source_file string, modified timestamp_ntz, size long, n_values long, bad_values long, load string"
+
+#: Files that one read of a load takes: bounds the path list on the driver.
+FILES_PER_READ = 10_000
+
+
+def load_folder(bronze_path: str, load: str) -> str:
+    return f"{bronze_path.rstrip('/')}/load={load}"
+
+
+def ledger_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}__loads"
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    if not any(name.startswith("load=") for name in folders(spark, path)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
 
+def read_ledger(spark: SparkSession, bronze_path: str) -> DataFrame:
+    """One row a loaded file version: its values, how many do not parse (then the
+    readers skip all of that version), and the load."""
+    return _stored(spark, ledger_path(bronze_path), LEDGER)
 
-BRONZE = "raw_data variant, ingested_at timestamp_ntz, source_file string, bad_text string"
 
+def date_range(first: str, last: str) -> Column:
+    """Days first .. last (ISO), as predicates on the partition columns alone."""
+    year, month, day = (F.col(c).cast("int") for c in ("year", "month", "day"))
+    (y, m, d), (yy, mm, dd) = ([int(x) for x in t.split("-")] for t in (first, last))
+    return (((year > y) | ((year == y) & ((month > m) | ((month == m) & (day >= d)))))
+            & ((year < yy) | ((year == yy) & ((month < mm) | ((month == mm) & (day <= dd))))))
 
-def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Objects of the stored Bronze table: bad files skipped, arrays stripped."""
-    return variant_rows(skip_bad_files(spark.read.schema(BRONZE).parquet(bronze_path)))
+
+def landed_files(spark: SparkSession, path: str, pattern: str = PATTERN, days: tuple[str, str] | None = None) -> DataFrame:
+    """path, source_file, modified, size of the landing files (their content is
+    not read); ``days`` (first, last) prunes date partitions."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    if days:
+        files = files.where(date_range(*days))
+    return files.select("path", F.col("_metadata.file_path").alias("source_file"),
+                        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified"),
+                        F.col("_metadata.file_size").alias("size"))
+
+
+def is_new(files: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Files (or rows of files) in a version that no load has."""
+    done = ledger.select("source_file", "modified").distinct()
+    return files.join(done, ["source_file", "modified"], "left_anti")
+
+
+def next_load(spark: SparkSession, bronze_path: str) -> str:
+    """Ids of batch loads count up: an unfinished load is done again under its id."""
+    done = read_ledger(spark, bronze_path).where(F.col("load").startswith("batch-"))
+    last = done.agg(F.max(F.substring("load", 7, 12).cast("long"))).first()[0]
+    return f"batch-{0 if last is None else last + 1:012d}"
+
+
+def write_load(rows: DataFrame, bronze_path: str, load: str, mode: str = "overwrite") -> None:
+    rows.write.mode(mode).parquet(load_folder(bronze_path, load))
+
+
+def commit_load(spark: SparkSession, bronze_path: str, load: str, files: DataFrame | None = None) -> None:
+    """The load's ledger rows: counted from its stored rows (three columns of them
+    are read), and with ``files`` also those without any value."""
+    stored = spark.read.schema("source_file string, modified timestamp_ntz, bad_text string").parquet(load_folder(bronze_path, load))
+    counts = stored.groupBy("source_file", "modified").agg(
+        F.count(F.lit(1)).alias("n_values"), F.count("bad_text").alias("bad_values"))
+    rows = counts.withColumn("size", F.lit(None).cast("long")) if files is None else \
+        files.select("source_file", "modified", "size").join(counts, ["source_file", "modified"], "left")
+    (rows.select("source_file", "modified", "size", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_values", "bad_values")])
+     .write.mode("overwrite").parquet(f"{ledger_path(bronze_path)}/load={load}"))
+
+
+def load_files(spark: SparkSession, path: str, bronze_path: str, multi_line: bool = False,
+               ingested_at: Column | str | None = None, pattern: str = PATTERN, force: bool = False,
+               days: tuple[str, str] | None = None, files_per_read: int = FILES_PER_READ) -> str | None:
+    """Load the files below ``path`` that are new or changed since they were
+    loaded (``force``: all of them) and return the load's id, or None if there
+    are none.  The ingest time is stored: every later read sees the same."""
+    files = landed_files(spark, path, pattern, days)
+    if not force:
+        files = is_new(files, read_ledger(spark, bronze_path))
+    load, listing = next_load(spark, bronze_path), f"{bronze_path.rstrip('/')}__pending"
+    files.write.mode("overwrite").parquet(listing)          # the landing is listed once
+    pending = spark.read.schema(files.schema).parquet(listing)
+    mode, paths = "overwrite", []
+
+    def read_some() -> None:
+        nonlocal mode, paths
+        lines = spark.read.text(paths, wholetext=multi_line)
+        write_load(parse_text(lines, ingested_at), bronze_path, load, mode)
+        mode, paths = "append", []
+
+    for row in pending.select("path").toLocalIterator():
+        paths.append(re.sub(r"([\[\]{}*?\\])", r"\\\1", row["path"]))       # names, not globs
+        if len(paths) == files_per_read:
+            read_some()
+    if paths:
+        read_some()
+    if mode == "append":
+        commit_load(spark, bronze_path, load, pending)
+    remove(spark, listing)
+    return load if mode == "append" else None
+
+
+def stored_values(spark: SparkSession, bronze_path: str, load: str | None = None) -> DataFrame:
+    """All stored values of the finished loads (or one), with ``file_skipped``: the
+    file has, in that load, a value that does not parse."""
+    ledger, rows = read_ledger(spark, bronze_path), _stored(spark, bronze_path, BRONZE)
+    if load is not None:        # a partition of either table
+        ledger, rows = ledger.where(F.col("load") == load), rows.where(F.col("load") == load)
+    # one ledger row a file and load; AQE broadcasts it where it is small
+    flags = ledger.select("source_file", "modified", "load", (F.col("bad_values") > 0).alias("file_skipped"))
+    return rows.join(flags, ["source_file", "modified", "load"])
+
+
+def read_bronze(spark: SparkSession, bronze_path: str, load: str | None = None) -> DataFrame:
+    """Objects of the stored table (or of one load), arrays stripped.  A file with
+    a value that does not parse is skipped in the loads that had it so: loaded
+    again after a repair, it is there."""
+    rows = stored_values(spark, bronze_path, load).where(~F.col("file_skipped"))
+    return variant_rows(rows.drop("bad_text", "file_skipped"))
+
+
+def load_bronze(spark: SparkSession, path: str, bronze_path: str, multi_line: bool = False,
+                ingested_at: Column | str | None = None, pattern: str = PATTERN, force: bool = False,
+                days: tuple[str, str] | None = None) -> DataFrame:
+    """``load_files``, then the objects of the whole table."""
+    load_files(spark, path, bronze_path, multi_line, ingested_at, pattern, force, days)
+    return read_bronze(spark, bronze_path)
 
 
 def bad_files(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Files that the readers skip, with the number of unparsable values and
-    the smallest of them (whole text)."""
-    return (spark.read.schema(BRONZE).parquet(bronze_path).where("bad_text IS NOT NULL")
-            .groupBy("source_file").agg(F.count(F.lit(1)).alias("bad_values"), F.min("bad_text").alias("sample")))
+    """File versions that the readers skip, with the number of unparsable values
+    and the smallest of them (whole text)."""
+    return (stored_values(spark, bronze_path).where("bad_text IS NOT NULL").groupBy("source_file", "load")
+            .agg(F.count(F.lit(1)).alias("bad_values"), F.min("bad_text").alias("sample")))

@@ -2,6 +2,9 @@
 
 * ``bronze_stream``: new landing files only (the file source's checkpoint
   remembers what was read), bad files skipped per micro-batch.
+* ``medallion_stream``: every table of the batch run (Bronze and its ledger,
+  rejects, quarantine, drift, accounting, Silver, Gold) from one foreachBatch
+  sink, idempotent by batch id.
 * ``dedup_stream``: first report per (aircraft, position time) within a
   watermark; state is bounded by the watermark.
 * ``hourly_traffic_stream``: tumbling one-hour windows with a HyperLogLog
@@ -18,6 +21,8 @@ processed in bounded micro-batches, then the query stops.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -26,8 +31,8 @@ from contrail.functions.timefn import epoch_to_ntz, ntz_to_epoch
 from contrail.operators import gold as G
 from contrail.operators.bronze_silver import bronze_silver_rows
 from contrail.plans import tables
-from contrail.plans.medallion import refresh_gold_days
-from contrail.sources.bronze import PATTERN, parse_text, skip_bad_files, variant_rows
+from contrail.plans.medallion import ingest_load, refresh_gold_days
+from contrail.sources.bronze import PATTERN, commit_load, is_new, parse_text, read_ledger, variant_rows, write_load
 
 
 # Landing files per micro-batch: a rate limit, every file is read.
@@ -44,7 +49,8 @@ def bronze_stream(spark: SparkSession, landing: str, max_files: int = MAX_FILES_
 
 def clean_batch(batch: DataFrame) -> DataFrame:
     """Objects of the batch's good files (a file is never split over batches)."""
-    return variant_rows(skip_bad_files(batch))
+    bad = batch.where("bad_text IS NOT NULL").select("source_file").distinct()
+    return variant_rows(batch.join(bad, "source_file", "left_anti").drop("bad_text"))
 
 
 def event_time(rows: DataFrame, col: str = "time_position") -> DataFrame:
@@ -93,6 +99,31 @@ def upsert_stream(spark: SparkSession, stream: DataFrame, silver_path: str,
             .trigger(availableNow=True).start())
 
 
+def medallion_batch(spark: SparkSession, warehouse: str, name: str):
+    """foreachBatch handler: a micro-batch becomes a Bronze load of its own, named
+    by the stream and the batch, and is taken through every table that a batch run
+    writes.  A replayed batch overwrites its load; files that another load has
+    already (a batch run, or this stream before its checkpoint was lost) are
+    left out."""
+    bronze = f"{warehouse.rstrip('/')}/bronze"
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        load = f"{name}-{batch_id:012d}"
+        write_load(is_new(batch, read_ledger(spark, bronze).where(F.col("load") != load)).select(*batch.columns), bronze, load)
+        commit_load(spark, bronze, load)
+        ingest_load(spark, warehouse, load, check=False)
+    return handle
+
+
+def medallion_stream(spark: SparkSession, stream: DataFrame, warehouse: str, checkpoint: str):
+    """STR1, STR4: the batch run's tables, kept up to date from new landing files.
+    Loads are named after the checkpoint, so a stream with a new one does not
+    overwrite those of the old."""
+    name = f"stream-{zlib.crc32(checkpoint.rstrip('/').encode()):08x}"
+    return (stream.writeStream.foreachBatch(medallion_batch(spark, warehouse, name))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def collect_updates(stream: DataFrame, path: str, checkpoint: str, key) -> DataFrame:
     """Run an update-mode aggregation to completion: every micro-batch's
     updated rows are appended with the batch id, and the newest version of

@@ -188,14 +188,16 @@ def test_medallion_run(spark, scratch):
     B.land_payloads(vs, land)
     wh = os.path.join(scratch, "wh")
     r1 = run(spark, land, wh)
-    r2 = run(spark, land, wh)  # a full re-load of the same files
+    again = run(spark, land, wh)  # nothing new
+    assert again.silver_rows == r1.silver_rows and B.read_ledger(spark, f"{wh}/bronze").select("load").distinct().count() == 1
+    r2 = run(spark, land, wh, force=True)  # a full re-load of the same files
     assert r1.silver_rows == r2.silver_rows == 7 and r2.gold_rows == r1.gold_rows > 0
     assert tables.read_silver(spark, os.path.join(wh, "silver")).count() == 7
     assert spark.read.parquet(os.path.join(wh, "country_hourly")).count() == 1
     reasons = {r.reason for r in spark.read.parquet(os.path.join(wh, "quarantine")).collect()}
     assert reasons == {"unparsable:baro_altitude"}
     app = run(spark, land, wh + "_a", mode="append")
-    app2 = run(spark, land, wh + "_a", mode="append")
+    app2 = run(spark, land, wh + "_a", mode="append", force=True)
     assert app.gold_rows == app2.gold_rows
     assert spark.read.parquet(os.path.join(wh + "_a", "silver_append")).count() == 7 + 7
 
