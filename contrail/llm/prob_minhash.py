@@ -13,12 +13,14 @@ linked if its exact probability Jaccard similarity is 0.8 or more.  Classes are
 the connected components of the links.
 
 * Equal texts are one node from the start, so copies are never compared.
-* In a band bucket each node is first held against one pivot, the bucket's
-  smallest node.  Most buckets end there: all their nodes are in one class.
+* In a band bucket each node is first held against one pivot, the node with the
+  most company over all bands.  Most buckets end there: all their nodes are in
+  one class.
 * In the other buckets the nodes outside the pivot's class are held against
   all nodes, in blocks of at most ``BLOCK`` texts a side, so a bucket of any
-  size is spread over tasks.  A block reports only links that join classes:
-  never all pairs.
+  size is spread over tasks; a pair that shares several bands is compared in
+  the first of them only.  A block reports only links that join classes: never
+  all pairs.
 
 With 125 registers in 25 bands of 5, a pair of similarity 0.8 is a candidate
 with probability 0.99995.
@@ -54,18 +56,23 @@ def signatures(doc: np.ndarray, h: np.ndarray, count: np.ndarray, n: int, k: int
     who = np.zeros(n * k, _U)
     left, at, rate = np.arange(len(h)), np.zeros(len(h)), count.astype(float)
     base, turn = doc.astype(np.int64) * k, 0
+    empty, last = np.full(n, k), np.full(n, np.inf)      # last first arrival: none while a register is empty
     while len(left):
         turn += 1
         r = K.mix(h[left] + _U(turn * 0x9E3779B97F4A7C15 % (1 << 64)))
         gap = -np.log(((r >> _U(11)).astype(float) + 0.5) * 2.0**-53)
         at[left] += gap / rate[left]
-        register = base[left] + (K.mix(r) % _U(k)).astype(np.int64)
-        t = at[left]
+        # the register has the low 32 bits, which move the gap by 2**-32 at most
+        register = base[left] + ((r & _U(0xFFFFFFFF)) * _U(k) >> _U(32)).astype(np.int64)
+        t, of = at[left], doc[left]
+        unseen = np.isinf(first[register])
         np.minimum.at(first, register, t)
         won = first[register] == t
         who[register[won]] = h[left][won]
-        last = first.reshape(n, k).max(axis=1)
-        left = left[t < last[doc[left]]]
+        empty -= np.bincount(of[won & unseen], minlength=n)
+        full = np.unique(of[won & (empty[of] == 0)])
+        last[full] = first.reshape(n, k)[full].max(axis=1)
+        left = left[t < last[of]]
     return who.reshape(n, k)
 
 
@@ -136,8 +143,11 @@ class _Union:
         return i != j
 
 
-def block_links(sets, label, probe, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
-    """Links that join different labels: every text of ``probe`` against all."""
+def block_links(sets, label, probe, similarity: float = SIMILARITY, keys: np.ndarray | None = None,
+                band: int = 0) -> list[tuple[int, int]]:
+    """Links that join different labels: every text of ``probe`` against all.
+    With ``keys`` (a row of band keys a text), pairs that share a band before
+    ``band`` are left to the bucket there."""
     ids: dict = {}
     union = _Union(len(sets))
     for i, x in enumerate(label):
@@ -145,6 +155,7 @@ def block_links(sets, label, probe, similarity: float = SIMILARITY) -> list[tupl
     total = np.array([n.sum() for _, n in sets], float)
     flat = np.concatenate([h for h, _ in sets])
     size = np.array([len(h) for h, _ in sets])
+    once = total == size                                 # no shingle repeats: the plain Jaccard similarity
     weight = np.concatenate([n for _, n in sets]).astype(float)
     owner = np.repeat(np.arange(len(sets)), size)
     order = np.argsort(flat, kind="stable")
@@ -155,17 +166,34 @@ def block_links(sets, label, probe, similarity: float = SIMILARITY) -> list[tupl
     rank = np.empty(len(flat), np.int64)
     rank[order] = np.cumsum(new) - 1                     # posting list of each shingle
     begin = np.append(0, np.cumsum(size))
+    root = np.array([union.find(i) for i in range(len(sets))])
     links = []
     for i in probe:
+        open_ = root != root[i]
+        if keys is not None and band:
+            open_ &= ~(keys[:, :band] == keys[i, :band]).any(axis=1)
+        if not open_.any():
+            continue
         lists = rank[begin[i]:begin[i + 1]]
         n = starts[lists + 1] - starts[lists]
         at = np.repeat(starts[lists] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())
-        # shared counts bound the similarity from above, in shares of either text
-        mine = np.bincount(posted[at], np.repeat(weight[begin[i]:begin[i + 1]], n), len(sets)) / max(total[i], 1)
-        theirs = np.bincount(posted[at], weight_of[at], len(sets)) / np.maximum(total, 1)
-        for j in np.flatnonzero((mine >= similarity) & (theirs >= similarity)).tolist():
-            if union.find(i) != union.find(j) and probability_jaccard(*sets[i], *sets[j]) >= similarity:
-                union.join(i, j)
+        if once[i] and once.all():
+            shared = np.bincount(posted[at], minlength=len(sets))
+            near = np.flatnonzero(open_ & (shared / (total[i] + total - shared) >= similarity))
+            sure = np.ones(len(near), bool)
+        else:
+            # shared counts bound the similarity from above, in shares of either text
+            mine = np.bincount(posted[at], np.repeat(weight[begin[i]:begin[i + 1]], n), len(sets)) / max(total[i], 1)
+            theirs = np.bincount(posted[at], weight_of[at], len(sets)) / np.maximum(total, 1)
+            near = np.flatnonzero(open_ & (mine >= similarity) & (theirs >= similarity))
+            sure = np.zeros(len(near), bool)
+            if once[i]:
+                shared = np.bincount(posted[at], minlength=len(sets))[near]
+                exact = shared / (total[i] + total[near] - shared) >= similarity
+                near, sure = near[exact | ~once[near]], once[near][exact | ~once[near]]
+        for j, known in zip(near.tolist(), sure.tolist()):
+            if root[i] != root[j] and (known or probability_jaccard(*sets[i], *sets[j]) >= similarity):
+                root[root == root[j]] = root[i]
                 links.append((i, j))
     return links
 
@@ -196,12 +224,12 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
 
 def _of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, text: joined by doc_id and text, so copies under other ids (a hot
+    """node, bands, text: joined by doc_id and text, so copies under other ids (a hot
     text) stay apart."""
-    own = nodes.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    own = nodes.select("node", "bands", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     keyed = _keyed(docs)
     return keyed.join(own, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id"))) \
-                .select("node", "text")
+                .select("node", "bands", "text")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -220,11 +248,15 @@ def classes_by_text(spark: SparkSession, docs: DataFrame, bands: int = BANDS, ro
     nodes = materialize(spark, own.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
                         .withColumn("node", F.monotonically_increasing_id()), "nodes")
     spread = nodes.where("bands IS NOT NULL").select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = materialize(spread.sparkSession, spread.groupBy("band", "key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot")).where("n > 1"), "buckets")
-    members = materialize(spark, spread.join(buckets, ["band", "key"]).select("band", "key", "n", "pivot", "node"), "members")
+    buckets = spread.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialize(spark, spread.join(buckets, ["band", "key"]).select("band", "key", "n", "node"), "shared")
+    # the pivot has the most company over all its buckets: the middle of a family
+    company = shared.groupBy("node").agg(F.sum("n").alias("company"))
+    pivots = shared.select("band", "key", "node").join(company, "node").groupBy("band", "key").agg(
+        F.max_by("node", F.struct("company", -F.col("node"))).alias("pivot"))
+    members = materialize(spark, shared.join(pivots, ["band", "key"]), "members")
     # texts of nodes with company, one row each
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id", "text_key"), "node")
+    wanted = members.select("node").distinct().join(nodes.select("node", "bands", "doc_id", "text_key"), "node")
     texts = materialize(spark, _of_nodes(docs, wanted).dropDuplicates(["node"]), "texts")
     pairs = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
@@ -233,16 +265,19 @@ def classes_by_text(spark: SparkSession, docs: DataFrame, bands: int = BANDS, ro
     links = materialize(spark, verified.select("a", "b", similar_column(F.col("text_a"), F.col("text_b")).alias("s"))
                         .where(F.col("s") >= similarity).select("a", "b"), "links")
     label = components(spark, links)
-    more = _rest(spark, members, label, texts, similarity, block)
-    label = components(spark, links.unionByName(more))
-    named = nodes.join(label, "node", "left").select("text_key", "doc_id", F.coalesce("label", "node").alias("label"))
+    # links between classes join labels: the second run sees only these
+    top = components(spark, _rest(spark, members, label, texts, similarity, block)).select(
+        F.col("node").alias("label"), F.col("label").alias("top"))
+    named = nodes.join(label, "node", "left").select("text_key", "doc_id", F.coalesce("label", "node").alias("label")) \
+                 .join(top, "label", "left").select("text_key", "doc_id", F.coalesce("top", "label").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     return named.join(least, "label").select("text_key", "doc_id", "label", "class_id")
 
 
 def _rest(spark: SparkSession, members: DataFrame, label: DataFrame, texts: DataFrame, similarity: float,
           block: int) -> DataFrame:
-    """Links between classes inside a bucket that the pivots did not find."""
+    """Links between classes (their labels) inside a bucket that the pivots did not
+    find.  A pair is held against each other in the first band that it shares."""
     at = members.where("n > 2").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     to_pivot = label.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
     at = at.join(to_pivot, "pivot", "left").withColumn("pivot_label", F.coalesce("pivot_label", "pivot"))
@@ -269,11 +304,13 @@ def _rest(spark: SparkSession, members: DataFrame, label: DataFrame, texts: Data
 
     def inside(table: pa.Table) -> pa.Table:
         table = table.sort_by([("node", "ascending")])
-        node, sets = table["node"].to_pylist(), _shingle_sets(table["text"])
-        probe = np.flatnonzero(table["outside"].to_numpy(zero_copy_only=False)).tolist()
-        found = block_links(sets, table["label"].to_pylist(), probe, similarity) if probe else []
-        return pa.table({"a": pa.array([node[i] for i, _ in found], pa.int64()),
-                         "b": pa.array([node[j] for _, j in found], pa.int64())})
+        label, probe = table["label"].to_pylist(), np.flatnonzero(table["outside"].to_numpy(zero_copy_only=False)).tolist()
+        found = []
+        if probe and len(set(label)) > 1:
+            keys = pa.concat_arrays(table["bands"].chunks).flatten().to_numpy().reshape(len(label), -1)
+            found = block_links(_shingle_sets(table["text"]), label, probe, similarity, keys, table["band"][0].as_py())
+        return pa.table({"a": pa.array([label[i] for i, _ in found], pa.int64()),
+                         "b": pa.array([label[j] for _, j in found], pa.int64())})
 
     return materialize(spark, rows.groupBy("band", "key", "i", "j").applyInArrow(inside, "a long, b long").distinct(), "more")
 
