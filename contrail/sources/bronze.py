@@ -135,10 +135,10 @@ def date_range(first: str, last: str) -> Column:
 
 def landed_files(spark: SparkSession, path: str, pattern: str = PATTERN, days: tuple[str, str] | None = None) -> DataFrame:
     """path, source_file, modified, size of the landing files (their content is
-    not read); ``days`` (first, last) prunes date partitions."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    if days:
-        files = files.where(date_range(*days))
+    not read): all below ``path``, in date partitions or not, or with ``days``
+    (first, last) those of some date partitions, which prunes the rest."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    files = files.load(path).where(date_range(*days)) if days else files.option("recursiveFileLookup", "true").load(path)
     return files.select("path", F.col("_metadata.file_path").alias("source_file"),
                         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified"),
                         F.col("_metadata.file_size").alias("size"))
