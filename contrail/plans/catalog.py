@@ -25,13 +25,14 @@ from contrail.operators import quality as Q
 from contrail.operators import silver as S
 from contrail.operators.bronze_silver import bronze_silver_rows
 from contrail.plans import tables
-from contrail.plans.medallion import build_gold, refresh_gold_days
+from contrail.plans.medallion import build_gold, refresh_gold_days, upsert_layers
 from contrail.plans.tables import materialize
 from contrail.schemas import GOLD_COLUMNS, GOLD_KEY, MIN_VECTOR_SLOTS, SILVER, SILVER_KEY, SILVER_LENGTH_LIMITS
 from contrail.sources import bronze as B
 from contrail.sources.feed import state_vectors, typed_from, vectors_from_typed
 from contrail.sources.tables import stream_table, table
 from contrail.streaming import incremental as STR
+from contrail.streaming import late as LATE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -497,6 +498,33 @@ def q_gold_published(spark, d):
     return tables.read_gold(spark, f"{root}/gold")
 
 
+def q_gold_incremental(spark, d):
+    """Gold kept up to date through stored partial aggregates over three upserts."""
+    root, rows = _fresh(spark, "sinks"), silver_rows(spark, d)
+    for part in _thirds():
+        with tables.written(spark, rows.where(part), "batch") as batch:
+            upsert_layers(spark, root, batch)
+    return tables.read_gold(spark, f"{root}/gold")
+
+
+def _thirds():
+    cut = [F.lit(f"2024-01-{day} 00:00:00").cast("timestamp_ntz") for day in ("10", "20")]
+    seen = F.col("ingested_at")
+    return seen < cut[0], (seen >= cut[0]) & (seen < cut[1]), (seen >= cut[1]) | seen.isNull()
+
+
+def q_gold_sketch_days(spark, d):
+    """AGG21: stored sketches of the Gold groups, rolled up to day and country, held
+    against the exact count of the day's aircraft."""
+    state = materialize(spark, G.partials(G.base_vectors(silver(spark, d)), "callsign"), "gold_state")
+    sketches = materialize(spark, G.aircraft_sketches(state), "gold_sketches")
+    key = (F.date_format("snapshot_hour", "yyyy-MM-dd").alias("day"), "origin_country")
+    exact = state.groupBy(*key).agg(F.count_distinct("icao24").alias("aircraft"))
+    return G.roll_up(sketches, *key).join(exact, ["day", "origin_country"]).select(
+        "day", "origin_country", "aircraft",
+        G.within_sketch_error(F.col("approx_aircraft"), F.col("aircraft"), G.SKETCH_RSD).alias("within_error"))
+
+
 # --- streaming ----------------------------------------------------------------
 
 #: Files of the events table per micro-batch (a rate limit).
@@ -574,7 +602,25 @@ def q_stream_json_keys(spark, d):
     return tables.read_silver(spark, f"{root}/silver").select("icao24", "time_position")
 
 
+def q_stream_late_rows(spark, d):
+    """STR2, STR5: four arrivals of the feed, the third a day ahead, so that the fourth
+    is behind the watermark.  The newest kept row of each key, and every late row."""
+    root, rows = _fresh(spark, "stream"), silver_rows(spark, d)
+    ahead = rows.withColumn("time_position", F.col("time_position") + F.expr("INTERVAL 1 DAY"))
+    first, second, third = _thirds()
+    odd = F.pmod(F.xxhash64("icao24", "time_position", "ingested_at"), F.lit(2)) == 1
+    for part in (rows.where(first & odd), rows.where(first & ~odd), ahead.where(second), rows.where(third)):
+        part.write.mode("append").parquet(f"{root}/in")
+        arrivals = spark.readStream.schema(SILVER).option("maxFilesPerTrigger", STREAM_FILES).parquet(f"{root}/in")
+        STR.run_available(LATE.outcome_stream(arrivals, f"{root}/out", f"{root}/_checkpoint", FOLD_DELAY))
+    kept = LATE.kept_silver(spark, f"{root}/out").withColumn("late", F.lit(False))
+    return kept.unionByName(LATE.late_rows(spark, f"{root}/out").withColumn("late", F.lit(True)))
+
+
 _PANELS |= {
+    "gold_incremental": q_gold_incremental,
+    "gold_sketch_days": q_gold_sketch_days,
+    "stream_late_rows": q_stream_late_rows,
     "bronze_variant_silver": q_bronze_variant_silver,
     "bronze_partitions": q_bronze_partitions,
     "bronze_bad_files": q_bronze_bad_files,

@@ -20,6 +20,7 @@ from contrail.operators import gold as G
 from contrail.operators import quality as Q
 from contrail.operators import silver as S
 from contrail.operators.bronze_silver import bronze_silver_rows, bronze_vectors
+from contrail.plans import gold_state as GS
 from contrail.plans import tables
 from contrail.schemas import GOLD_COLUMNS, SILVER
 from contrail.sources.bronze import ledger_path, load_files, read_bronze, read_ledger, stored_values
@@ -45,6 +46,22 @@ def refresh_gold_days(spark: SparkSession, silver_path: str, days: DataFrame, go
     build_gold(spark, scope.drop(tables.DAY), gold_path, full=False)
 
 
+def upsert_layers(spark: SparkSession, wh: str, rows: DataFrame) -> None:
+    """Upsert written Silver rows and bring the Gold state, the sketches and Gold up to
+    date.  A row and what it supersedes have the same (hour, aircraft), so only those
+    pairs are aggregated again from Silver.  The state is published before Gold and
+    Gold's touched hours are folded from it as a whole: a batch done again after a
+    failure at any point gives the same tables."""
+    pairs = rows.select(F.col("icao24"), G.hour_floor(F.col("time_position")).alias("snapshot_hour")).distinct()
+    if not tables.exists(spark, f"{wh}/gold_sketches/_SUCCESS"):     # published last: Silver from before the state was kept
+        stored = tables.read_silver(spark, f"{wh}/silver")
+        pairs = pairs.unionByName(stored.select("icao24", G.hour_floor(F.col("time_position")).alias("snapshot_hour"))).distinct()
+    with tables.written(spark, pairs, "touched") as touched:
+        tables.upsert_silver(spark, f"{wh}/silver", rows)
+        GS.refresh_state(spark, f"{wh}/silver", f"{wh}/gold_state", touched)
+        GS.refresh_gold_hours(spark, f"{wh}/gold_state", f"{wh}/gold", f"{wh}/gold_sketches", touched)
+
+
 def ingest_load(spark: SparkSession, warehouse: str, load: str, mode: str = "upsert", check: bool = True,
                 max_lag_seconds: int | None = None, fail_on_drift: bool = False) -> list[tuple]:
     """Take one finished Bronze load through the other layers; returns its check
@@ -93,9 +110,8 @@ def _load_checks(spark, wh, load, values, seen, outcomes, max_lag_seconds, fail_
 
 
 def _publish_rows(spark: SparkSession, wh: str, rows: DataFrame, mode: str, of_load: str) -> None:
-    if mode == "upsert":        # Gold of the touched days only
-        tables.upsert_silver(spark, f"{wh}/silver", rows,
-                             then=lambda days: refresh_gold_days(spark, f"{wh}/silver", days, f"{wh}/gold"))
+    if mode == "upsert":
+        upsert_layers(spark, wh, rows)
     elif mode == "append":
         tables.overwrite(S.latest(rows), f"{wh}/silver_append/{of_load}")
     else:
@@ -119,8 +135,9 @@ def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
     keeps one row per key across runs; ``mode="append"`` reproduces the
     append-only Silver.
 
-    Writes ``bronze`` with its load ledger, ``silver``, ``gold``, ``country_hourly``
-    (the hourly country summary) and, per load, ``quarantine`` (suspicious vectors),
+    Writes ``bronze`` with its load ledger, ``silver``, ``gold_state`` (partial aggregates
+    per group, aircraft and callsign), ``gold``, ``gold_sketches`` (mergeable distinct
+    counts), ``country_hourly`` (the hourly country summary) and, per load, ``quarantine`` (suspicious vectors),
     ``rejects`` (what did not reach Silver, with its text), ``drift`` (fields that are
     new, vanished or of another type) and ``accounting`` (units by outcome) below
     ``warehouse``.  A load that an earlier run did not finish is done first."""

@@ -325,6 +325,20 @@ ORDER BY icao24, time_position, ingested_at >= TIMESTAMP '2024-01-15', ingested_
          origin_country NULLS LAST, longitude NULLS LAST, latitude NULLS LAST,
          baro_altitude NULLS LAST, velocity NULLS LAST, on_ground NULLS LAST"""),
         "gold_published": q("SELECT * FROM gold"),
+        "gold_incremental": q("SELECT * FROM gold"),
+        "gold_sketch_days": q("""
+SELECT strftime(hour, '%Y-%m-%d') AS day, country AS origin_country, count(DISTINCT icao24) AS aircraft, true AS within_error
+FROM seen GROUP BY 1, 2"""),
+        "stream_late_rows": q("""
+SELECT * FROM (
+  SELECT icao24, callsign, origin_country, longitude, latitude, baro_altitude, velocity, on_ground, ingested_at,
+         CASE WHEN ingested_at >= TIMESTAMP '2024-01-10' THEN time_position + INTERVAL 1 DAY ELSE time_position END AS time_position,
+         false AS late
+  FROM silver_rows WHERE ingested_at < TIMESTAMP '2024-01-20')
+QUALIFY row_number() OVER (PARTITION BY icao24, time_position
+  ORDER BY ingested_at DESC, callsign NULLS LAST, origin_country NULLS LAST, longitude NULLS LAST, latitude NULLS LAST,
+           baro_altitude NULLS LAST, velocity NULLS LAST, on_ground NULLS LAST) = 1
+UNION ALL BY NAME SELECT *, true AS late FROM silver_rows WHERE ingested_at >= TIMESTAMP '2024-01-20'"""),
         "bronze_loads": q(f"""
 SELECT 'feed' AS landing, '{_LOAD}0' AS load, count(*) AS good_values, CAST(0 AS BIGINT) AS skipped_values,
        CAST(0 AS BIGINT) AS skipped_files FROM typed WHERE ingested_at < TIMESTAMP '2024-01-15'

@@ -29,7 +29,7 @@ from contrail.operators import silver as S
 from contrail.schemas import GOLD, SILVER
 from contrail.session import shared_dir
 
-DAY, SNAPSHOT_DATE = "day", "snapshot_date"
+DAY, SNAPSHOT_DATE, HOUR = "day", "snapshot_date", "hour_key"
 
 
 # --- folders -------------------------------------------------------------------
@@ -62,7 +62,7 @@ def _staging(path: str) -> str:
 
 
 def _with_partition(schema: T.StructType, column: str) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(column, T.DateType())])
+    return T.StructType([*schema.fields, T.StructField(column, T.StringType() if column == HOUR else T.DateType())])
 
 
 def _write_days(df: DataFrame, path: str, column: str, **options) -> None:

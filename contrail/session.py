@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -94,3 +96,25 @@ def cluster_conf(input_bytes: int, executor_cores: int = 4, executors: int = 100
         "spark.sql.autoBroadcastJoinThreshold": str(64 * mib),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * mib),
     }
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Adds the package's modules to the application (once), as ``spark-submit
+    --py-files`` would: Python workers on other machines import them."""
+    import contrail
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(contrail.__file__))
+    # code only, on the driver; executors fetch it from there
+    path = os.path.join(tempfile.mkdtemp(prefix="contrail-"), "contrail.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
