@@ -66,20 +66,20 @@ def _with_partition(schema: T.StructType, column: str) -> T.StructType:
 
 
 def _write_days(df: DataFrame, path: str, column: str, **options) -> None:
-    # one shuffle by day, split by AQE where a day is large: no file per task and day
-    (df.hint("rebalance", column).write.mode("overwrite").options(**options)
-       .partitionBy(column).parquet(path))
+    df.write.mode("overwrite").options(**options).partitionBy(column).parquet(path)
 
 
 def stage(df: DataFrame, path: str, column: str, full: bool = False) -> str:
     """Write a batch aside; ``full`` marks that it replaces the whole table."""
     folder = f"{_staging(path)}/{'full' if full else 'days'}-{uuid.uuid4().hex}"
-    _write_days(df, folder, column)
+    # one shuffle by day, split by AQE where a day is large: no file per task and day
+    _write_days(df.hint("rebalance", column), folder, column)
     return folder
 
 
 def publish(spark: SparkSession, folder: str, path: str, schema: T.StructType, column: str) -> None:
-    """Replace the table's partitions by those of a finished staging."""
+    """Replace the table's partitions by those of a finished staging, which is
+    clustered already: its files are copied without a shuffle."""
     staged = spark.read.schema(_with_partition(schema, column)).parquet(folder)
     _write_days(staged, path, column, partitionOverwriteMode="dynamic")
     if folder.rsplit("/", 1)[-1].startswith("full-"):
