@@ -6,17 +6,27 @@ Other URLs are judged by boosted trees over lexical features: length, depth,
 digit ratio, entropy, parameter counts, hyphens, and statistics of the host's
 suffixes learned from the labelled URLs.
 
-Labelled URLs are those that a rule or a table of the caller decides, plus the
-URLs whose host has a word of ``SEEDS`` (blocked); of the other URLs a sample
-counts as allowed.  Training reads at most ``SAMPLE`` URLs (smallest hash).
+Labels are positive and unlabelled: a URL is labelled unwanted if its host has a
+word of ``SEEDS``, and either way if a table of the caller says so; all others are
+unlabelled, not good.  Rules are policy (a zone, a language), decide their URLs
+before the trees and teach them nothing.  The unlabelled URLs are scored by trees
+that have seen no URL of their host (``FOLDS`` folds by host, both classes weighing
+the same); those that look unwanted there are left out of the final training, so a
+family of hosts that the seeds do not name is not learned as good; this is done
+again without them until no more are found (at most ``SCREENS`` times).  The suffix
+statistics of a training URL come from the other folds, too.  Training reads at most
+``SAMPLE`` URLs (smallest hash).
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path
-and fits no rule; without labels of both classes every URL that no rule fits
-is allowed; rows are independent; extra columns are not read.
+and fits no rule; of rules of equal length that fit, the last by name decides;
+without unwanted and other URLs every URL that no rule fits is allowed; an empty
+table gives no rows; URLs are read whole, however long; rows are independent and
+repeated rows repeat their result; extra columns are not read.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,7 +36,7 @@ from pyspark.sql import functions as F
 
 from contrail.llm.sampling import bounded
 
-SAMPLE = 20_000
+SAMPLE, FOLDS, SCREENS = 20_000, 4, 4
 #: Host words of unwanted sites, as public block lists name them.
 SEEDS = ("ads", "adult", "banner", "bet", "casino", "cheap", "cialis", "click", "escort", "gambling", "loan",
          "lottery", "pills", "poker", "porn", "replica", "sex", "slots", "spam", "torrent", "track", "viagra",
@@ -91,6 +101,10 @@ class Model:
     trees: list = field(default_factory=list)       # (feature, threshold, value) arrays, heap order
     constant: bool = True
 
+    def rates(self, hosts) -> np.ndarray:
+        """Share of unwanted URLs among those of the host's two suffixes."""
+        return np.array([[self.suffix.get(s, self.prior) for s in _suffixes(h)] for h in hosts]).reshape(-1, 2)
+
     def features(self, urls, hosts, paths) -> np.ndarray:
         out = np.zeros((len(urls), len(FEATURES)))
         for k, (u, h, p) in enumerate(zip(urls, hosts, paths)):
@@ -98,14 +112,13 @@ class Model:
             after = u.split("://", 1)[-1]
             query = after.split("#", 1)[0].partition("?")[2]
             own = ".".join(labels[:-2]) or h
-            two, last = _suffixes(h)
             n = max(len(u), 1)
-            out[k] = (len(u), len(h), len(labels), sum(1 for s in p.split("/") if s), max(map(len, labels)),
+            out[k, :-2] = (len(u), len(h), len(labels), sum(1 for s in p.split("/") if s), max(map(len, labels)),
                       sum(c.isdigit() for c in u) / n, sum(c.isdigit() for c in h) / max(len(h), 1),
                       h.count("-"), _entropy(own), _entropy(p),
                       sum(1 for s in query.split("&") if s), len(query), "#" in after,
-                      "." in p.rsplit("/", 1)[-1], sum(c in "aeiou" for c in own) / max(len(own), 1),
-                      self.suffix.get(two, self.prior), self.suffix.get(last, self.prior))
+                      "." in p.rsplit("/", 1)[-1], sum(c in "aeiou" for c in own) / max(len(own), 1))
+        out[:, -2:] = self.rates(hosts)
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -122,7 +135,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _grow(bins, edges, g, h, depth: int, lam: float = 1.0, least: float = 3.0):
+def _grow(bins, edges, g, h, depth: int, columns, lam: float = 1.0, least: float = 1.0):
     """One tree by histograms of the slopes, level by level."""
     size = (1 << (depth + 1)) - 1
     feature, threshold, value = np.full(size, -1), np.zeros(size), np.zeros(size)
@@ -136,8 +149,8 @@ def _grow(bins, edges, g, h, depth: int, lam: float = 1.0, least: float = 3.0):
         if at >= (1 << depth) - 1:
             continue
         best = (1e-6, -1, 0)
-        for f, b in enumerate(bins):
-            n = len(edges[f]) + 1
+        for f in columns:
+            b, n = bins[f], len(edges[f]) + 1
             if n < 2:
                 continue
             gl = np.cumsum(np.bincount(b[own], gs, n))[:-1]
@@ -154,39 +167,92 @@ def _grow(bins, edges, g, h, depth: int, lam: float = 1.0, least: float = 3.0):
     return feature, threshold, value
 
 
-def train(urls, hosts, paths, y, rounds: int = 60, depth: int = 3, rate: float = 0.2, max_bins: int = 64) -> Model:
-    y = np.asarray(y, dtype=float)
-    if len(y) == 0 or y.min() == y.max():
-        return Model()
-    m = Model(prior=float(y.mean()), constant=False)
-    counts: dict[str, list[float]] = {}
+def suffix_rates(hosts, y) -> tuple[float, dict]:
+    """Share of unwanted URLs, overall and smoothed by suffix."""
+    prior, counts = float(np.mean(y)) if len(y) else 0.0, {}
     for h, v in zip(hosts, y):
         for s in _suffixes(h):
             c = counts.setdefault(s, [0.0, 0.0])
             c[0] += v
             c[1] += 1
-    m.suffix = {s: (a + 20 * m.prior) / (n + 20) for s, (a, n) in counts.items()}
-    x = m.features(urls, hosts, paths)
+    return prior, {s: (a + 20 * prior) / (n + 20) for s, (a, n) in counts.items()}
+
+
+def _out_of_fold(x: np.ndarray, hosts, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """``x`` with the suffix statistics of the other folds' URLs."""
+    x, hosts = x.copy(), np.array(hosts, object)
+    for f in np.unique(fold):
+        x[fold == f, -2:] = Model(*suffix_rates(hosts[fold != f], y[fold != f])).rates(hosts[fold == f])
+    return x
+
+
+def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2,
+          max_bins: int = 64) -> Model:
+    """Boosted trees by the slopes of the weighted log loss.  A tree sees half of the
+    features (drawn from a fixed seed): where several separate the labelled hosts alike,
+    all of them have a say about a new one."""
+    draw = np.random.default_rng(17)
     edges = [np.unique(np.quantile(x[:, k], np.arange(1, max_bins) / max_bins)) for k in range(x.shape[1])]
     bins = [np.searchsorted(e, x[:, k], side="left") for k, e in enumerate(edges)]
-    m.start = float(np.log(m.prior / (1 - m.prior)))
+    p = float(np.average(y, weights=weight))
+    m = Model(start=float(np.log(p / (1 - p))), constant=False)
     z = np.full(len(y), m.start)
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-z))
-        feature, threshold, value = _grow(bins, edges, p - y, np.maximum(p * (1 - p), 1e-6), depth)
+        columns = draw.permutation(x.shape[1])[:(x.shape[1] + 1) // 2]
+        feature, threshold, value = _grow(bins, edges, weight * (p - y), np.maximum(weight * p * (1 - p), 1e-6), depth, columns)
         m.trees.append((feature, threshold, rate * value))
-        one = Model(start=0.0, trees=m.trees[-1:])
-        q = one.score(x)
+        q = Model(trees=m.trees[-1:]).score(x)
         z += np.log(q / (1 - q))
     return m
 
 
+def _host_weights(hosts) -> np.ndarray:
+    """A host weighs 1, shared by its URLs: a hundred pages of one host are no
+    hundred witnesses."""
+    _, at, n = np.unique(np.array(hosts, object).astype(str), return_inverse=True, return_counts=True)
+    return 1 / n[at]
+
+
+def _balanced(y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``w`` with both classes weighing the same."""
+    return w * w.sum() / 2 / np.where(y == 1, w[y == 1].sum(), w[y == 0].sum())
+
+
+def train(urls, hosts, paths, labels, rounds: int = 60) -> Model:
+    """Trees from labels 1 (unwanted), 0 (good by a caller's table) and None."""
+    known = np.array([v is not None for v in labels], bool)
+    y = np.array([v or 0 for v in labels], dtype=float)
+    if len(y) == 0 or y.min() == y.max():
+        return Model()
+    fold = np.array([zlib.crc32(h.encode()) % FOLDS for h in hosts])
+    base = Model().features(urls, hosts, paths)
+    x = _out_of_fold(base, hosts, y, fold)
+    w, keep = _host_weights(hosts), np.ones(len(y), bool)
+    for _ in range(SCREENS):
+        # two steps deep and without the suffixes: what the named families have in common
+        found = keep.copy()
+        for f in np.unique(fold):
+            own, rest = fold == f, (fold != f) & keep
+            if rest.any() and 0 < y[rest].sum() < rest.sum():
+                unseen = boost(x[rest, :-2], y[rest], _balanced(y[rest], w[rest]), rounds // 2, depth=2).score(x[own, :-2])
+                found[own] &= known[own] | (unseen < 0.5)
+        if found.sum() == keep.sum():
+            break
+        keep = found
+    if y[keep].min() == y[keep].max():
+        keep[:] = True
+    hosts, y, fold, w = [h for h, k in zip(hosts, keep) if k], y[keep], fold[keep], w[keep]
+    m = boost(_out_of_fold(base[keep], hosts, y, fold), y, _balanced(y, w), rounds)
+    m.prior, m.suffix = suffix_rates(hosts, y)
+    return m
+
+
 def labelled(parsed: DataFrame, labels: DataFrame | None = None, seeds=SEEDS) -> DataFrame:
-    """url, host, path, label of the URLs to learn from."""
+    """url, host, path, label (null: unlabelled) of the URLs to learn from."""
     words = F.split(F.regexp_replace("host", "[^a-z0-9]+", " "), " ")
     seeded = F.arrays_overlap(words, F.array(*[F.lit(s) for s in seeds]))
-    label = F.when(F.col("fit").isNotNull(), F.col("fit.block")).otherwise(seeded).cast("int")
-    rows = parsed.select("url", "host", "path", label.alias("label"))
+    rows = parsed.where("fit IS NULL").select("url", "host", "path", F.when(seeded, 1).alias("label"))
     if labels is not None:
         given = (labels.where("url IS NOT NULL AND label IS NOT NULL").groupBy("url").agg(F.max("label").alias("given")))
         rows = rows.join(given, "url", "left").withColumn(

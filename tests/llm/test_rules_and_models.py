@@ -132,6 +132,45 @@ def test_url_trees_on_held_out_hosts(spark):
     assert url_boost.fit(none).constant and url_boost.judge(none, model).count() == 0
 
 
+def test_url_families_without_a_seed(spark):
+    """Families that no seed names (one of them the third most frequent unwanted one)
+    are blocked, other hosts allowed."""
+    ship(spark)
+    named = ("casino-win", "cheap-pills", "poker-club", "ads-track")
+    unnamed = ("free-bets", "hot-dates", "quick-cash")
+    data = []
+    for k in range(1500):
+        bad = k % 10 == 0
+        family = (named + unnamed)[k // 10 % 7]
+        sub = ("", "m.", "www.", "blog.")[k % 4]
+        host = f"{family}.example" if bad else f"{C.prose(k % 90, 1).strip('.') or 'a'}{chr(97 + k % 5)}.example"
+        zone = ("com", "org", "com", "net")[k // 3 % 4]
+        data.append((k, f"https://{sub}{host}.{zone}/{('en', 'de')[k % 2]}/{k}" + ("?a=1" if k % 7 == 0 else "")))
+    pages = spark.createDataFrame(data, "page_id long, url string")
+    model = url_boost.fit(pages)
+    got = [r for r in url_boost.judge(pages, model).collect() if r.rule is None]
+    bad = {r.page_id for r in got if any(f in r.host for f in named + unnamed)}
+    blocked = {r.page_id for r in got if r.verdict == "block"}
+    assert all(sum(f in r.host for r in got) > 3 for f in unnamed)
+    assert len(bad & blocked) >= 0.95 * len(bad) and len(blocked - bad) <= 0.01 * len(got)
+
+
+def test_url_tree_scores_are_plain_sums(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 5)).round(1)
+    y = (x[:, 0] + x[:, 1] > 0).astype(float)
+    m = url_boost.boost(x, y, np.ones(300), rounds=7)
+
+    def leaf(tree, row, node=0):
+        feature, threshold, value = tree
+        if feature[node] < 0:
+            return value[node]
+        return leaf(tree, row, 2 * node + (1 if row[feature[node]] <= threshold[node] else 2))
+
+    plain = [1 / (1 + np.exp(-(m.start + sum(leaf(t, row) for t in m.trees)))) for row in x]
+    assert np.allclose(m.score(x), plain, rtol=0, atol=1e-12) and ((m.score(x) >= 0.5) == y).mean() > 0.9
+
+
 def secrets(k):
     r = np.random.default_rng(k)
     hexa = "".join(r.choice(list("0123456789abcdef"), 40))
