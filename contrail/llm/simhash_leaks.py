@@ -2,11 +2,14 @@
 
 A document window has as many words as the item it is held against.  Its
 fingerprint is the SimHash of its weighted five-word shingles; the item
-fingerprints lie in a multi-index: 64 bits are cut into radius + 1 blocks, and
-two fingerprints within the radius agree in one block at least, so looking up
-the blocks finds all of them.  Candidates are then verified by the exact
-weighted Jaccard similarity of the shingles (sum of the smaller counts over
-sum of the larger), 0.8 or more.
+fingerprints lie in a multi-index: 64 bits are cut into 4 blocks of 16, and two
+fingerprints within radius 21 differ in at most 5 bits of one block at least (four
+blocks with 6 would be 24).  A table per block lists for each of its 65,536 values the
+items that near, as a bit set, so four look-ups give a window's candidates among all
+items of its size; a random fingerprint passes for an item in 36 % of cases, and its
+distance decides.  Candidates are then verified by the exact weighted Jaccard
+similarity of the shingles (sum of the smaller counts over sum of the larger), 0.8
+or more.
 
 Windows slide by one word over the whole text.  Those that share no shingle
 with any item have similarity 0 and get no fingerprint.
@@ -31,6 +34,7 @@ columns are kept by ``clean`` and not read by ``leaks``.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +44,8 @@ from pyspark.sql import functions as F
 from contrail.llm import textkernel as K
 from contrail.plans.tables import materialize
 
-BITS, RADIUS = 64, 21
+BITS, RADIUS, BLOCKS = 64, 21, 4
+WINDOWS = 4096              # fingerprints looked up at a time
 SIMILARITY = 0.8
 BLOCK = 2000
 HITS = "array<struct<item_id:bigint,similarity:double,word:int>>"
@@ -56,12 +61,26 @@ def _fingerprints(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=1, bitorder="little").view("<u8").ravel()
 
 
-def block_edges(radius: int = RADIUS) -> np.ndarray:
-    return np.linspace(0, BITS, radius + 2).astype(int)
+def _block(fp: np.ndarray, b: int) -> np.ndarray:
+    return ((fp >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
 
 
-def _block(fp: np.ndarray, lo: int, hi: int) -> np.ndarray:
-    return (fp >> np.uint64(lo)) & np.uint64((1 << (hi - lo)) - 1)
+def block_tables(prints: np.ndarray, radius: int = RADIUS) -> list[np.ndarray]:
+    """Per block: value -> bit set of the items within ``radius // 4`` bits there
+    (32 KB an item in all)."""
+    values, tables = np.arange(1 << 16), []
+    for b in range(BLOCKS):
+        t = np.zeros((1 << 16, -(-len(prints) // 8)), np.uint8)
+        for i, v in enumerate(_block(prints, b).tolist()):
+            t[np.bitwise_count(values ^ v) <= radius // BLOCKS, i >> 3] |= np.uint8(1 << (i & 7))
+        tables.append(t)
+    return tables
+
+
+@lru_cache(maxsize=1)
+def _tables(prints: bytes, radius: int) -> tuple[np.ndarray, ...]:
+    """The tables are built where they are used, and kept for a worker's next tasks."""
+    return tuple(block_tables(np.frombuffer(prints, np.uint64), radius))
 
 
 @dataclass
@@ -73,10 +92,13 @@ class Index:
     shingles: np.ndarray        # all distinct shingles, ascending
     first: np.ndarray           # shingle k is in items[first[k]:first[k + 1]]
     items: np.ndarray
-    tables: list                # per block: value -> which items have it
     radius: int
     similarity: float
 
+    @property
+    def tables(self) -> tuple[np.ndarray, ...]:
+        return _tables(self.prints.tobytes(), self.radius)
+
     @classmethod
     def of(cls, ids, texts, radius: int = RADIUS, similarity: float = SIMILARITY) -> Index:
         kept, size, sets, prints = [], [], [], []
@@ -89,29 +111,37 @@ class Index:
                     size.append(len(w.start))
                     sets.append((u, n))
                     prints.append(_fingerprints(_signs(h).sum(0, keepdims=True))[0])
+        by_size = np.argsort(size, kind="stable").tolist()      # the items of one size lie together
+        kept, size, sets, prints = ([part[i] for i in by_size] for part in (kept, size, sets, prints))
         prints = np.array(prints, np.uint64)
         flat = np.concatenate([u for u, _ in sets]) if sets else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(sets)), [len(u) for u, _ in sets]) if sets else np.zeros(0, np.int64)
         order = np.argsort(flat, kind="stable")
         shingles, first = np.unique(flat[order], return_index=True)
-        tables, edges = [], block_edges(radius)
-        for lo, hi in zip(edges[:-1], edges[1:]):
-            t = np.zeros((1 << (hi - lo), len(sets)), bool)
-            if len(sets):
-                t[_block(prints, lo, hi).astype(np.int64), np.arange(len(sets))] = True
-            tables.append(t)
         return cls(kept, np.array(size, np.int64), sets, prints, shingles, np.append(first, len(flat)),
-                   owner[order], tables, radius, similarity)
+                   owner[order], radius, similarity)
+
+    def candidates(self, prints: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item) pairs that the multi-index finds among the items lo to hi."""
+        first, last = lo >> 3, -(-hi // 8)
+        found = np.zeros((len(prints), last - first), np.uint8)
+        for b, t in enumerate(self.tables):
+            found |= t[_block(prints, b), first:last]
+        window, item = np.nonzero(np.unpackbits(found, axis=1, bitorder="little")[:, lo - 8 * first:hi - 8 * first])
+        return window, item + lo
 
     def near(self, prints: np.ndarray, item: int) -> np.ndarray:
-        """Which window fingerprints the multi-index finds for an item, and
-        which of them are within the radius."""
-        found, edges = np.zeros(len(prints), bool), block_edges(self.radius)
-        for t, lo, hi in zip(self.tables, edges[:-1], edges[1:]):
-            found |= t[_block(prints, lo, hi).astype(np.int64), item]
-        at = np.flatnonzero(found)
-        apart = np.bitwise_count(prints[at] ^ self.prints[item])
-        return at[apart <= self.radius]
+        """The windows within the radius of one item."""
+        return np.array([w for w, _ in self.near_pairs(prints, item, item + 1)], np.int64)
+
+    def near_pairs(self, prints: np.ndarray, lo: int, hi: int) -> list[tuple[int, int]]:
+        """(window, item) pairs within the radius, among the items lo to hi."""
+        out = []
+        for at in range(0, len(prints), WINDOWS):
+            window, item = self.candidates(prints[at:at + WINDOWS], lo, hi)
+            close = np.bitwise_count(prints[at + window] ^ self.prints[item]) <= self.radius
+            out += zip((at + window[close]).tolist(), item[close].tolist())
+        return out
 
     def overlap(self, h: np.ndarray, item: int) -> float:
         """Exact weighted Jaccard similarity of a window's shingles and an item's."""
@@ -168,30 +198,37 @@ class Index:
         same = h[order[1:]] == h[order[:-1]]
         before[order[1:][same]] = order[:-1][same]
         before = np.maximum.accumulate(before)
-        out = []
-        for i, places in sorted(where.items()):
-            n = min(max(int(self.size[i]) - K.SHINGLE + 1, 1), len(h))      # shingles of a window
-            starts = np.unique(np.concatenate([np.arange(max(p - n + 1, 0), min(p, len(h) - n) + 1) for p in places]))
+        best: dict[int, tuple[float, int]] = {}             # item -> similarity, - first word
+
+        def seen(i: int, similar: float, word: int) -> None:
+            best[i] = max(best.get(i, (0.0, 0)), (similar, -word))
+
+        # shingles of a window of each item, rising with the items
+        window = np.minimum(np.maximum(self.size - K.SHINGLE + 1, 1), len(h))
+        for n in np.unique(window[list(where)]).tolist():
+            lo, hi = np.searchsorted(window, [n, n + 1]).tolist()
+            starts = {i: np.unique(np.concatenate([np.arange(max(p - n + 1, 0), min(p, len(h) - n) + 1) for p in where[i]]))
+                      for i in range(lo, hi) if i in where}
             # SimHash follows the similarity only where no shingle repeats
-            repeats = (before[starts + n - 1] >= starts) | bool((self.sets[i][1] > 1).any())
-            best, word = 0.0, 0
-            if repeats.any():
-                exact = self.running(known_k, i, n)[starts[repeats]]
-                best, word = float(exact.max()), int(starts[repeats][exact.argmax()])
-            starts = starts[~repeats]
-            if len(starts):
-                base = int(starts[0])
-                signs = _signs(h[base:int(starts[-1]) + n])
+            for i, own in starts.items():
+                repeats = (before[own + n - 1] >= own) | bool((self.sets[i][1] > 1).any())
+                if repeats.any():
+                    exact = self.running(known_k, i, n)[own[repeats]]
+                    seen(i, float(exact.max()), int(own[repeats][exact.argmax()]))
+            own = np.unique(np.concatenate(list(starts.values())))
+            own = own[before[own + n - 1] < own]
+            if len(own):
+                base = int(own[0])
+                signs = _signs(h[base:int(own[-1]) + n])
                 sums = np.zeros((len(signs) + 1, BITS), np.int32)
                 np.cumsum(signs, axis=0, out=sums[1:])
-                own = starts - base
-                for s in own[self.near(_fingerprints(sums[own + n] - sums[own]), i)].tolist():
-                    similar = self.overlap(h[base + s:base + s + n], i)
-                    if similar > best or similar == best and base + s < word:
-                        best, word = similar, base + s
-            if best >= self.similarity:
-                out.append({"item_id": self.ids[i], "similarity": best, "word": word})
-        return out
+                at = own - base
+                for w, i in self.near_pairs(_fingerprints(sums[at + n] - sums[at]), lo, hi):
+                    if not (self.sets[i][1] > 1).any():
+                        s = int(own[w])
+                        seen(i, self.overlap(h[s:s + n], i), s)
+        return [{"item_id": self.ids[i], "similarity": similar, "word": -word}
+                for i, (similar, word) in sorted(best.items()) if similar >= self.similarity]
 
 
 def indexes(benchmark: DataFrame, block: int = BLOCK, **settings):

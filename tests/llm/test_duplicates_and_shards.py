@@ -176,6 +176,25 @@ def test_multi_index_finds_all_within_the_radius():
     assert index.near(prints, 0).tolist() == want.tolist()
 
 
+def test_multi_index_of_many_items():
+    """No pair within the radius is lost, and a random fingerprint passes the tables for
+    at most 40 % of the items; items of other sizes are not looked at."""
+    r = np.random.default_rng(4)
+    index = simhash_leaks.Index.of(range(60), [C.prose(k, (20, 30, 45)[k % 3]) for k in range(60)])
+    assert index.size.tolist() == sorted(index.size.tolist())
+    prints = r.integers(0, 2**63, 9000, dtype=np.uint64) * np.uint64(2) + r.integers(0, 2, 9000, dtype=np.uint64)
+    for k in range(4500):               # half of them at 0 to 30 bits from an item
+        prints[k] = index.prints[k % 60]
+        for b in r.choice(64, r.integers(0, 31), replace=False):
+            prints[k] ^= np.uint64(1) << np.uint64(b)
+    for lo, hi in ((0, 60), (20, 40), (19, 20), (59, 60)):
+        apart = np.bitwise_count(prints[:, None] ^ index.prints[None, lo:hi])
+        want = {(int(w), int(i) + lo) for w, i in zip(*np.nonzero(apart <= simhash_leaks.RADIUS))}
+        assert set(index.near_pairs(prints, lo, hi)) == want
+    window, _ = index.candidates(prints[4500:], 0, 60)
+    assert 0.3 < len(window) / (4500 * 60) < 0.4
+
+
 @pytest.mark.parametrize("n, changed", [(164, 13), (204, 18), (304, 29), (404, 36)])
 def test_leaks_with_repeated_shingles(n, changed):
     for seed in range(8):
