@@ -5,9 +5,11 @@ where the tokenizer certainly cuts, and every inner node holds the token sum
 below it, so the root is the document's count.  An edit re-encodes only the
 leaves it touches, widened by the neighbouring leaf wherever the edit comes
 near a cut (the boundary context), and then the sums on the way to the root.
+Leaves that an insertion makes too large are split where they are.
 
 Defined cases: a null text counts as the empty text (0 tokens, one empty
-leaf); a tokenizer without certain cuts has one leaf per text; a missing or
+leaf); a tokenizer without certain cuts has one leaf per text, and so has a text
+without any (one word, however long), which an edit encodes again as a whole; a missing or
 empty edit list changes nothing; edit positions are code points of the text
 before any edit, are clamped to it, and apply in ascending order (of
 overlapping edits the later one starts where the earlier one ended).  Rows are
@@ -18,6 +20,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -49,14 +52,11 @@ class Tree:
 
     def build(self) -> None:
         self.ends = self._ends(0, len(self.text), max(1, -(-len(self.text) // self.leaf_chars)))
-        width = 1 << max(0, (len(self.ends) - 1).bit_length())
-        self.sums = [0] * (2 * width)
-        begin = 0
-        for k, end in enumerate(self.ends):
-            self.sums[width + k] = self.count(self.text[begin:end])
+        begin, counts = 0, []
+        for end in self.ends:
+            counts.append(self.count(self.text[begin:end]))
             begin = end
-        for i in range(width - 1, 0, -1):
-            self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
+        self._sum(counts)
 
     def _ends(self, begin: int, end: int, k: int) -> list[int]:
         """k leaf ends for text[begin:end], at certain cuts; the last is end."""
@@ -82,8 +82,7 @@ class Tree:
         grown = len(replacement) - (stop - start)
         self.text = self.text[:start] + replacement + self.text[stop:]
         if end + grown - begin > 4 * self.leaf_chars * (last - first + 1):
-            self.reencoded += len(self.text)
-            self.build()
+            self._split(first, last, begin, end + grown, grown)
             return
         ends[first:last + 1] = self._ends(begin, end + grown, last - first + 1)
         if grown:
@@ -98,38 +97,80 @@ class Tree:
                 self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
             lo, hi = lo // 2, hi // 2
 
+    def _split(self, first: int, last: int, begin: int, end: int, grown: int) -> None:
+        """Put as many leaves as text[begin:end] needs in the place of some that have
+        outgrown their size.  All others keep their counts; inner sums are added anew."""
+        width = len(self.sums) // 2
+        counts = self.sums[width:width + len(self.ends)]
+        made, at, new = sorted(set(self._ends(begin, end, -(-(end - begin) // self.leaf_chars)))), begin, []
+        for e in made:
+            new.append(self.count(self.text[at:e]))
+            at = e
+        self.reencoded += end - begin
+        self.ends[first:] = [*made, *(e + grown for e in self.ends[last + 1:])]
+        self._sum([*counts[:first], *new, *counts[last + 1:]])
+
+    def _sum(self, counts: list[int]) -> None:
+        width = 1 << max(0, (len(counts) - 1).bit_length())
+        self.sums = [0] * width + counts + [0] * (width - len(counts))
+        for i in range(width - 1, 0, -1):
+            self.sums[i] = self.sums[2 * i] + self.sums[2 * i + 1]
+
     @property
     def total(self) -> int:
         return self.sums[1]
 
 
-_BYTE_CUT = re.compile(rf"(?<!{_SPACES.pattern}) (?!{_SPACES.pattern})")
-
-
-def cutter(kind: str):
-    """cut(text, at, end): the next certain cut at or after ``at``, else end."""
+#: Places where the byte-level pre-tokenizer certainly cuts, whatever lies around:
+#: before the last white space of a run (the run's rest is one token, with or without
+#: the word after it), and after a letter that a sign or digit follows.  The last
+#: form is a place inside a run of letters without spaces: see ``joined``.
+_HAN = "ぁ-ゖァ-ヺ一-鿿가-힣"
+_BYTE_CUT = re.compile(
+    rf"(?=[ \t\n\r](?!{_SPACES.pattern})[\s\S])"
+    rf"|(?<=[A-Za-zÀ-ÖØ-öø-ÿ{_HAN}])(?=[!-@\[-`{{-~、。！，：；？（）])"
+    rf"|(?P<inside>(?<=[{_HAN}])(?=[{_HAN}]))")
+_WORD_CUT = re.compile("[ \n]")
+
+
+def joined(e) -> frozenset[tuple[int, int]]:
+    """(last byte of a character, first byte of the next) of all characters that some
+    token of a byte-level vocabulary holds side by side.  Merges only make tokens of
+    the vocabulary, so no merge joins two characters whose bytes are not listed."""
+    back = {ord(letter): b for b, letter in e.letters.items()}
+    out = set()
+    for token in e.tok.get_vocab(with_added_tokens=False):
+        if not all(ord(c) in back for c in token):
+            continue
+        raw = [back[ord(c)] for c in token]
+        out.update((a, b) for a, b in zip(raw, raw[1:]) if 0x80 <= a < 0xC0 <= b)
+    return frozenset(out)
+
+
+def cutter(kind: str, pairs: frozenset | None = None):
+    """cut(text, at, end): the next certain cut at or after ``at``, else end.
+    ``pairs`` (``joined``): without it runs of letters are not cut."""
     def cut(text: str, at: int, end: int) -> int:
         if at <= 0:
             at = 1
         if kind == "word":
-            k = text.find(" ", at, end)
-            return k if k > 0 else end
+            m = _WORD_CUT.search(text, at, end)
+            return m.start() if m else end
         if kind == "byte":
-            while at < end:
-                m = _BYTE_CUT.search(text, at, end)
-                if not m:
-                    return end
-                # the pattern sees no further than end: the character there counts, too
-                if m.end() < len(text) and not _SPACES.match(text, m.end()):
-                    return m.start()
-                at = m.end()
+            for m in _BYTE_CUT.finditer(text, at):
+                k = m.start()
+                if k >= end:
+                    break
+                if m["inside"] is None or pairs is not None and (text[k - 1].encode()[-1], text[k].encode()[0]) not in pairs:
+                    return k
         return end
     return cut
 
 
+@lru_cache(maxsize=2)
 def _tools(path: str):
     e = encoder(path)
-    return (lambda text: len(e.encode(text)) // 4), cutter(e.kind)
+    return (lambda text: len(e.encode(text)) // 4), cutter(e.kind, joined(e) if e.kind == "byte" else None)
 
 
 def tree_column(text: Column, path: str, leaf_chars: int = LEAF_CHARS) -> Column:

@@ -181,6 +181,44 @@ def test_edits_equal_a_full_recount(path):
             assert tree.text == text and tree.total == count(text), (text, a, b, new)
 
 
+ODD_JOINS = ["\n", "  ", "\n\n", " \t", "\r\n", "", "。", "'s ", "\u3000", "\u00a0", ", ", "1", "'", " \n "]
+
+
+@pytest.mark.parametrize("path", [C.BYTE, C.WORD])
+def test_cuts_are_certain(path):
+    """A text is encoded as its parts are, wherever it is cut."""
+    e, r = Encoder(path), random.Random(8)
+    count, cut = edit_counts._tools(path)
+    words = ["the", "Wort", "straße", "漢字", "の", "한국어", "東京都", "it's", "we'll", "42", "!?", "a", "🛩", "é", "'s"]
+    for _ in range(400):
+        text = "".join(r.choice(words) + r.choice([" ", *ODD_JOINS]) for _ in range(r.randint(1, 30)))
+        at = 0
+        while (k := cut(text, at + 1, len(text))) < len(text):
+            assert e.encode(text[:k]) + e.encode(text[k:]) == e.encode(text), (text, k)
+            at = k
+
+
+@pytest.mark.parametrize("kind", ["line", "double", "single", "han"])
+def test_edits_stay_local(kind):
+    """A small edit and an insertion encode little more than themselves again."""
+    e, r = Encoder(C.BYTE), random.Random(4)
+    count, cut = edit_counts._tools(C.BYTE)
+    if kind == "han":
+        text = "".join(chr(0x4E00 + int(3000 * r.random() ** 2)) for _ in range(20_000))
+    else:
+        text = {"line": "\n", "double": "  ", "single": " "}[kind].join(C.prose(1, 40_000).split())[:200_000]
+    tree = edit_counts.Tree(text, count, cut)
+    n = len(text)
+    assert tree.total == len(e.encode(text)) // 4 and n >= 20_000
+    tree.edit(n // 2, n // 2 + 3, "xyz")
+    small = tree.reencoded
+    tree.edit(n // 3, n // 3, text[:1800])
+    assert small <= 0.05 * n and tree.reencoded - small <= 1800 + 0.05 * n
+    tree.edit(n // 3 + 900, n // 3 + 950, "")
+    assert tree.total == len(e.encode(tree.text)) // 4
+    assert tree.sums[1] == sum(tree.sums[len(tree.sums) // 2:])
+
+
 def test_edit_operator(spark):
     ship(spark)
     docs = C.mixed(spark)
