@@ -24,6 +24,7 @@ def main(argv=None) -> None:
                    help="landing files hold one JSON array each")
     r.add_argument("--force", action="store_true", help="load every file again, not only new and changed ones")
     r.add_argument("--days", nargs=2, metavar=("FIRST", "LAST"), help="only these date partitions (YYYY-MM-DD)")
+    r.add_argument("--database", help="also keep Silver (bucketed), Gold and the country summary as tables of this database")
     s = sub.add_parser("stream", help="incremental pass over new landing files")
     s.add_argument("--landing", required=True)
     s.add_argument("--warehouse", required=True)
@@ -38,7 +39,7 @@ def main(argv=None) -> None:
     if args.cmd == "run":
         from contrail.plans.medallion import run
         res = run(spark, args.landing, args.warehouse, mode=args.mode, multi_line=args.multi_line, force=args.force,
-                  days=tuple(args.days) if args.days else None)
+                  days=tuple(args.days) if args.days else None, database=args.database)
         print(json.dumps({"silver_rows": res.silver_rows, "gold_rows": res.gold_rows}))
     else:
         from contrail.streaming import incremental as STR

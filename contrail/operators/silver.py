@@ -12,7 +12,7 @@ _TIE_BREAK = ("callsign", "origin_country", "longitude", "latitude", "baro_altit
               "velocity", "on_ground")
 
 
-def latest(rows: DataFrame, key=SILVER_KEY) -> DataFrame:
+def latest(rows: DataFrame, key=SILVER_KEY, columns=tuple(SILVER_COLUMNS)) -> DataFrame:
     """Keep the most recently ingested row of each key (a null ingest time
     sorts first, as in a descending warehouse sort); equal ingest times are
     broken by the remaining columns so the result is deterministic.
@@ -26,7 +26,7 @@ def latest(rows: DataFrame, key=SILVER_KEY) -> DataFrame:
     w = Window.partitionBy(*key).orderBy(*order)
     return (rows.withColumn("_rn", F.row_number().over(w))
                 .filter(F.col("_rn") == 1)
-                .select(*SILVER_COLUMNS))
+                .select(*columns))
 
 
 def upsert(existing: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ stream to completion (``availableNow``) and return its output table."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from contrail.operators import parse as P
 from contrail.operators import quality as Q
 from contrail.operators import silver as S
 from contrail.operators.bronze_silver import bronze_silver_rows
-from contrail.plans import tables
+from contrail.plans import catalog_tables, tables
 from contrail.plans.medallion import build_gold, refresh_gold_days, upsert_layers
 from contrail.plans.tables import materialize
 from contrail.schemas import GOLD_COLUMNS, GOLD_KEY, MIN_VECTOR_SLOTS, SILVER, SILVER_KEY, SILVER_LENGTH_LIMITS
@@ -488,6 +489,18 @@ def q_silver_append(spark, d):
     return spark.read.schema(SILVER).parquet(path)
 
 
+def q_silver_bucketed(spark, d):
+    """Two ingest batches upserted into a Silver table of the catalog, by day and in
+    buckets by aircraft."""
+    path, rows = _fresh(spark, "silver_bucketed"), silver_rows(spark, d)
+    name = f"silver_bucketed_{uuid.uuid4().hex}"
+    catalog_tables.create_silver(spark, name, path)
+    late = F.col("ingested_at") >= F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    for part in (~late, late):
+        catalog_tables.upsert_silver(spark, name, path, rows.where(part))
+    return spark.table(name).select(*SILVER.fieldNames())
+
+
 def q_gold_published(spark, d):
     """Gold published in full, then its days once more, read back."""
     root = _fresh(spark, "sinks")
@@ -632,6 +645,7 @@ _PANELS |= {
     "variant_drift": q_variant_drift,
     "records_silver": q_records_silver,
     "silver_append": q_silver_append,
+    "silver_bucketed": q_silver_bucketed,
     "gold_published": q_gold_published,
     "stream_dedup_keys": q_stream_dedup_keys,
     "stream_hourly_traffic": q_stream_hourly_traffic,

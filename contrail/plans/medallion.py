@@ -20,6 +20,7 @@ from contrail.operators import gold as G
 from contrail.operators import quality as Q
 from contrail.operators import silver as S
 from contrail.operators.bronze_silver import bronze_silver_rows, bronze_vectors
+from contrail.plans import catalog_tables as CT
 from contrail.plans import gold_state as GS
 from contrail.plans import tables
 from contrail.schemas import GOLD_COLUMNS, SILVER
@@ -46,24 +47,28 @@ def refresh_gold_days(spark: SparkSession, silver_path: str, days: DataFrame, go
     build_gold(spark, scope.drop(tables.DAY), gold_path, full=False)
 
 
-def upsert_layers(spark: SparkSession, wh: str, rows: DataFrame) -> None:
+def upsert_layers(spark: SparkSession, wh: str, rows: DataFrame, table: str | None = None) -> None:
     """Upsert written Silver rows and bring the Gold state, the sketches and Gold up to
     date.  A row and what it supersedes have the same (hour, aircraft), so only those
     pairs are aggregated again from Silver.  The state is published before Gold and
     Gold's touched hours are folded from it as a whole: a batch done again after a
-    failure at any point gives the same tables."""
+    failure at any point gives the same tables.  ``table``: the catalog table in buckets
+    that Silver is."""
     pairs = rows.select(F.col("icao24"), G.hour_floor(F.col("time_position")).alias("snapshot_hour")).distinct()
     if not tables.exists(spark, f"{wh}/gold_sketches/_SUCCESS"):     # published last: Silver from before the state was kept
         stored = tables.read_silver(spark, f"{wh}/silver")
         pairs = pairs.unionByName(stored.select("icao24", G.hour_floor(F.col("time_position")).alias("snapshot_hour"))).distinct()
     with tables.written(spark, pairs, "touched") as touched:
-        tables.upsert_silver(spark, f"{wh}/silver", rows)
+        if table:
+            CT.upsert_silver(spark, table, f"{wh}/silver", rows)
+        else:
+            tables.upsert_silver(spark, f"{wh}/silver", rows)
         GS.refresh_state(spark, f"{wh}/silver", f"{wh}/gold_state", touched)
         GS.refresh_gold_hours(spark, f"{wh}/gold_state", f"{wh}/gold", f"{wh}/gold_sketches", touched)
 
 
 def ingest_load(spark: SparkSession, warehouse: str, load: str, mode: str = "upsert", check: bool = True,
-                max_lag_seconds: int | None = None, fail_on_drift: bool = False) -> list[tuple]:
+                max_lag_seconds: int | None = None, fail_on_drift: bool = False, table: str | None = None) -> list[tuple]:
     """Take one finished Bronze load through the other layers; returns its check
     rows.  Everything is written per load, overwriting what an earlier attempt left;
     ``accounting`` is written last and marks the load as done.
@@ -87,7 +92,7 @@ def ingest_load(spark: SparkSession, warehouse: str, load: str, mode: str = "ups
             checks = _load_checks(spark, wh, load, values, seen.get, outcomes, max_lag_seconds, fail_on_drift)
             failed = [c for c in checks if not c[-1]]
             if not (check and failed):
-                _publish_rows(spark, wh, rows, mode, of_load)
+                _publish_rows(spark, wh, rows, mode, of_load, table)
             tables.overwrite(outcomes, f"{wh}/accounting/{of_load}")
     if check and failed:
         raise ValueError("Data quality checks failed: " + "; ".join(f"{c[0]}/{c[1]}: {c[3]} rows" for c in failed))
@@ -109,9 +114,9 @@ def _load_checks(spark, wh, load, values, seen, outcomes, max_lag_seconds, fail_
     return [(*r, r[-1] == 0) for r in rows]
 
 
-def _publish_rows(spark: SparkSession, wh: str, rows: DataFrame, mode: str, of_load: str) -> None:
+def _publish_rows(spark: SparkSession, wh: str, rows: DataFrame, mode: str, of_load: str, table: str | None) -> None:
     if mode == "upsert":
-        upsert_layers(spark, wh, rows)
+        upsert_layers(spark, wh, rows, table)
     elif mode == "append":
         tables.overwrite(S.latest(rows), f"{wh}/silver_append/{of_load}")
     else:
@@ -129,7 +134,8 @@ def unfinished_loads(spark: SparkSession, warehouse: str) -> list[str]:
 
 def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
         multi_line: bool = False, ingested_at="file", check: bool = True, force: bool = False,
-        days: tuple[str, str] | None = None, max_lag_seconds: int | None = None, fail_on_drift: bool = False) -> RunResult:
+        days: tuple[str, str] | None = None, max_lag_seconds: int | None = None, fail_on_drift: bool = False,
+        database: str | None = None, n_buckets: int = CT.BUCKETS) -> RunResult:
     """One pass over the landing files that are new or changed since the last one
     (``force``: all; ``days``: of these date partitions only).  ``mode="upsert"``
     keeps one row per key across runs; ``mode="append"`` reproduces the
@@ -140,14 +146,22 @@ def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
     counts), ``country_hourly`` (the hourly country summary) and, per load, ``quarantine`` (suspicious vectors),
     ``rejects`` (what did not reach Silver, with its text), ``drift`` (fields that are
     new, vanished or of another type) and ``accounting`` (units by outcome) below
-    ``warehouse``.  A load that an earlier run did not finish is done first."""
+    ``warehouse``.  A load that an earlier run did not finish is done first.
+
+    ``database``: ``silver`` (in ``n_buckets`` buckets by aircraft), ``gold`` and
+    ``country_hourly`` are tables of this database over those folders, made if absent."""
     wh = warehouse.rstrip("/")
     if mode not in ("upsert", "append"):
         raise ValueError(mode)
+    if database and mode != "upsert":
+        raise ValueError("a database needs upserts")
+    table = f"{database}.silver" if database else None
+    if table:
+        CT.create_silver(spark, table, f"{wh}/silver", n_buckets)
     load_files(spark, landing, f"{wh}/bronze", multi_line, ingested_at, force=force, days=days)
     rows = []
     for load in unfinished_loads(spark, wh):
-        rows += ingest_load(spark, wh, load, mode, check, max_lag_seconds, fail_on_drift)
+        rows += ingest_load(spark, wh, load, mode, check, max_lag_seconds, fail_on_drift, table)
     if mode == "upsert":
         silver = tables.read_silver(spark, f"{wh}/silver")
     else:
@@ -155,6 +169,9 @@ def run(spark: SparkSession, landing: str, warehouse: str, mode: str = "upsert",
             else spark.createDataFrame([], SILVER)
         build_gold(spark, silver, f"{wh}/gold")
     tables.overwrite(G.country_hourly(silver), f"{wh}/country_hourly")
+    if database:
+        CT.create_gold(spark, f"{database}.gold", f"{wh}/gold")
+        CT.create_summary(spark, f"{database}.country_hourly", f"{wh}/country_hourly")
     gold = tables.read_gold(spark, f"{wh}/gold")
     loaded = spark.createDataFrame(rows, "layer string, check string, observed long, failed_rows long, passed boolean")
     checks = Q.combine(loaded, Q.row_count_check(gold, "gold"), Q.duplicate_checks(silver, "silver", ("icao24", "time_position")))

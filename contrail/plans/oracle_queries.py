@@ -324,6 +324,7 @@ SELECT DISTINCT ON (icao24, time_position, ingested_at >= TIMESTAMP '2024-01-15'
 ORDER BY icao24, time_position, ingested_at >= TIMESTAMP '2024-01-15', ingested_at DESC NULLS FIRST, callsign NULLS LAST,
          origin_country NULLS LAST, longitude NULLS LAST, latitude NULLS LAST,
          baro_altitude NULLS LAST, velocity NULLS LAST, on_ground NULLS LAST"""),
+        "silver_bucketed": q("SELECT * FROM silver"),
         "gold_published": q("SELECT * FROM gold"),
         "gold_incremental": q("SELECT * FROM gold"),
         "gold_sketch_days": q("""

@@ -11,7 +11,8 @@
 * Gold: one layout, partitioned by ``snapshot_date``, published from a finished
   staging in the same way: the touched days only, or a full refresh, which
   also drops the days that are no more.
-* Create-if-absent catalog tables with the fixed schemas.
+* Create-if-absent catalog tables with the fixed schemas; partitioned and bucketed
+  ones are in ``catalog_tables.py``.
 
 One writer at a time per table.
 """
@@ -30,6 +31,8 @@ from contrail.schemas import GOLD, SILVER
 from contrail.session import shared_dir
 
 DAY, SNAPSHOT_DATE, HOUR = "day", "snapshot_date", "hour_key"
+#: Folder name, with the number of buckets, beside the days of a table in buckets.
+BUCKETED = "_buckets-"
 
 
 # --- folders -------------------------------------------------------------------
@@ -50,6 +53,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory()] if fs.exists(at) else []
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, at = _fs(spark, path)
+    fs.mkdirs(at)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, at = _fs(spark, path)
     fs.delete(at, True)
@@ -57,7 +65,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 # --- publishing through a finished staging --------------------------------------
 
-def _staging(path: str) -> str:
+def staging(path: str) -> str:
     return f"{path.rstrip('/')}__staging"
 
 
@@ -71,7 +79,7 @@ def _write_days(df: DataFrame, path: str, column: str, **options) -> None:
 
 def stage(df: DataFrame, path: str, column: str, full: bool = False) -> str:
     """Write a batch aside; ``full`` marks that it replaces the whole table."""
-    folder = f"{_staging(path)}/{'full' if full else 'days'}-{uuid.uuid4().hex}"
+    folder = f"{staging(path)}/{'full' if full else 'days'}-{uuid.uuid4().hex}"
     # one shuffle by day, split by AQE where a day is large: no file per task and day
     _write_days(df.hint("rebalance", column), folder, column)
     return folder
@@ -92,8 +100,8 @@ def publish(spark: SparkSession, folder: str, path: str, schema: T.StructType, c
 def recover(spark: SparkSession, path: str, schema: T.StructType, column: str) -> None:
     """Publish again what an earlier writer finished but may not have
     published, and drop what it did not finish."""
-    for name in folders(spark, _staging(path)):
-        folder = f"{_staging(path)}/{name}"
+    for name in folders(spark, staging(path)):
+        folder = f"{staging(path)}/{name}"
         if exists(spark, f"{folder}/_SUCCESS"):
             publish(spark, folder, path, schema, column)
         remove(spark, folder)
@@ -117,6 +125,8 @@ def upsert_silver(spark: SparkSession, path: str, incoming_rows: DataFrame, then
     """Merge rows into the Silver table (see above).  ``then(days)`` runs after
     the publication with the touched days, before the staging is dropped: if
     it fails, the replayed batch does it again."""
+    if any(name.startswith(BUCKETED) for name in folders(spark, path)):
+        raise ValueError(f"{path} is in buckets: upsert its catalog table")
     recover(spark, path, SILVER, DAY)
     keyed = incoming_rows.select(*SILVER.fieldNames()).withColumn(DAY, F.to_date("time_position"))
     with written(spark, keyed, "incoming") as incoming:
