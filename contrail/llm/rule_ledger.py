@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.llm import textkernel as K
@@ -101,11 +101,38 @@ def ledger(docs: DataFrame) -> DataFrame:
     return rows.withColumn("failed", failed)
 
 
+def store(docs: DataFrame, path: str) -> None:
+    """Evaluate every rule once and write the ledger, with the rules its bits stand for:
+    later policies and ablations read numbers only."""
+    entries = ledger(docs)
+    named = entries.withMetadata("failed", {"rules": list(RULES)})
+    named.write.mode("overwrite").parquet(path)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """A stored ledger.  Rules are only ever added at the end; one that was written
+    under other rules is an error, a shorter list means that the newer rules' bits
+    were not evaluated, and policies that use them are refused."""
+    entries = spark.read.parquet(path)
+    rules = entries.schema["failed"].metadata.get("rules", [])
+    if list(RULES[:len(rules)]) != rules or not rules:
+        raise ValueError(f"{path} holds a ledger of other rules: {rules}")
+    return entries
+
+
+def _evaluated(entries: DataFrame, rules) -> None:
+    known = entries.schema["failed"].metadata.get("rules", RULES)
+    missing = [r for r in rules if r not in known]
+    if missing:
+        raise ValueError(f"the ledger has no bits for {missing}")
+
+
 def fails(failed: Column, rules) -> Column:
     return failed.bitwiseAND(F.lit(mask(rules)).cast("long")) != 0
 
 
 def apply_policy(entries: DataFrame, version: str = CURRENT) -> DataFrame:
+    _evaluated(entries, POLICIES[version])
     return entries.withColumn("kept", ~fails(F.col("failed"), POLICIES[version]))
 
 
@@ -113,6 +140,7 @@ def ablation(entries: DataFrame, version: str = CURRENT) -> DataFrame:
     """For each rule of a policy: documents that fail it, that fail it alone
     (they would come back without it), and what the policy keeps without it."""
     rules = POLICIES[version]
+    _evaluated(entries, rules)
     of_policy = F.col("failed").bitwiseAND(F.lit(mask(rules)).cast("long"))
     sums = [F.count(F.lit(1)).alias("n")]
     for r in rules:

@@ -59,6 +59,30 @@ def test_ledger_policies_and_ablation(spark):
     assert rule_ledger.ledger(C.empty(spark)).count() == 0
 
 
+def test_stored_ledger_serves_policies_and_ablations(spark, scratch, monkeypatch):
+    ship(spark)
+    docs = C.mixed(spark)
+    rule_ledger.store(docs, f"{scratch}/ledger")
+    entries, lazy = rule_ledger.stored(spark, f"{scratch}/ledger"), rule_ledger.ledger(docs)
+    assert sorted(map(repr, entries.collect())) == sorted(map(repr, lazy.collect()))
+    for version in rule_ledger.POLICIES:
+        assert rule_ledger.ablation(entries, version).collect() == rule_ledger.ablation(lazy, version).collect()
+        assert rule_ledger.apply_policy(entries, version).where("kept").count() == rule_ledger.apply_policy(lazy, version).where("kept").count()
+    assert "Python" not in rule_ledger.ablation(entries)._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in entries.columns
+    # a rule that came later has no bit in this ledger; other rules are another ledger
+    monkeypatch.setattr(rule_ledger, "RULES", (*rule_ledger.RULES, "new_rule"))
+    monkeypatch.setitem(rule_ledger.POLICIES, "v9", ("few_words", "new_rule"))
+    again = rule_ledger.stored(spark, f"{scratch}/ledger")
+    assert rule_ledger.apply_policy(again, "v3").count() == docs.count()
+    for use in (rule_ledger.apply_policy, rule_ledger.ablation):
+        with pytest.raises(ValueError, match="new_rule"):
+            use(again, "v9")
+    monkeypatch.setattr(rule_ledger, "RULES", ("other", *rule_ledger.RULES))
+    with pytest.raises(ValueError, match="other rules"):
+        rule_ledger.stored(spark, f"{scratch}/ledger")
+
+
 def junk(k):
     return " ".join(w + "$$$" if i % 2 else w + "%%%" for i, w in enumerate(C.prose(k, 60).split()))
 
