@@ -121,8 +121,8 @@ def _publish(spark: SparkSession, name: str, folder: str) -> None:
 
 def recover(spark: SparkSession, name: str, path: str) -> None:
     """Publish again what an earlier writer finished, drop what it did not."""
-    for folder in tables.folders(spark, tables.staging(path)):
-        folder = f"{tables.staging(path)}/{folder}"
+    for folder in tables.folders(spark, tables._staging(path)):
+        folder = f"{tables._staging(path)}/{folder}"
         if tables.exists(spark, f"{folder}/_SUCCESS"):
             _publish(spark, name, folder)
         tables.remove(spark, folder)
@@ -131,7 +131,7 @@ def recover(spark: SparkSession, name: str, path: str) -> None:
 def stage(spark: SparkSession, name: str, path: str, rows: DataFrame) -> str:
     """Write the merged rows aside in the table's buckets."""
     mark = uuid.uuid4().hex
-    folder, table = f"{tables.staging(path)}/days-{mark}", f"{name}_staging_{mark}"
+    folder, table = f"{tables._staging(path)}/days-{mark}", f"{name}_staging_{mark}"
     (rows.write.format("parquet").partitionBy(DAY).bucketBy(buckets(spark, name), BUCKET).sortBy(BUCKET, "time_position")
      .option("path", folder).saveAsTable(table))
     spark.sql(f"DROP TABLE {table}")            # the files stay: its place is given

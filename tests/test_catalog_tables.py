@@ -72,7 +72,7 @@ def test_upserts_equal_the_plain_merge_and_do_not_shuffle_stored_rows(spark, scr
     # the files of a bucket hold its rows only, so a read by bucket loses nothing
     assert spark.table(name).groupBy("icao24").count().count() == want.select("icao24").distinct().count()
     assert exchanges_above_scan(explained(spark.table(name).groupBy("icao24").count())) == 0
-    assert tables.folders(spark, tables.staging(path)) == []
+    assert tables.folders(spark, tables._staging(path)) == []
 
 
 def test_ingest_time_has_a_default(spark, scratch):
@@ -104,11 +104,11 @@ def test_a_finished_staging_is_published_by_the_next_writer(spark, scratch):
     a, b = batch(spark, 0, 30, "2024-01-02"), batch(spark, 10, 60, "2024-01-03")
     C.upsert_silver(spark, name, path, a)
     C.stage(spark, name, path, C.merged(spark, name, b, [dt.date(2024, 1, 1)]))      # the writer dies before publishing
-    tables.make_folder(spark, f"{tables.staging(path)}/days-unfinished")
+    tables.make_folder(spark, f"{tables._staging(path)}/days-unfinished")
     assert content(spark.table(name)) == content(S.latest(a))
     C.upsert_silver(spark, name, path, silver_df(spark, []))
     assert content(spark.table(name)) == content(S.upsert(a, b))
-    assert tables.folders(spark, tables.staging(path)) == []
+    assert tables.folders(spark, tables._staging(path)) == []
 
 
 def test_run_writes_the_catalog_tables(spark, scratch):
