@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from contrail.operators import parse as P
 from contrail.plans import catalog as C
+from contrail.sources.feed import typed_events
 from helpers import vec_rows, vector
 
 #: HotSpot leaves methods beyond this size to its interpreter.
@@ -53,6 +54,17 @@ def test_feed_of_one_file_is_dealt_out(spark, scratch):
     assert len(shares) > 1 and max(shares) < 2 * sum(shares) / len(shares)
 
 
+def test_vectors_are_derived_from_events_dealt_out(spark, scratch):
+    d = _feed(spark, scratch, 5000)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shares = [r["count"] for r in typed_events(spark, d).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert sum(shares) == 5000 and len(shares) > 1 and max(shares) < 2 * sum(shares) / len(shares)
+
+
 def test_a_filter_on_the_ingest_time_reaches_the_scan(spark, scratch):
     rows = C.silver_rows(spark, _feed(spark, scratch)).where(F.col("ingested_at") < F.lit(dt.datetime(2024, 1, 2)).cast("timestamp_ntz"))
     assert "LessThan(ts," in rows._jdf.queryExecution().executedPlan().toString()

@@ -53,3 +53,28 @@ def test_no_rows(spark, scratch):
     stream = spark.readStream.schema(SILVER).parquet(f"{scratch}/in")
     run_available(LATE.outcome_stream(stream, f"{scratch}/out", f"{scratch}/check"))
     assert LATE.read_outcomes(spark, f"{scratch}/out").count() == 0
+
+
+def test_a_replayed_batch_changes_nothing(spark, scratch):
+    batches = [[_row("a", "05:00", 1), _row("b", "05:10", 1)], [_row("a", "05:00", 2), _row("c", "09:00", 1)], [_row("b", "05:10", 3)]]
+    handle = LATE.outcome_batch(spark, f"{scratch}/out", "1 hour")
+    for k, rows in enumerate(batches):
+        handle(silver_df(spark, rows), k)
+        first = sorted(map(repr, LATE.read_outcomes(spark, f"{scratch}/out").collect()))
+        handle(silver_df(spark, rows), k)
+        assert sorted(map(repr, LATE.read_outcomes(spark, f"{scratch}/out").collect())) == first
+    assert Counter(r.outcome for r in LATE.read_outcomes(spark, f"{scratch}/out").collect()) == {"first": 3, "correction": 1, "late": 1}
+
+
+def test_a_batch_is_one_shuffle_without_python_and_reads_live_days(spark, scratch):
+    handle = LATE.outcome_batch(spark, f"{scratch}/out", "1 hour")
+    for k, day in enumerate(("01", "02", "03")):
+        handle(silver_df(spark, [_row("a", "05:00", 1)[:3] + (ts(f"2024-01-{day} 05:00:00"),) + _row("a", "05:00", 1)[4:]]), k)
+    days = [f"day=2024-01-{d}" for d in ("02", "03")]
+    stored = LATE._kept_before(spark, f"{scratch}/out", 3, days)
+    assert stored.count() == 2 and LATE._kept_before(spark, f"{scratch}/out", 2, days).count() == 1
+    assert LATE._watermark(spark, f"{scratch}/out", 3, "1 hour") == 1704254400 * 10**6       # 2024-01-03 04:00
+    made = LATE.outcomes(stored, silver_df(spark, [_row("a", "05:00", 2)]), 0)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Python" not in plan
+    assert [r.outcome for r in made.collect()] == ["first"]
