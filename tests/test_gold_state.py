@@ -61,3 +61,12 @@ def test_state_is_built_for_an_older_silver(spark, scratch):
     tables.upsert_silver(spark, f"{wh}/silver", silver_df(spark, old))
     M.upsert_layers(spark, wh, silver_df(spark, new))
     assert _rows(tables.read_gold(spark, f"{wh}/gold")) == _rows(G.gold(tables.read_silver(spark, f"{wh}/silver")))
+
+
+def test_a_large_day_is_read_in_shares(spark, scratch):
+    """One file of a day has several row groups, which the reader deals out."""
+    day = F.lit("2024-01-01").cast("date")
+    rows = spark.range(0, 2_000_000, 1, 1).select((F.rand(1) * 1e9).alias("x"), F.rand(2).alias("y"), F.xxhash64("id").alias("z"), day.alias(tables.DAY))
+    tables._write_days(rows, f"{scratch}/days", tables.DAY)
+    shares = spark.read.parquet(f"{scratch}/days").groupBy(F.input_file_name().alias("file"), F.spark_partition_id()).count().groupBy("file").count().collect()
+    assert len(shares) == 1 and shares[0]["count"] > 2
