@@ -43,6 +43,23 @@ def test_feed_methods_are_small_enough_to_be_compiled(spark, scratch):
         assert sizes and max(sizes) < COMPILED
 
 
+def test_silver_rows_are_parsed_where_the_vectors_are_derived(spark, scratch):
+    plan = C.silver_rows(spark, _feed(spark, scratch))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1 and "RepartitionByExpression [event_id#" in plan
+    # the text of the position time is read once, though the rules of an epoch name it several times
+    assert len(re.findall(r"state#\d+\[3\]", plan)) == 1
+
+
+def test_silver_times_on_the_edges_of_the_epoch(spark):
+    given = ["0", "-1", "4102444799", "4102444800", "1.5", "99999999999999", "1e400", "x", "", None]
+    rows = vec_rows(spark, [vector(icao=str(k), tpos=t) for k, t in enumerate(given)])
+    got = {r.icao24: r.time_position for r in P.flatten_states(rows, drop_null_keys=False).collect()}
+    epoch = dt.datetime(1970, 1, 1)
+    want = {"0": epoch, "2": dt.datetime(2099, 12, 31, 23, 59, 59), "4": epoch + dt.timedelta(seconds=2)}
+    assert got == {str(k): want.get(str(k)) for k in range(len(given))}
+    assert {r.icao24 for r in P.flatten_states(rows).collect()} == set(want)
+
+
 def test_feed_of_one_file_is_dealt_out(spark, scratch):
     d = _feed(spark, scratch, 5000)
     before = spark.conf.get("spark.sql.adaptive.enabled")
